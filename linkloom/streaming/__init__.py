@@ -1,0 +1 @@
+"""Every operator of this engine is a batch operator; a crawl wave is one batch job, so nothing streams."""
