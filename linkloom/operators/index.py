@@ -11,9 +11,14 @@ from linkloom.functions.text import analyze, is_kept, normalize_token, tokens
 from linkloom.session import ship_package
 
 
+# The outer generators below keep Spark from testing the arrays for emptiness before they are
+# exploded: that test would be pushed to the scan and cut every text into words a second time.
+
+
 def raw_tokens(docs: DataFrame) -> DataFrame:
     """``doc_id, pos, token`` for ``doc_id, text``; positions count every word."""
-    return docs.select("doc_id", F.posexplode(tokens(F.col("text"))).alias("pos", "token"))
+    words = docs.select("doc_id", F.posexplode_outer(tokens(F.col("text"))).alias("pos", "token"))
+    return words.filter("token is not null")
 
 
 def positioned_terms(docs: DataFrame, stop_words: Iterable[str] = (), stop_after_lower: bool = False,
@@ -26,11 +31,11 @@ def positioned_terms(docs: DataFrame, stop_words: Iterable[str] = (), stop_after
         kept = F.filter(numbered, lambda w: is_kept(w.token, stop_words, stop_after_lower))
         words = words.select("doc_id", kept.alias("words"))
         rows = words.select("doc_id", F.size("words").alias("doc_len"), "words").select(
-            "doc_id", "doc_len", F.inline("words"))
+            "doc_id", "doc_len", F.inline_outer("words"))
     else:
         rows = words.select("doc_id", F.size("words").alias("doc_len"), "words").select(
-            "doc_id", "doc_len", F.posexplode("words").alias("pos", "token"))
-    rows = rows.withColumn("term", normalize_token(F.col("token")))
+            "doc_id", "doc_len", F.posexplode_outer("words").alias("pos", "token"))
+    rows = rows.filter("token is not null").withColumn("term", normalize_token(F.col("token")))
     if stem:
         from linkloom.functions.porter import stem as stem_column
 
@@ -66,13 +71,12 @@ def term_stats(docs: DataFrame, **analyzer) -> DataFrame:
     if analyzer.get("stem"):
         ship_package(docs.sparkSession)
     terms = docs.select(analyze(F.col("text"), **analyzer).alias("terms"))
-    marked = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))),
-        F.transform(F.array_distinct("terms"),
-                    lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))),
-    )
+    sets = F.array(
+        F.struct("terms", F.lit(0).alias("d"), F.lit(1).alias("c")),
+        F.struct(F.array_distinct("terms").alias("terms"), F.lit(1).alias("d"), F.lit(0).alias("c")))
     return (
-        terms.select(F.inline(marked))
+        terms.select(F.inline_outer(sets)).select(F.explode_outer("terms").alias("term"), "d", "c")
+        .filter("term is not null")
         .groupBy("term")
         .agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
     )
@@ -83,8 +87,8 @@ def vocabulary_stems(docs: DataFrame, **analyzer) -> DataFrame:
     from linkloom.functions.porter import stem as stem_column
 
     ship_package(docs.sparkSession)
-    terms = docs.select(F.explode(analyze(F.col("text"), **analyzer)).alias("term"))
-    counted = terms.groupBy("term").agg(F.count("*").alias("cf"))
+    terms = docs.select(F.explode_outer(analyze(F.col("text"), **analyzer)).alias("term"))
+    counted = terms.filter("term is not null").groupBy("term").agg(F.count("*").alias("cf"))
     return counted.select("term", stem_column("term").alias("stem"), "cf")
 
 

@@ -109,7 +109,7 @@ def highlight(text: Column, terms: list[str], fragments: int = 5, escape: bool =
     marked = F.regexp_replace(text, pattern, F.lit(f"{MARK_OPEN}$1{MARK_CLOSE}"))
     sentences = F.regexp_extract_all(marked, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
     chosen = F.slice(F.filter(sentences, lambda s: F.contains(s, F.lit(MARK_OPEN))), 1, fragments)
-    shown_text = F.array_join(F.transform(chosen, F.trim), " … ")
+    shown_text = F.array_join(F.transform(chosen, lambda s: F.trim(s)), " … ")
     if escape:
         for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
             shown_text = F.replace(shown_text, F.lit(sign), F.lit(name))

@@ -31,12 +31,20 @@ def index_graph_scan(index: DataFrame) -> DataFrame:
     return index.select("doc_id", "inlinks", "outlinks", "author", (F.size("outlinks") == 0).alias("is_sink"))
 
 
-def part_graph(spark: SparkSession, folder: str, sparse: bool = False) -> DataFrame:
-    """Edges between parts that follow each other in an order; ``sparse`` keeps one line in many."""
+def part_pairs(spark: SparkSession, folder: str, sparse: bool = False) -> DataFrame:
+    """A link for every two parts that follow each other in an order; ``sparse`` keeps one line in many.
+
+    An order has no more than a handful of lines, so its window is small.
+    """
     lines = read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     if sparse:
         lines = lines.filter("l_suppkey % 7 = 0 and l_returnflag = 'R'")
     in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
     pairs = lines.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(in_order).alias("dst"))
-    return pairs.filter("dst is not null").distinct()
+    return pairs.filter("dst is not null")
+
+
+def part_graph(spark: SparkSession, folder: str, sparse: bool = False) -> DataFrame:
+    """The distinct links of :func:`part_pairs`."""
+    return part_pairs(spark, folder, sparse).distinct()
