@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import sqlparts as q
 from linkloom.operators import linkgraph
+from linkloom.session import checkpoint
 from linkloom.sources import docfiles, graphfiles
 from linkloom.sources.tables import part_graph, read_table, read_texts
 
@@ -25,13 +26,13 @@ def doc_roundtrip(spark, folder):
 
 
 def inlink_adjacency_roundtrip(spark, folder):
-    lists = linkgraph.link_adjacency(part_graph(spark, folder))
+    lists = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder)))
     line = graphfiles.format_inlinks(F.col("url").cast("string"), F.col("inlinks").cast("array<string>"))
     return graphfiles.inlink_edges(graphfiles.parse_inlinks(lists.select(line.alias("value"))))
 
 
 def rank_line_roundtrip(spark, folder):
-    lists = linkgraph.link_adjacency(part_graph(spark, folder, sparse=True))
+    lists = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder, sparse=True)))
     line = graphfiles.format_rank_line(F.col("url"), F.col("outlinks"), F.lit(1.0) / (F.size("outlinks") + 1))
     parsed = graphfiles.parse_rank_lines(lists.select(line.alias("value")))
     return parsed.select("id", F.array_join(F.col("adjacency").cast("array<string>"), ",").alias("adjacency"),

@@ -50,7 +50,7 @@ def _joined(name):
 
 
 def link_adjacency(spark, folder):
-    lists = linkgraph.link_adjacency(part_graph(spark, folder))
+    lists = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder)))
     return lists.select("url", _joined("inlinks"), _joined("outlinks"))
 
 
@@ -71,7 +71,8 @@ def redirect_resolve(spark, folder):
 
 
 def _lists(spark, folder, sparse):
-    return linkgraph.link_adjacency(part_graph(spark, folder, sparse)).select("url", "inlinks", "outlinks")
+    edges = checkpoint(part_graph(spark, folder, sparse))
+    return checkpoint(linkgraph.link_adjacency(edges).select("url", "inlinks", "outlinks"))
 
 
 def doc_link_join(spark, folder):
@@ -108,7 +109,7 @@ def index_graph_scan(spark, folder):
 
 
 def pagerank_fixed(spark, folder):
-    layout = pagerank.lay_out(part_graph(spark, folder, sparse=True), dedupe=False)
+    layout = pagerank.lay_out(part_pairs(spark, folder, sparse=True))
     return rounded(pagerank.fixed_rounds(layout, ROUNDS), "rank")
 
 
@@ -120,14 +121,14 @@ def pagerank_top500(spark, folder):
 
 def pagerank_crawled(spark, folder):
     # crawled are the sources of the sparse graph; all other parts are known only as link targets
-    edges = part_graph(spark, folder)
+    edges = part_pairs(spark, folder)
     crawled = part_graph(spark, folder, sparse=True).select(F.col("src").alias("id")).distinct()
-    layout = pagerank.lay_out(edges, crawled, uncrawled="leak", dedupe=False)
+    layout = pagerank.lay_out(edges, crawled, uncrawled="leak")
     return rounded(pagerank.fixed_rounds(layout, ROUNDS), "rank")
 
 
 def pagerank_converged(spark, folder):
-    layout = pagerank.lay_out(part_graph(spark, folder, sparse=True), dedupe=False)
+    layout = pagerank.lay_out(part_pairs(spark, folder, sparse=True))
     ranks, _ = pagerank.until_converged(layout, stop="tol", tol=1e-8)
     return ranks.withColumn("rank", F.round("rank", 7))
 
@@ -158,7 +159,7 @@ def pagerank_truncated(spark, folder):
 
 
 def _sparse_ranks(spark, folder, rounds):
-    return pagerank.fixed_rounds(pagerank.lay_out(part_graph(spark, folder, sparse=True), dedupe=False), rounds)
+    return pagerank.fixed_rounds(pagerank.lay_out(part_pairs(spark, folder, sparse=True)), rounds)
 
 
 def rank_histogram(spark, folder):

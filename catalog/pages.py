@@ -6,6 +6,7 @@ from catalog import sqlparts as q
 from linkloom.functions import scores, urls
 from linkloom.operators import frontier, linkgraph, pages
 from linkloom.plans import crawl as crawling
+from linkloom.session import checkpoint
 from linkloom.sources.tables import part_graph, read_table, scan_pages as read_pages
 
 PLACES = 9
@@ -72,27 +73,27 @@ def term_hits(spark, folder):
 
 
 def _links(spark, folder):
-    return pages.page_links(_anchors(spark, folder))
+    return checkpoint(pages.page_links(_anchors(spark, folder)))
 
 
-def _secure(spark, folder):
+def _secure(links):
     """Links of the pages served over https stand for those already handled."""
-    return _links(spark, folder).filter(F.startswith("url", F.lit("https:"))).select(F.col("link").alias("url"))
+    return links.filter(F.startswith("url", F.lit("https:"))).select(F.col("link").alias("url"))
 
 
 def frontier_unvisited(spark, folder):
-    queue = _links(spark, folder).select(F.length("link").alias("level"), F.col("link").alias("url"))
-    return frontier.unvisited(queue, _secure(spark, folder))
+    links = _links(spark, folder)
+    queue = links.select(F.length("link").alias("level"), F.col("link").alias("url"))
+    return frontier.unvisited(queue, _secure(links))
 
 
 def ignore_filter(spark, folder):
-    return pages.drop_ignored(_links(spark, folder).select("page_id", "link"), _secure(spark, folder))
+    links = _links(spark, folder)
+    return pages.drop_ignored(links.select("page_id", "link"), _secure(links))
 
 
 def frontier_score(spark, folder):
-    from linkloom.session import checkpoint
-
-    links = checkpoint(_links(spark, folder))
+    links = _links(spark, folder)
     queue = links.groupBy(F.col("link").alias("url")).agg(F.min("page_id").alias("level")).withColumn("level", F.col("level") + 1)
     counts = linkgraph.inlink_count(links.select(F.col("url").alias("src"), F.col("link").alias("dst")))
     scored = frontier.score_frontier(queue, counts, topical_terms=TOPICAL, path_terms=IN_PATH)
@@ -271,6 +272,8 @@ ENTRIES = {
         f"from (select event_id as access_id, user_id as host, {_GAP} as gap from events)"),
     "crawl_wave": (
         crawl_wave,
-        f"with l as (select page_id, count(*) as n from ({_LINKS}) group by page_id) "
-        f"select {_BARE} as url, 1 as wave, {_score_sql(_BARE, '1', '0')} as score, coalesce(n, 0) as n_links from pages left join l using (page_id)"),
+        # two captures of one URL are one page, the one whose text comes first
+        f"with l as (select page_id, count(*) as n from ({_LINKS}) group by page_id), "
+        f"p as (select {_BARE} as url, arg_min(page_id, html) as page_id from pages group by 1) "
+        f"select url, 1 as wave, {_score_sql('url', '1', '0')} as score, coalesce(n, 0) as n_links from p left join l using (page_id)"),
 }

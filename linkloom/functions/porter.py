@@ -98,6 +98,10 @@ def _stem_values(values: pa.Array) -> pa.Array:
     return stems.take(coded.indices)
 
 
+# Both functions below are declared not deterministic so that Spark never evaluates them a second
+# time for a filter it pushes under the projection.
+
+
 @F.arrow_udf(T.StringType())
 def stem(terms: pa.Array) -> pa.Array:
     """Stems of a column of terms."""
@@ -112,3 +116,7 @@ def stem_array(terms: pa.Array) -> pa.Array:
     ends = pc.cumulative_sum(lengths).cast(pa.int32())
     offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
     return pa.ListArray.from_arrays(offsets, _stem_values(flat), mask=terms.is_null())
+
+
+stem = stem.asNondeterministic()
+stem_array = stem_array.asNondeterministic()

@@ -15,13 +15,13 @@ SHARES = 8
 
 def unvisited(queue: DataFrame, completed: DataFrame) -> DataFrame:
     """Queue entries ``url, …`` not in ``completed(url)``, each URL once with its lowest level."""
-    fresh = queue.join(completed.select("url").distinct(), "url", "left_anti")
-    return fresh.groupBy("url").agg(F.min("level").alias("level")).select("level", "url")
+    once = queue.groupBy("url").agg(F.min("level").alias("level"))
+    return once.join(completed.select("url").distinct(), "url", "left_anti").select("level", "url")
 
 
 def new_links(links: DataFrame, seen: DataFrame) -> DataFrame:
-    """``url``: distinct links not seen before."""
-    return links.select("url").join(seen.select("url"), "url", "left_anti").distinct()
+    """``url``: distinct links not seen before. A link found often is brought down to one row first."""
+    return links.select("url").distinct().join(seen.select("url"), "url", "left_anti")
 
 
 def score_frontier(queue: DataFrame, inlinks: DataFrame, **terms) -> DataFrame:

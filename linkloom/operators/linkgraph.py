@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
+
 LIST_BLOCK = 100_000
 
 
@@ -66,16 +68,18 @@ def link_adjacency(edges: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
     no task and no row ever holds all the links of a hub. All others have the one row of block 0.
     """
     rows = link_rows(edges)
-    sizes = rows.groupBy("url").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks")).filter("blocks > 1")
-    number = F.coalesce(F.pmod(F.xxhash64("link"), F.col("blocks")), F.lit(0)).cast("int")
-    return (
-        rows.join(sizes, "url", "left").withColumn("block", number)
-        .groupBy("url", "block")
-        .agg(
-            F.sort_array(F.collect_list(F.when(F.col("direction") == "in", F.col("link")))).alias("inlinks"),
-            F.sort_array(F.collect_list(F.when(F.col("direction") == "out", F.col("link")))).alias("outlinks"),
-        )
-    )
+    hubs = rows.groupBy("url").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks")).filter("blocks > 1")
+    hubs = checkpoint(hubs)
+    n_hubs = hubs.count()
+    if n_hubs == 0:
+        rows = rows.withColumn("block", F.lit(0))
+    else:
+        hubs = F.broadcast(hubs) if n_hubs <= MAX_BROADCAST_ROWS else hubs
+        number = F.coalesce(F.pmod(F.xxhash64("link"), F.col("blocks")), F.lit(0)).cast("int")
+        rows = rows.join(hubs, "url", "left").withColumn("block", number)
+    return rows.groupBy("url", "block").agg(
+        F.sort_array(F.collect_list(F.when(F.col("direction") == "in", F.col("link")))).alias("inlinks"),
+        F.sort_array(F.collect_list(F.when(F.col("direction") == "out", F.col("link")))).alias("outlinks"))
 
 
 def adjacency_edges(adjacency: DataFrame) -> DataFrame:

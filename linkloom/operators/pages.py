@@ -55,19 +55,25 @@ def clean_text(parsed: DataFrame) -> DataFrame:
 
 
 def page_anchors(parsed: DataFrame, scope: str = "content") -> DataFrame:
-    """``page_id, url, href, anchor`` of the links in blocks and reference lists, or of all (``scope='all'``)."""
-    found = F.col("markup.all_links") if scope == "all" else F.concat("markup.links", F.expr(
-        "filter(markup.references, r -> r.href != '')"))
-    return parsed.select("page_id", "url", F.inline(found).alias("href", "anchor"))
+    """``page_id, url, href, anchor, link`` of the links in blocks and reference lists, or of all (``scope='all'``).
+
+    ``link`` is the canonical form. It is made before the lists are exploded, where a filter on it
+    cannot be moved below and have it made again.
+    """
+    found = F.col("markup.all_links") if scope == "all" else F.concat("markup.links", F.filter(
+        "markup.references", lambda r: r.href != ""))
+    known = F.transform(found, lambda a: F.struct(
+        a.href.alias("href"), a.anchor.alias("anchor"), canonicalize(a.href, F.col("url")).alias("link")))
+    return parsed.select("page_id", "url", F.inline(known))
 
 
 def page_links(anchors: DataFrame, ignore: Sequence[str] = (), relevance: dict | None = None) -> DataFrame:
-    """``page_id, url, link``: canonical links of a page, each once.
+    """``page_id, url, link``: links of a page, each once, without empty ones.
 
     ``relevance`` holds the arguments of the relevance rule; without it every link is kept. The
     cheap tests come before it.
     """
-    links = anchors.withColumn("link", canonicalize(F.col("href"), F.col("url"))).filter("link != ''")
+    links = anchors.filter("link != ''")
     if ignore:
         links = links.filter(~F.col("link").isin(list(ignore)))
     if relevance is not None:

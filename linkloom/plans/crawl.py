@@ -104,8 +104,8 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
     links = checkpoint(page_links(anchors, rules.ignore, rules.relevance).select(
         F.col("page_id").alias("src"), F.col("link").alias("dst")))
     levels = read.select(F.col("url").alias("src"), (F.col("wave") + 1).alias("level"))
-    found = links.join(levels, "src").join(state.seen.withColumnRenamed("url", "dst"), "dst", "left_anti")
-    found = checkpoint(found.groupBy(F.col("dst").alias("url")).agg(F.min("level").alias("level")).select("level", "url"))
+    found = links.join(levels, "src").groupBy(F.col("dst").alias("url")).agg(F.min("level").alias("level"))
+    found = checkpoint(found.join(state.seen, "url", "left_anti").select("level", "url"))
     rest = state.frontier.join(batch.select("url"), "url", "left_anti").select("level", "url")
     frontier = checkpoint(rest.unionByName(admit(waiting - size, found, rules.capacity)))
     n_read = read.count()

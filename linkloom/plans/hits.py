@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.plans.pagerank import HUB_BLOCK, is_stable, perplexity
-from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, partitions_for, steady_plans
+from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, hub_block_for, partitions_for, steady_plans
 
 
 def _reach(edges: DataFrame, pages: DataFrame, n_pages: int, near: str, far: str) -> DataFrame:
@@ -44,10 +44,13 @@ def base_set(edges: DataFrame, root: DataFrame, vertices: DataFrame | None = Non
 
 
 def subgraph(edges: DataFrame, pages: DataFrame) -> DataFrame:
-    """Edges with both ends in ``pages``."""
-    ids = pages.select("id").distinct()
-    inside = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    return inside.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
+    """Edges with both ends in ``pages``; a set of few pages goes to the edges, not the edges to the set."""
+    ids = checkpoint(pages.select("id").distinct())
+    few = ids.count() <= MAX_BROADCAST_ROWS
+    for end in ("src", "dst"):
+        side = ids.withColumnRenamed("id", end)
+        edges = edges.join(F.broadcast(side) if few else side, end, "left_semi")
+    return edges.select("src", "dst")
 
 
 def _scale(raw: DataFrame, name: str, normalize: str) -> Column:
@@ -72,21 +75,24 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int = 100, no
     histograms keep the same perplexity four times).
 
     Every link is stored under both of its ends, so that a round is one join without a shuffle and
-    one summed shuffle. Pages with many links are split into blocks of keys.
+    one summed shuffle. Pages with many links are split into blocks of keys, as in PageRank.
     """
     spark = edges.sparkSession
     edges = edges.select("src", "dst")
     if pages is not None:
+        pages = checkpoint(pages.select("id").distinct())
         edges = subgraph(edges, pages)
     both = F.array(
         F.struct(F.col("src").alias("id"), F.col("dst").alias("other"), F.lit(True).alias("outward")),
         F.struct(F.col("dst").alias("id"), F.col("src").alias("other"), F.lit(False).alias("outward")))
     links = checkpoint(edges).select(F.inline(both))
-    width = partitions_for(spark, links.count())
+    n_links = links.count()
+    width = partitions_for(spark, n_links)
+    hub_block = hub_block_for(n_links, hub_block)
     with steady_plans(spark, width):
         counts = links.groupBy("id").agg(F.count("*").alias("n"))
         if pages is not None:
-            counts = pages.select("id").distinct().join(counts, "id", "left")
+            counts = pages.join(counts, "id", "left")
         blocks = F.greatest(F.ceil(F.coalesce("n", F.lit(0)) / F.lit(hub_block)), F.lit(1)).cast("int")
         nodes = counts.select("id", blocks.alias("blocks"))
         nodes = checkpoint(nodes.repartition(width, "id").sortWithinPartitions("id"))
@@ -94,8 +100,7 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int = 100, no
         keys = ["id"]
         if n_hubs:
             keys = ["id", "part"]
-            hubs = nodes.filter("blocks > 1")
-            hubs = F.broadcast(hubs) if n_hubs <= MAX_BROADCAST_ROWS else hubs
+            hubs = F.broadcast(nodes.filter("blocks > 1"))
             part = F.coalesce(F.pmod(F.xxhash64("other"), F.col("blocks")), F.lit(0)).cast("int")
             links = links.join(hubs, "id", "left").select("id", part.alias("part"), "other", "outward")
         table = checkpoint(links.repartition(width, *keys).sortWithinPartitions(*keys))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.operators.linkgraph import clean_edges, edge_ends
-from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, partitions_for, steady_plans
+from linkloom.session import checkpoint, hub_block_for, partitions_for, steady_plans
 
 DAMPING = 0.85
 HUB_BLOCK = 1_000_000
@@ -18,13 +17,26 @@ STABLE_ROUNDS = 4
 
 @dataclass
 class Layout:
-    """A graph ready for rounds: ``vertices`` by id and a way to send shares along the links."""
+    """A graph ready for rounds: ``vertices`` by id, and ``edges`` by source or a rule in their place."""
 
     vertices: DataFrame  # id, out_degree, blocks
-    send: Callable[[DataFrame], DataFrame]  # id, out_degree, blocks, rank -> dst, share
     n: int
     has_sinks: bool
     width: int
+    edges: DataFrame | None = None  # src, dst, and part when hubs are split
+    next_id: Column | None = None  # the one target of an id, when there is no edge table
+
+    def send(self, ranks: DataFrame) -> DataFrame:
+        """``dst, share`` for every link: each source's rank over its out-degree."""
+        sources = ranks.filter("out_degree > 0")
+        share = (F.col("rank") / F.col("out_degree")).alias("share")
+        if self.edges is None:
+            return sources.select(self.next_id.alias("dst"), share)
+        keys = [c for c in self.edges.columns if c != "dst"]
+        shares = sources.select(F.col("id").alias("src"), share, *(
+            [F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part")] if "part" in keys else []))
+        # both sides are partitioned and sorted by the keys
+        return self.edges.hint("merge").join(shares, keys).select("dst", "share")
 
 
 def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str = "leak",
@@ -34,7 +46,9 @@ def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str
     ``vertices`` names the crawled pages; links from elsewhere are dropped. Links to elsewhere keep
     their part of the source's rank (``leak``) or are taken out first (``drop``). The links of a
     page with more than ``hub_block`` of them are split by destination into blocks, each its own
-    join key, and the page's share is sent once per block.
+    join key, and the page's share is sent once per block. There are at most links / hub_block such
+    pages, and the block grows with the links, so their table is always small enough to broadcast.
+    Without ``dedupe`` the edges are taken as they are, distinct and cheap to read again.
     """
     spark = edges.sparkSession
     edges = clean_edges(edges) if dedupe else edges.select("src", "dst")
@@ -43,9 +57,11 @@ def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str
         edges = edges.join(vertices.withColumnRenamed("id", "src"), "src", "left_semi")
         if uncrawled == "drop":
             edges = edges.join(vertices.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
-    edges = checkpoint(edges)
+    if dedupe or vertices is not None:
+        edges = checkpoint(edges)
     links = edges.count()
     width = partitions_for(spark, links)
+    hub_block = hub_block_for(links, hub_block)
     with steady_plans(spark, width):
         ends = edge_ends(edges)
         if vertices is not None:
@@ -62,26 +78,12 @@ def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str
                           F.count_if(F.col("blocks") > 1).alias("hubs")).first()
         if facts.hubs == 0:
             table = checkpoint(edges.repartition(width, "src").sortWithinPartitions("src"))
-
-            def send(ranks: DataFrame) -> DataFrame:
-                shares = ranks.filter("out_degree > 0").select(
-                    F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"))
-                return table.hint("merge").join(shares, "src").select("dst", "share")
         else:
-            hubs = nodes.filter("blocks > 1").select(F.col("id").alias("src"), "blocks")
-            # links / hub_block bounds the hubs; their number is known by now
-            hubs = F.broadcast(hubs) if facts.hubs <= MAX_BROADCAST_ROWS else hubs
+            hubs = F.broadcast(nodes.filter("blocks > 1").select(F.col("id").alias("src"), "blocks"))
             part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("blocks")), F.lit(0)).cast("int")
             split = edges.join(hubs, "src", "left").select("src", part.alias("part"), "dst")
             table = checkpoint(split.repartition(width, "src", "part").sortWithinPartitions("src", "part"))
-
-            def send(ranks: DataFrame) -> DataFrame:
-                shares = ranks.filter("out_degree > 0").select(
-                    F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"),
-                    F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
-                return table.hint("merge").join(shares, ["src", "part"]).select("dst", "share")
-
-    return Layout(nodes, send, facts.n, facts.sinks > 0, width)
+    return Layout(nodes, facts.n, facts.sinks > 0, width, edges=table)
 
 
 def lay_out_chain(nodes: DataFrame, k: int) -> Layout:
@@ -96,11 +98,7 @@ def lay_out_chain(nodes: DataFrame, k: int) -> Layout:
     with steady_plans(spark, width):
         rows = nodes.select("id", F.when(end, 0).otherwise(1).alias("out_degree"), F.lit(1).alias("blocks"))
         rows = checkpoint(rows.repartition(width, "id").sortWithinPartitions("id"))
-
-    def send(ranks: DataFrame) -> DataFrame:
-        return ranks.filter("out_degree > 0").select((F.col("id") + 1).alias("dst"), F.col("rank").alias("share"))
-
-    return Layout(rows, send, n, True, width)
+    return Layout(rows, n, True, width, next_id=F.col("id") + 1)
 
 
 def start_ranks(layout: Layout) -> DataFrame:
@@ -127,8 +125,8 @@ def fixed_rounds(layout: Layout, rounds: int, damping: float = DAMPING,
                  mass_precision: float | None = None, rounds_per_write: int = 5) -> DataFrame:
     """``id, rank`` after exactly ``rounds`` updates.
 
-    With sinks each round reads the last one twice (shares and sink mass), so each is written.
-    Without sinks several rounds form one job.
+    With sinks a round is read twice, for its shares and its sink mass, so each is written. Without
+    sinks several rounds form one job.
     """
     ranks = start_ranks(layout)
     every = 1 if layout.has_sinks else rounds_per_write
@@ -159,11 +157,12 @@ def is_stable(history: list[float]) -> bool:
 
 
 def until_converged(layout: Layout, stop: str = "tol", tol: float = 1e-9, max_rounds: int = 200,
-                    damping: float = DAMPING) -> tuple[DataFrame, int]:
+                    damping: float = DAMPING, check_every: int = 5) -> tuple[DataFrame, int]:
     """``id, rank`` and the number of updates made.
 
-    ``tol`` stops when the summed change of all ranks falls below ``tol``; ``histogram`` stops when
-    the perplexity of the score histogram was the same four times. Only that scalar reaches the driver.
+    ``tol`` stops when the summed change of all ranks in one update, looked at every ``check_every``
+    updates, is below ``tol``; ``histogram`` stops when the perplexity of the score histogram was the
+    same four times. Only that scalar reaches the driver.
     """
     ranks = start_ranks(layout)
     history: list[float] = []
@@ -175,15 +174,16 @@ def until_converged(layout: Layout, stop: str = "tol", tol: float = 1e-9, max_ro
                     break
             if done == max_rounds:
                 break
-            before = ranks.select("id", F.col("rank").alias("before"))
             after = next_ranks(layout, ranks, damping)
-            if stop == "tol":
-                after = after.join(before, "id").withColumn("moved", F.abs(F.col("rank") - F.col("before")))
-            ranks = checkpoint(after.drop("before"))
-            if stop == "tol" and ranks.agg(F.sum("moved")).first()[0] < tol:
+            if stop != "tol" or (done + 1) % check_every:
+                ranks = checkpoint(after)
+                continue
+            before = ranks.select("id", F.col("rank").alias("before"))
+            ranks = checkpoint(after.join(before, "id").withColumn("moved", F.abs(F.col("rank") - F.col("before"))))
+            if ranks.agg(F.sum("moved")).first()[0] < tol:
                 done += 1
                 break
-            ranks = ranks.drop("moved")
+            ranks = ranks.drop("moved", "before")
     return ranks.select("id", "rank"), done
 
 

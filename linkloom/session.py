@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROWS_PER_PARTITION = 100_000
+ROWS_PER_PARTITION = 50_000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -72,6 +72,11 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(1, min(limit, math.ceil(rows / ROWS_PER_PARTITION)))
 
 
+def hub_block_for(links: int, wanted: int) -> int:
+    """Links per block of a hub: as wanted, or more where hubs would else outnumber a broadcast."""
+    return max(wanted, math.ceil(links / MAX_BROADCAST_ROWS))
+
+
 @contextmanager
 def steady_plans(spark: SparkSession, width: int):
     """Plan the actions inside with a fixed shuffle width and without runtime re-planning.

@@ -38,11 +38,12 @@ def parse_documents(blocks: DataFrame, source: str | None = None) -> DataFrame:
     def parts(tag: str) -> Column:
         return F.regexp_extract_all("body", F.lit(f"(?s)<{tag}>(.*?)</{tag}>"), F.lit(1))
 
-    docs = body.select(
+    doc = F.struct(
         strip(F.coalesce(F.try_element_at(parts("DOCNO"), F.lit(-1)), F.lit(""))).alias("doc_id"),
         strip(F.array_join(parts("HEAD"), " ")).alias("title"),
-        strip(F.array_join(parts("TEXT"), "")).alias("text"),
-        *([source] if source else []))
+        strip(F.array_join(parts("TEXT"), "")).alias("text"))
+    # as a generated row: the filter below would otherwise be moved under the patterns and repeat them
+    docs = body.select(F.inline(F.array(doc)), *([source] if source else []))
     return docs.filter("doc_id != '' and text != ''")
 
 

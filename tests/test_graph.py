@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +169,40 @@ def test_scores_go_to_the_entry_or_its_partner(spark):
     redirects = spark.createDataFrame([("b", "B"), ("B", "b")], "url string, other_url string")
     rows = {r.id: (r.wave, r.score) for r in linkgraph.write_back_scores(vertices, scores, redirects).collect()}
     assert rows == {"a": (1, 2.0), "B": (2, 3.0), "z": (None, None)}
+
+
+def skewed_links():
+    """400 links, a third of them from one page and a third to another."""
+    draw = random.Random(3)
+    links = {(0, draw.randrange(1, 300)) for _ in range(200)} | {(draw.randrange(2, 300), 1) for _ in range(200)}
+    return sorted(links | {(draw.randrange(300), draw.randrange(300)) for _ in range(150)})
+
+
+def test_skewed_ranks_against_brute_force(spark):
+    links = skewed_links()
+    ids = sorted({i for link in links for i in link})
+    out = Counter(src for src, _ in links)
+    rank = dict.fromkeys(ids, 1 / len(ids))
+    for _ in range(4):
+        lost = sum(r for i, r in rank.items() if not out[i])
+        new = dict.fromkeys(ids, .15 / len(ids) + .85 * lost / len(ids))
+        for src, dst in links:
+            new[dst] += .85 * rank[src] / out[src]
+        rank = new
+    layout = pagerank.lay_out(spark.createDataFrame(links, "src long, dst long"), hub_block=7)
+    assert "part" in layout.edges.columns
+    assert values(pagerank.fixed_rounds(layout, 4), "rank") == {i: round(r, 10) for i, r in rank.items()}
+
+
+def test_skewed_hits_against_brute_force(spark):
+    links = skewed_links()
+    hub = authority = dict.fromkeys({i for link in links for i in link}, 1.0)
+    for _ in range(3):
+        h, a = dict.fromkeys(hub, 0.0), dict.fromkeys(hub, 0.0)
+        for src, dst in links:
+            h[src] += authority[dst]
+            a[dst] += hub[src]
+        hub = {i: x / math.sqrt(sum(y * y for y in h.values())) for i, x in h.items()}
+        authority = {i: x / math.sqrt(sum(y * y for y in a.values())) for i, x in a.items()}
+    got = hits.hits(spark.createDataFrame(links, "src long, dst long"), rounds=3, hub_block=7)
+    assert values(got, "hub", "authority") == {i: (round(hub[i], 10), round(authority[i], 10)) for i in hub}
