@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.text import TOKEN_PATTERN, WORD_CHAR, analyze
 from linkloom.operators.index import StoredIndex, positioned_terms
-from linkloom.session import checkpoint, ship_package
+from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, ship_package
 
 K1, B = 1.2, 0.75
 MARK_OPEN, MARK_CLOSE = "\u0001", "\u0002"
@@ -137,6 +137,8 @@ def search_page(docs: DataFrame, query: str, page: int = 1, size: int = 10, lega
         found = hits.collect()
         hits = spark.createDataFrame(found, hits.schema)
         docs = docs.filter(F.col("doc_id").isin([r.doc_id for r in found]))
+    elif size <= MAX_BROADCAST_ROWS:
+        hits = F.broadcast(hits)
     terms = list(query_terms(spark, query, **analyzer))
     return hits.join(docs, "doc_id").select(
         "rank", "doc_id",

@@ -13,7 +13,7 @@ from linkloom.functions.urls import canonicalize
 from linkloom.operators.frontier import BATCH_STEP, CAPACITY, SHARES, admit, score_frontier, take_batch
 from linkloom.operators.linkgraph import inlink_count
 from linkloom.operators.pages import is_valid_response, page_anchors, page_links, page_title, parse_pages
-from linkloom.session import checkpoint
+from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
 from linkloom.sources.state import load_state, save_state
 
 REQUIRED_PAGES = 40_100
@@ -49,12 +49,24 @@ class CrawlState:
     handed_out: int = BATCH_STEP  # size of the next batch
     docs: DataFrame | None = None  # doc_id, title, text of the last wave
     metrics: tuple = ()
+    unsaved: dict = field(default_factory=dict)  # rows added to the growing tables since the last save
 
-    TABLES = ("frontier", "completed", "seen", "visited", "edges", "scores")
+    GROWING = ("completed", "seen", "visited", "edges", "scores")
 
-    def save(self, path: str) -> None:
-        save_state({name: getattr(self, name) for name in self.TABLES}, path, self.iteration, fetched=self.fetched,
-                   handed_out=self.handed_out)
+    def grown(self, **added: DataFrame) -> dict:
+        """The growing tables with new rows, and the new rows on their own, as fields of the next state."""
+        fields = {name: getattr(self, name).unionByName(rows) for name, rows in added.items()}
+        before = self.unsaved
+        fields["unsaved"] = {n: before[n].unionByName(rows) if n in before else rows for n, rows in added.items()}
+        return fields
+
+    def save(self, path: str) -> CrawlState:
+        """Write the frontier and the rows not yet saved."""
+        if not self.unsaved:
+            return self
+        save_state({"frontier": self.frontier}, {n: self.unsaved[n] for n in self.GROWING}, path, self.iteration,
+                   fetched=self.fetched, handed_out=self.handed_out)
+        return replace(self, unsaved={})
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CrawlState | None:
@@ -71,12 +83,13 @@ def start(seeds: DataFrame, rules: CrawlRules | None = None) -> CrawlState:
     urls = checkpoint(seeds.select(canonicalize(F.col("url"), F.col("url")).alias("url")).filter("url != ''").distinct())
     none = spark.range(0)
     text = F.lit("").alias
-    return CrawlState(
-        frontier=urls.select(F.lit(1).alias("level"), "url"), completed=none.select(text("url")), seen=urls,
-        visited=none.select(text("url")), edges=none.select(text("src"), text("dst")),
-        scores=none.select(text("url"), F.lit(1).alias("wave"), F.lit(0.0).alias("score"),
-                           F.lit(0.0).alias("inlink_score")),
-        handed_out=(rules or CrawlRules()).batch_step or 0)
+    growing = {
+        "completed": none.select(text("url")), "seen": urls, "visited": none.select(text("url")),
+        "edges": none.select(text("src"), text("dst")),
+        "scores": none.select(text("url"), F.lit(1).alias("wave"), F.lit(0.0).alias("score"),
+                              F.lit(0.0).alias("inlink_score"))}
+    return CrawlState(frontier=urls.select(F.lit(1).alias("level"), "url"), **growing, unsaved=growing,
+                      handed_out=(rules or CrawlRules()).batch_step or 0)
 
 
 def captured(pages: DataFrame) -> DataFrame:
@@ -95,7 +108,9 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
     if rules.ignore:
         todo = todo.filter(~F.col("url").isin(list(rules.ignore)))
     scored = score_frontier(todo, inlink_count(state.edges), **rules.score_terms)
-    wanted = scored.withColumnRenamed("link", "url").join(state.visited, "url", "left_anti")
+    wanted = checkpoint(scored.withColumnRenamed("link", "url").join(state.visited, "url", "left_anti"))
+    # a batch of bounded size goes to the pages, so that only the pages it names are moved
+    wanted = F.broadcast(wanted) if size <= MAX_BROADCAST_ROWS else wanted
     page = wanted.join(pages, "url").groupBy("url", "wave", "score", "inlink_score").agg(F.min("html").alias("html"))
     read = checkpoint(
         parse_pages(page, rules.boilerplate, rules.nested)
@@ -113,10 +128,9 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
     row = (state.iteration, size, share, n_read, state.fetched + n_read, frontier.count())
     grows = rules.batch_step is not None and waiting > state.handed_out
     return replace(
-        state, frontier=frontier, completed=state.completed.unionByName(batch.select("url")),
-        seen=state.seen.unionByName(found.select("url")), visited=state.visited.unionByName(read.select("url")),
-        edges=state.edges.unionByName(links),
-        scores=state.scores.unionByName(read.select("url", "wave", "score", "inlink_score")),
+        state, frontier=frontier,
+        **state.grown(completed=batch.select("url"), seen=found.select("url"), visited=read.select("url"), edges=links,
+                      scores=read.select("url", "wave", "score", "inlink_score")),
         fetched=state.fetched + n_read, iteration=state.iteration + 1,
         handed_out=state.handed_out + (rules.batch_step if grows else 0),
         docs=read.select(F.col("url").alias("doc_id"), "title", F.array_join("markup.blocks", "\n").alias("text")),
@@ -139,7 +153,7 @@ def crawl(state: CrawlState, pages: DataFrame, rules: CrawlRules | None = None,
         if docs_path:
             state.docs.write.mode("append").parquet(docs_path)
         if state_path:
-            state.save(state_path)
+            state = state.save(state_path)
         done += 1
     return state
 

@@ -53,9 +53,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, for jobs that run where it is not installed."""
+    """Give the Python workers of a local run this package; a cluster gets it with ``--py-files``."""
     sc = spark.sparkContext
-    if getattr(sc, "_linkloom_shipped", False):
+    if not sc.master.startswith("local") or getattr(sc, "_linkloom_shipped", False):
         return
     package = Path(__file__).parent
     target = Path(tempfile.mkdtemp(prefix="linkloom-package-")) / "linkloom.zip"
