@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.functions.scores import truncate
 from linkloom.operators.linkgraph import clean_edges, edge_ends
 from linkloom.session import checkpoint, hub_block_for, partitions_for, steady_plans
 
@@ -113,10 +114,9 @@ def next_ranks(layout: Layout, ranks: DataFrame, damping: float = DAMPING,
     if layout.has_sinks:
         mass = ranks.agg(F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))).scalar()
         if mass_precision:
-            # truncation to a fixed number of decimals, done in whole units
-            units = F.lit(float(round(1 / mass_precision)))
-            mass = F.floor(mass * units) / units
-    base = F.lit((1 - damping) / layout.n) + F.lit(damping) * mass / F.lit(layout.n)
+            mass = truncate(mass, mass_precision)
+    n = max(layout.n, 1)
+    base = F.lit((1 - damping) / n) + F.lit(damping) * mass / F.lit(n)
     return layout.vertices.join(got, "id", "left").select(
         "id", "out_degree", "blocks", (base + F.lit(damping) * F.coalesce("got", F.lit(0.0))).alias("rank"))
 
@@ -217,6 +217,12 @@ def chain_edges(nodes: DataFrame, k: int) -> DataFrame:
     return nodes.select(F.col("id").alias("src"), F.when(F.col("id") % k == 0, 0).otherwise(F.col("id") + 1).alias("dst"))
 
 
+def chain_table(nodes: DataFrame, k: int) -> DataFrame:
+    """``id, adjacency, rank`` of the chain, as its generator writes it to rank lines."""
+    return chain_edges(nodes, k).select(
+        F.col("src").alias("id"), F.array("dst").alias("adjacency"), F.lit(1.0 / (k * k)).alias("rank"))
+
+
 def with_dummy(ranks: DataFrame) -> DataFrame:
     """The ranks and the dummy node 0, which keeps nothing."""
     dummy = ranks.sparkSession.range(1).select(F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("rank"))

@@ -91,6 +91,12 @@ def parse_rank_lines(lines: DataFrame) -> DataFrame:
                         fields[2].cast("double").alias("rank"))
 
 
+def rank_line_edges(parsed: DataFrame, dummy: int = 0) -> DataFrame:
+    """``src, dst`` of rank lines; a link to the dummy node stands for no link."""
+    links = parsed.select(F.col("id").alias("src"), F.explode("adjacency").alias("dst"))
+    return links.filter((F.col("dst") != dummy) & (F.col("src") != dummy))
+
+
 def read_rank_lines(spark: SparkSession, path: str) -> DataFrame:
     return parse_rank_lines(spark.read.text(path))
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from linkloom.operators import linkgraph
+from linkloom.plans import pagerank
 from linkloom.sources import docfiles, graphfiles, lists
 from linkloom.sources.tables import index_graph_scan
 
@@ -109,6 +110,16 @@ def test_rank_lines(spark, tmp_path):
     assert sorted(graphfiles.read_rank_lines(spark, str(tmp_path / "lines")).collect()) == sorted(nodes.collect())
 
 
+def test_generated_chain_file_ranks_with_truncated_mass(spark, tmp_path):
+    path = str(tmp_path / "chain")
+    graphfiles.write_rank_lines(pagerank.chain_table(pagerank.chain_nodes(spark, 3), 3), path)
+    parsed = graphfiles.read_rank_lines(spark, path)
+    assert parsed.filter("id = 3").first().adjacency == [0]
+    layout = pagerank.lay_out(graphfiles.rank_line_edges(parsed), parsed.select("id"))
+    ranks = {r.id: round(r["rank"], 10) for r in pagerank.fixed_rounds(layout, 4, mass_precision=1e-6).collect()}
+    assert len(ranks) == 9 and (ranks[1], ranks[2], ranks[3]) == (.0593002111, .1164005572, .1576320628)
+
+
 def test_reports(spark, tmp_path):
     report = spark.createDataFrame([("b", 2, 0.1, 1, 0), ("a", 1, 0.9, 2, 3)], "page string, rank int, score double, n_in long, n_out long")
     graphfiles.write_rank_report(report, str(tmp_path / "top"))

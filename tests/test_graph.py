@@ -32,6 +32,12 @@ def test_tolerance_stop_keeps_the_mass(spark, toy):
     assert round(sum(values(ranks, "rank").values()), 9) == 1
 
 
+def test_empty_graph(spark, toy):
+    layout = pagerank.lay_out(toy.limit(0))
+    assert pagerank.fixed_rounds(layout, 2).collect() == []
+    assert hits.hits(toy.limit(0), rounds=2).collect() == []
+
+
 def test_repeated_links_count_once(spark, toy):
     twice = toy.unionByName(toy)
     assert values(pagerank.fixed_rounds(pagerank.lay_out(twice), 2), "rank") == values(

@@ -59,6 +59,15 @@ def test_postings_hold_every_kept_token(spark, folder):
     assert tuple(total) == (kept, kept)
 
 
+def test_whole_text_and_word_by_word_analysis_agree(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, "İstanbul ǅ ŒUVRE naïve's ẞ ﬁn K Ⅷ x\u0301y don't.stop")], "doc_id long, text string")
+    docs = docs.unionByName(extra)
+    whole = docs.select("doc_id", F.explode(text.analyze(F.col("text"))).alias("term"))
+    words = index.positioned_terms(docs).select("doc_id", "term")
+    assert whole.exceptAll(words).collect() == [] and words.exceptAll(whole).collect() == []
+
+
 def test_stemmed_index_joins_word_forms(spark):
     docs = spark.createDataFrame([(1, "reactors reaction"), (2, "reactor Reactor"), (3, None)], "doc_id int, text string")
     rows = {(r.term, r.doc_id): r.tf for r in index.postings(docs, stem=True).collect()}
