@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Word runs joined by an inner apostrophe or full stop; an approximation of Unicode word breaks.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 WORD_CHAR = r"[\p{L}\p{N}_]"
+# What follows the first apostrophe of a word, up to the word's end.
+APOSTROPHE_TAIL = r"([\p{L}\p{N}_])['’][\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 
 # Letters whose ASCII form no Unicode decomposition gives.
 FOLD_TO_MANY = {"ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "þ": "th", "Þ": "TH"}
@@ -53,6 +55,11 @@ def cut_apostrophe(token: Column) -> Column:
     return F.substring_index(F.substring_index(token, "'", 1), "’", 1)
 
 
+def _cut_apostrophes(text: Column) -> Column:
+    """The same for every word of a text."""
+    return F.regexp_replace(text, APOSTROPHE_TAIL, "$1")
+
+
 def fold_accents(token: Column) -> Column:
     """Latin letters with accents become their ASCII letters."""
     token = F.translate(token, ACCENTED, BARE)
@@ -82,8 +89,8 @@ def analyze(text: Column, stop_words: Iterable[str] = (), stop_after_lower: bool
         found = F.filter(tokens(text), lambda t: is_kept(t, stop_words, stop_after_lower))
         terms = F.transform(found, normalize_token)
     else:
-        # no filter needs the raw token: fold the text in one go, then cut it into words
-        terms = F.transform(tokens(F.lower(fold_accents(text))), cut_apostrophe)
+        # no filter needs the raw token: fold and shorten in the whole text, then cut it into words
+        terms = tokens(_cut_apostrophes(F.lower(fold_accents(text))))
     if stem:
         from linkloom.functions.porter import stem_array
 
