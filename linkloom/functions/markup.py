@@ -16,7 +16,7 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 SILENT_TAGS = {"script", "style", "template"}
 # What is taken out before reading, one element per rule: the first of a tag, or the one with an id.
 BOILERPLATE = ["footer", "header", "nav", "#mw-head", "#mw-panel"]
-# The same as the crawler had it: a second footer for the header, and everything done twice.
+# The legacy rules: a second footer in place of the header, and everything done twice.
 LEGACY_BOILERPLATE = ["footer", "footer", "nav", "#mw-head", "#mw-panel"] * 2
 
 LINK = pa.struct([("href", pa.string()), ("anchor", pa.string())])
