@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, rules, slots
+from linkloom.llm import chat, rules, simhash, slots
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
@@ -69,7 +69,7 @@ with texts as (
   select row_number() over () as row_id, doc_id, coalesce(text, '') as text from documents),
 split as (
   select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from texts),
+    [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines from texts),
 windows as (
   select row_id, unnest(generate_series(1, len(words) - 4)) as i, words from split where len(words) >= 5),
 named as (select row_id, i, array_to_string(words[i:i + 4], ' ') as gram from windows),
@@ -88,7 +88,7 @@ ledger as (
   select *, cast(
       (case when n_words < 10 then 1 else 0 end) + (case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end)
       + (case when 100 * n_symbols > 10 * n_words then 4 else 0 end)
-      + (case when 100 * n_dup_lines > 30 * n_lines then 8 else 0 end)
+      + (case when n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines then 8 else 0 end)
       + (case when 100 * n_upper > 25 * word_chars then 16 else 0 end)
       + (case when word_chars < 2 * n_words or word_chars > 20 * n_words then 32 else 0 end) as int) as failed
   from measured)
@@ -97,10 +97,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from ledger
 """
 
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, folder, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 ENTRIES = {
     "op4_chat": (op4_chat, OP4_SQL),
     "op5_slots": (op5_slots, None),
     "op8_rules": (op8_rules, OP8_SQL),
+    "op9_simhash": (op9_simhash, None),
 }
 QUERIES = {name: query for name, (query, _) in ENTRIES.items()}
 ORACLES = {name: sql for name, (_, sql) in ENTRIES.items() if sql}

@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 WHITE = " \t\n\x0b\f\r"
 GAP = r"[ \t-\r]+"
 WINDOW = 5
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_chars_seen")
 
 #: Name and condition of failure, in the order of the bits. Bits are never reused for another rule.
 RULES = (
     ("few_words", "n_words < 10"),
     ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     ("symbols", "100 * n_symbols > 10 * n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeated_lines", "n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines"),
     ("upper_case", "100 * n_upper > 25 * word_chars"),
     ("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
 )
