@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, rules, simhash, slots
+from linkloom.llm import chat, packing, rules, simhash, slots, suffix
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
@@ -57,6 +57,21 @@ def op5_slots(spark: SparkSession, folder: str) -> DataFrame:
                          "virtual_slot")
 
 
+def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.removals(table(spark, folder, "documents"))
+
+
+def op7_packing(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    placed = packing.pack(table(spark, folder, "documents"), tokenizer or vocabulary("word_bpe_49k.json"))
+    return placed.withColumn("length", F.col("length").cast("long"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op8_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = rules.apply_policy(rules.ledger(table(spark, folder, "documents").select("doc_id", "text")))
     base = F.col("failed").bitwiseAND(F.lit(rules.mask(rules.BASE))) != 0
@@ -106,6 +121,8 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 ENTRIES = {
     "op4_chat": (op4_chat, OP4_SQL),
     "op5_slots": (op5_slots, None),
+    "op6_suffix": (op6_suffix, None),
+    "op7_packing": (op7_packing, None),
     "op8_rules": (op8_rules, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
 }
