@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, packing, rules, simhash, slots, suffix
+from linkloom.llm import chat, packing, pieces, rules, simhash, sketch, slots, suffix
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
 
 
+def op2_pieces(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
+    return pieces.summary(table(spark, folder, "documents"), model or vocabulary("piece_bpe_32k.model"))
+
+
+def op3_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.edited(table(spark, folder, "documents"))
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.sql(f"select -1L as conv_id, 0L as turn, 'user' as role, '{probe}' as text "
@@ -119,6 +127,8 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op2_pieces": (op2_pieces, None),
+    "op3_sketch": (op3_sketch, None),
     "op4_chat": (op4_chat, OP4_SQL),
     "op5_slots": (op5_slots, None),
     "op6_suffix": (op6_suffix, None),
