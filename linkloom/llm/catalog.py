@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, packing, pieces, rules, simhash, sketch, slots, suffix
+from linkloom.llm import chat, packing, pieces, rules, simhash, sketch, slots, suffix, toxicity
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
@@ -126,6 +126,14 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, table(spark, folder, "labels"))
+    out = toxicity.scored(docs, net)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 ENTRIES = {
     "op2_pieces": (op2_pieces, None),
     "op3_sketch": (op3_sketch, None),
@@ -135,6 +143,7 @@ ENTRIES = {
     "op7_packing": (op7_packing, None),
     "op8_rules": (op8_rules, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
+    "op10_toxicity": (op10_toxicity, None),
 }
 QUERIES = {name: query for name, (query, _) in ENTRIES.items()}
 ORACLES = {name: sql for name, (_, sql) in ENTRIES.items() if sql}

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,9 @@ from linkloom.operators.numbering import number_rows
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 LONGEST_KNOWN = 64
+TAIL = ",.;:!?"
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _CODECS: dict[str, "Codec"] = {}
 
@@ -42,19 +44,49 @@ class Codec:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.encode_all = partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
+        stop = self.encode_all(["."])[0].ids
+        self.stop_id = stop[0] if len(stop) == 1 else None
         self.known: dict[str, bytes] = {"": b""}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
-        new = list(set().union(*split).difference(self.known))
-        encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        found = {word: np.array(e.ids, "<u4").tobytes() for word, e in zip(new, encoded)}
-        table = found | self.known
-        self.known.update((word, ids) for word, ids in found.items() if len(word) <= LONGEST_KNOWN)
-        return [b"".join([table[word] for word in words]) for words in split]
+        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(parts) if ids is None] if None in parts else () for parts in found]
+        new = self.encoded({words[i] for words, at in zip(split, gaps) for i in at})
+        for words, parts, at in zip(split, found, gaps):
+            for i in at:
+                parts[i] = new[words[i]]
+        self.known.update({word: ids for word, ids in new.items() if len(word) <= LONGEST_KNOWN})
+        return list(map(b"".join, found))
+
+    def encoded(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word; marks after letters are tokens of their own, so ``word,`` is ``word`` and ``,``."""
+        parts = {}
+        for word in words:
+            core = word.rstrip(TAIL)
+            parts[word] = (core.lower() if core.isascii() else core, word[len(core):]) if core.isalpha() else ("", word)
+        known = self.known
+        found = self.plain({p for pair in parts.values() for p in pair if p not in known})
+        return {word: known[a] + (known[b] if b in known else found[b]) if a in known
+                else found[a] + (known[b] if b in known else found[b]) for word, (a, b) in parts.items()}
+
+    def plain(self, words: set[str]) -> dict[str, bytes]:
+        """Words of letters alone are tokenized as one text, with a full stop between them."""
+        letters = [word for word in words if word.isalpha()]
+        out = {}
+        for at in range(0, len(letters), 256):
+            part = letters[at:at + 256]
+            ids = np.array(self.encode_all([" . ".join(part)])[0].ids, "<u4")
+            cuts = np.r_[-1, np.flatnonzero(ids == self.stop_id), len(ids)]
+            if self.stop_id is not None and len(cuts) == len(part) + 1:
+                data, begins, ends = ids.tobytes(), (4 * (cuts[:-1] + 1)).tolist(), (4 * cuts[1:]).tolist()
+                out.update(zip(part, [data[b:e] for b, e in zip(begins, ends)]))
+        left = [word for word in words if word not in out]
+        return out | {word: np.array(e.ids, "<u4").tobytes() for word, e in zip(left, self.encode_all(left))}
 
 
 def codec(path: str) -> Codec:

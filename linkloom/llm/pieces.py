@@ -26,7 +26,7 @@ from linkloom.llm.common import map_arrow
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 LONGEST_KNOWN = 64
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 _MODELS: dict[str, "Pieces"] = {}
@@ -41,118 +41,121 @@ class Pieces:
             model.ParseFromString(file.read())
         self.names = [p.piece for p in model.pieces]
         self.table = {p.piece: (p.score, i) for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER_DEFINED)}
-        self.starts = {name[:k] for name in self.table for k in range(1, len(name) + 1)}
+        self.root: dict = {}  # by character: the next characters, and under "" the score and id of a piece
+        for name, found in self.table.items():
+            node = self.root
+            for sign in name:
+                node = node.setdefault(sign, {})
+            node[""] = found
         self.longest = max(map(len, self.table))
         self.unknown_score = min(score for score, _ in self.table.values()) - UNKNOWN_PENALTY
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == 2), 0)
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
+        self.first_byte, self.last_byte = min(self.bytes_of, default=0), max(self.bytes_of, default=0)
         self.by_word = not any(MARK in name.lstrip(MARK) for name in self.table)
         self.known: dict[str, bytes] = {}
 
     def stream(self, chunks: Iterable[str]) -> Iterator[list[int]]:
         """Final ids, as soon as they are, of the text that the chunks make up."""
-        text, base, at = "", 0, 0  # text[0] is position base; positions below at have been expanded
-        best, back = {0: 0.0}, {}
+        table, root, longest, unknown = self.table, self.root, self.longest, self.unknown_score
+        # index 0 of the lists is the last committed boundary, where one state is left
+        text, at, reach, best, back, piece = "", 0, 0, [0.0], [0], [0]
         for chunk, last in marked_last(chunks):
             text += chunk
-            end = base + len(text)
-            while at < end and (last or at + self.longest <= end):
-                self.expand(text, at - base, at, best, back)
-                del best[at]
+            room = len(text) + 1 - len(best)
+            best += [None] * room
+            back += [0] * room
+            piece += [0] * room
+            while at < len(text) and (last or at + longest <= len(text)):
+                score = best[at]
+                if score is not None:
+                    node, end = root, at
+                    for sign in text[at:at + longest]:
+                        node = node.get(sign)
+                        if node is None:
+                            break
+                        end += 1
+                        found = node.get("")
+                        if found is not None:
+                            total = score + found[0]
+                            if best[end] is None or total > best[end]:
+                                best[end], back[end], piece[end] = total, at, found[1]
+                                if end > reach:
+                                    reach = end
+                    if text[at] not in table and (best[at + 1] is None or score + unknown > best[at + 1]):
+                        best[at + 1], back[at + 1], piece[at + 1] = score + unknown, at, -1
+                        reach = max(reach, at + 1)
                 at += 1
-                boundary = at if len(best) == 1 else self.boundary(best, back) if at % self.longest == 0 else None
-                if boundary is not None and boundary > base:
-                    if boundary in best or len(best) > 1:
-                        yield self.collect(text, base, boundary, back)
-                        text, base = text[boundary - base:], boundary
-            if last and base < end:
-                yield self.collect(text, base, end, back)
-
-    def expand(self, text: str, offset: int, at: int, best: dict, back: dict) -> None:
-        score, table, starts = best[at], self.table, self.starts
-        single = False
-        for size in range(1, min(self.longest, len(text) - offset) + 1):
-            part = text[offset:offset + size]
-            if part not in starts:
-                break
-            found = table.get(part)
-            if found is not None:
-                single = single or size == 1
-                if at + size not in best or score + found[0] > best[at + size]:
-                    best[at + size] = score + found[0]
-                    back[at + size] = (at, found[1])
-        if not single and (at + 1 not in best or score + self.unknown_score > best[at + 1]):
-            best[at + 1] = score + self.unknown_score
-            back[at + 1] = (at, -1)
+                if reach == at:  # one live position
+                    boundary = at
+                elif at % longest == 0:
+                    boundary = self.boundary([k for k in range(at, reach + 1) if best[k] is not None], back)
+                else:
+                    continue
+                if boundary and at < len(text):
+                    yield self.collect(text, boundary, back, piece)
+                    text, at, reach = text[boundary:], at - boundary, reach - boundary
+                    best, piece = best[boundary:], piece[boundary:]
+                    back = [max(0, k - boundary) for k in back[boundary:]]
+            if last and text:
+                yield self.collect(text, len(text), back, piece)
 
     @staticmethod
-    def boundary(best: dict, back: dict) -> int | None:
+    def boundary(live: list[int], back: list[int]) -> int:
         """The last position that the backpointers of all live positions run through."""
-        common = None
-        for at in best:
-            path = {at}
-            while at in back:
-                at = back[at][0]
-                path.add(at)
-            common = path if common is None else common & path
-        return max(common) if common else None
-
-    def collect(self, text: str, base: int, boundary: int, back: dict) -> list[int]:
+        while len(live) > 1:
+            live = sorted({*live[:-1], back[live[-1]]})
+        return live[0]
+
+    def collect(self, text: str, boundary: int, back: list[int], piece: list[int]) -> list[int]:
         parts, at = [], boundary
-        while at > base:
-            before, piece = back[at]
-            parts.append((before, at, piece))
-            at = before
-        for k in [k for k in back if k <= boundary]:
-            del back[k]
-        ids: list[int] = []
-        for begin, end, piece in reversed(parts):
-            if piece >= 0:
-                ids.append(piece)
+        while at > 0:
+            if piece[at] >= 0:
+                parts.append((piece[at],))
             else:
-                ids += [self.byte_ids.get(b, self.unknown) for b in text[begin - base:end - base].encode()]
-        return ids
+                parts.append([self.byte_ids.get(b, self.unknown) for b in text[back[at]:at].encode()])
+            at = back[at]
+        return [i for part in reversed(parts) for i in part]
 
     def encode_word(self, word: str) -> bytes:
-        ids = [i for part in self.stream([word]) for i in part]
+        ids = [i for part in self.stream((word,)) for i in part]
         return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        marked = MARK + text.replace(" ", MARK)
         if not self.by_word:
-            return self.encode_word(marked)
-        known, out = self.known, []
-        for word in re.findall(f"{MARK}+[^{MARK}]*", marked):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.encode_word(word)
+            return self.encode_word(MARK + text.replace(" ", MARK))
+        words = text.replace(MARK, " ").split(" ")
+        if "" in words:  # runs of blanks belong to the word after them
+            words = [part[1:] for part in re.findall(" +[^ ]*", " " + " ".join(words))]
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            if len(self.known) > KNOWN_WORDS:
+                self.known.clear()
+            for i in [i for i, ids in enumerate(parts) if ids is None]:
+                word = words[i]
+                parts[i] = ids = self.encode_word(MARK + word.replace(" ", MARK))
                 if len(word) <= LONGEST_KNOWN:
-                    if len(known) >= KNOWN_WORDS:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+                    self.known[word] = ids
+        return b"".join(parts)
 
     def decode(self, ids: bytes) -> str:
-        names, bytes_of, out, raw = self.names, self.bytes_of, [], bytearray()
         numbers = np.frombuffer(ids, "<u4")
-        if len(bytes_of) and not np.isin(numbers, list(bytes_of)).any():
-            text = "".join([names[i] for i in numbers.tolist()])
-        else:
-            for i in numbers.tolist():
-                if i in bytes_of:
-                    raw.append(bytes_of[i])
-                    continue
-                if raw:
-                    out.append(raw.decode("utf-8", "replace"))
-                    raw.clear()
-                out.append(names[i])
-            text = "".join(out) + raw.decode("utf-8", "replace")
-        return text[1:].replace(MARK, " ")
+        if not len(self.bytes_of) or not ((numbers >= self.first_byte) & (numbers <= self.last_byte)).any():
+            return "".join([self.names[i] for i in numbers.tolist()])[1:].replace(MARK, " ")
+        out, raw = [], bytearray()
+        for i in [*numbers.tolist(), None]:
+            if i in self.bytes_of:
+                raw.append(self.bytes_of[i])
+                continue
+            if raw:
+                out.append(raw.decode("utf-8", "replace"))
+                raw.clear()
+            out.append("" if i is None else self.names[i])
+        return "".join(out)[1:].replace(MARK, " ")
 
 
 def marked_last(chunks: Iterable[str]) -> Iterator[tuple[str, bool]]:

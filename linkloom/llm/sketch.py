@@ -1,7 +1,7 @@
 """Threshold-scaled fingerprints: every shingle hash below a fixed fraction of the hash range is retained.
 
 Two fingerprints use the same threshold whatever the sizes of their texts, so unions, likeness and containment
-follow from the retained hashes alone, also between a line and a book. A fingerprint is the number of distinct
+follow from the retained hashes alone, also between a line and a book. A fingerprint is the number of
 shingles, a hash of the whole text and the retained hashes in order, all in hex. Texts too short to retain a
 hash are told apart by the hash of the text: their likeness is 1 if equal, else 0.
 
@@ -32,27 +32,30 @@ EDITED = ("doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string
           "near_edited double, near_next double")
 
 
-def shingle_hashes(points: np.ndarray) -> np.ndarray:
-    """The distinct hashes of ``HASH_BITS`` bits of all shingles of a text's code points."""
-    step, values = 1, points.astype(np.uint64) + np.uint64(1)
-    while step < SHINGLE and len(values) > step:
-        values = values[:-step] * np.uint64(0x9E3779B97F4A7C15) + (values[step:] ^ values[step:] >> np.uint64(29))
-        values ^= values >> np.uint64(31)
-        step *= 2
-    if step < SHINGLE:
+BASE = 0x9E3779B97F4A7C15
+STEPS = [(1 << k, np.uint64(pow(BASE, 1 << k, 1 << 64))) for k in range(SHINGLE.bit_length() - 1)]
+
+
+def retained(points: np.ndarray) -> np.ndarray:
+    """The distinct retained hashes of all shingles of a text's code points; shingles are hashed by doubling."""
+    if len(points) < SHINGLE:
         values = np.array([xxhash.xxh64_intdigest(points.tobytes())], np.uint64)
-    values *= np.uint64(0xBF58476D1CE4E5B9)
+    else:
+        values = points.astype(np.uint64)
+        for step, factor in STEPS:
+            values = values[:-step] * factor + values[step:]
     values ^= values >> np.uint64(32)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(29)
     values *= np.uint64(0x94D049BB133111EB)
-    return np.unique(values >> np.uint64(64 - HASH_BITS))
+    return np.unique(values[values < np.uint64(1 << (64 - SCALE_BITS))] >> np.uint64(64 - HASH_BITS))
 
 
 def sketch(text: str) -> tuple[int, int, np.ndarray]:
-    """Number of distinct shingles, hash of the text, retained hashes."""
+    """Number of shingles, hash of the text, retained hashes."""
     data = text.encode("utf-32-le")
-    hashes = shingle_hashes(np.frombuffer(data, np.uint32)) if text else np.zeros(0, np.uint64)
-    kept = hashes[:np.searchsorted(hashes, np.uint64(1 << (HASH_BITS - SCALE_BITS)))]
-    return len(hashes), xxhash.xxh64_intdigest(data), kept
+    kept = retained(np.frombuffer(data, np.uint32)) if text else np.zeros(0, np.uint64)
+    return max(len(text) - SHINGLE + 1, min(1, len(text))), xxhash.xxh64_intdigest(data), kept
 
 
 def written(parts: tuple[int, int, np.ndarray]) -> str:
