@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, packing, pieces, rules, simhash, sketch, slots, suffix, toxicity
+from linkloom.llm import chat, extract, packing, pieces, rules, simhash, sketch, slots, suffix, toxicity
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
 
 
+def op1_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.main_text(table(spark, folder, "pages"))
+
+
 def op2_pieces(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
     return pieces.summary(table(spark, folder, "documents"), model or vocabulary("piece_bpe_32k.model"))
 
@@ -135,6 +139,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op1_extract": (op1_extract, None),
     "op2_pieces": (op2_pieces, None),
     "op3_sketch": (op3_sketch, None),
     "op4_chat": (op4_chat, OP4_SQL),

@@ -29,7 +29,7 @@ THRESHOLD = 0.3
 HIDDEN, WORD_SIZE, GRAM_SIZE, ATTENTION = 8, 8, 8, 8
 BUCKETS = 1 << 13
 LEAST_DOCS, MOST_WORDS = 3, 20_000
-EPOCHS, BATCH, RATE = 14, 64, 0.01
+EPOCHS, BATCH, RATE, DECAY = 10, 64, 0.01, 0.02
 KNOWN_WORDS = 150_000
 WINDOWS_AT_ONCE = 1024
 WORD = re.compile(r"\w+")
@@ -207,7 +207,7 @@ class Adam:
             self.m[k] += 0.1 * (x - self.m[k])
             self.v[k] += 0.01 * (x * x - self.v[k])
             fixed = self.m[k] / (1 - 0.9 ** self.t)
-            self.p[k] -= self.rate * fixed / (np.sqrt(self.v[k] / (1 - 0.99 ** self.t)) + 1e-6)
+            self.p[k] -= self.rate * (fixed / (np.sqrt(self.v[k] / (1 - 0.99 ** self.t)) + 1e-6) + DECAY * self.p[k])
 
 
 def window_index(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
