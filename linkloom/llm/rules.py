@@ -90,7 +90,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     for at, (_, condition) in enumerate(RULES):
         bit = F.when(F.expr(condition), F.lit(1 << at)).otherwise(F.lit(0))
         bits = bit if bits is None else bits.bitwiseOR(bit)
-    return measured(docs).withColumn("failed", bits)
+    # the condition always holds, and keeps Spark from moving a filter on the bits below the measurements
+    return measured(docs).withColumn("failed", F.when(F.monotonically_increasing_id() >= 0, bits))
 
 
 def apply_policy(ledger_rows: DataFrame, version: int = LATEST) -> DataFrame:
