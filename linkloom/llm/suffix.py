@@ -34,9 +34,9 @@ LENGTH = 50
 GRAM = 8
 ORDER_BITS = 16
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4096
-STRINGS_PER_SHARD = 1 << 23
-STRINGS_PER_BATCH = 1 << 20
-FLUSH_BYTES = 1 << 26
+STRINGS_PER_SHARD = 1 << 22
+STRINGS_PER_BATCH = 1 << 19
+FLUSH_BYTES = 1 << 25
 SPANS = "doc_id long, text_hash long, spans array<int>"
 
 
@@ -98,8 +98,8 @@ def stretches(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, ...]
     return data, document, starts, starts - begins[document], stop - starts, least[starts]
 
 
-def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places of several runs of ``data``, one after the other."""
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of several runs, one after the other."""
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
@@ -134,9 +134,8 @@ class Outbox:
 
     def add(self, ids: np.ndarray, hashes: np.ndarray, texts: list[bytes]) -> None:
         data, document, start, place, strings, least = stretches(texts, self.classes)
-        sizes = strings + LENGTH - 1
-        content = data[gathered(data, start, sizes)]
-        self.parts.append((document + self.docs, place, strings, least, content))
+        content = data[gathered(start, strings + LENGTH - 1)]
+        self.parts.append((document + self.docs, place, strings, least, stretch_keys(data, start, strings), content))
         self.ids.append(ids)
         self.hashes.append(hashes)
         self.docs += len(ids)
@@ -144,13 +143,13 @@ class Outbox:
 
     def flush(self) -> tuple[list[tuple], dict]:
         """Rows ``shard, packed`` to send, and the spans of stretches that an earlier document here has too."""
-        document, place, strings, least, content = (np.concatenate(x) for x in zip(*self.parts))
+        document, place, strings, least, key, content = (np.concatenate(x) for x in zip(*self.parts))
         ids, hashes = np.concatenate(self.ids), np.concatenate(self.hashes)
         self.clear()
         sizes = strings + LENGTH - 1
         ends = np.cumsum(sizes)
         begins = ends - sizes
-        repeated = repeats(content, begins, sizes, ids[document])
+        repeated = repeats(key, content, begins, sizes, ids[document])
         spans = span_columns(ids, hashes, document[repeated], place[repeated], (place + sizes)[repeated])
         keep = np.flatnonzero(~repeated)
         shard = (mixed(least[keep]) % np.uint64(self.shards)).astype(np.int64)
@@ -161,7 +160,7 @@ class Outbox:
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = keep[a:b]
             docs, index = np.unique(document[own], return_inverse=True)
-            text = content[gathered(content, begins[own], sizes[own])]
+            text = content[gathered(begins[own], sizes[own])]
             rows.append((int(shard[a]), packer.compress(b"".join([
                 np.array([len(docs), len(own)], np.int64).tobytes(), ids[docs].tobytes(), hashes[docs].tobytes(),
                 np.diff(index, prepend=0).astype(np.int32).tobytes(),
@@ -183,22 +182,25 @@ def unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
             strings.astype(np.int64), np.frombuffer(raw, np.uint8, offset=at))
 
 
-def repeats(content: np.ndarray, begins: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Which stretches are byte for byte the same as one of a smaller id."""
+def stretch_keys(data: np.ndarray, start: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """A hash of each stretch: the sum of its strings' fingerprints, mixed with the first one and their number."""
+    prints = string_prints(data)
+    total = np.r_[np.uint64(0), np.cumsum(prints)]
+    return (total[start + strings] - total[start]) ^ mixed(prints[start] + strings.astype(np.uint64))
+
+
+def repeats(key: np.ndarray, content: np.ndarray, begins: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which stretches are byte for byte the same as one of a smaller id; the keys only say what to compare."""
     out = np.zeros(len(begins), bool)
     if not len(begins):
         return out
-    prints = string_prints(content)
-    total = np.r_[np.uint64(0), np.cumsum(prints[:len(content) - LENGTH + 1])]
-    # the sum of its strings' fingerprints, with the first and the last: enough to find what to compare
-    key = (total[begins + sizes - LENGTH + 1] - total[begins]) ^ mixed(prints[begins] + sizes.astype(np.uint64))
     order = np.lexsort((ids, key))
     key, first = key[order], np.r_[True, key[order][1:] != key[order][:-1]]
     head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     later = (ids[order] > ids[head]) & (sizes[order] == sizes[head])
     own, source = order[later], head[later]
     if len(own):
-        same = content[gathered(content, begins[own], sizes[own])] == content[gathered(content, begins[source], sizes[own])]
+        same = content[gathered(begins[own], sizes[own])] == content[gathered(begins[source], sizes[own])]
         out[own] = np.logical_and.reduceat(same, np.cumsum(sizes[own]) - sizes[own])
     return out
 
@@ -282,10 +284,10 @@ def scan_shard(packed: list[bytes]) -> dict:
         upto = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + STRINGS_PER_BATCH, "right")))
         own = slice(at, upto)
         size = strings[own] + LENGTH - 1
-        local = data[gathered(data, begins[own], size)]
+        local = data[gathered(begins[own], size)]
         local_begins = np.cumsum(size) - size
-        prints = string_prints(local)[gathered(local, local_begins, strings[own])]
-        places = gathered(data, begins[own], strings[own])
+        prints = string_prints(local)[gathered(local_begins, strings[own])]
+        places = gathered(begins[own], strings[own])
         stretch = np.repeat(np.arange(at, upto), strings[own])
         gone = family.scan(places.astype(np.uint32), prints, rank_of[document[stretch]])
         hit = np.flatnonzero(gone)
