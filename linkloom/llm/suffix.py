@@ -34,8 +34,9 @@ LENGTH = 50
 GRAM = 8
 ORDER_BITS = 16
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4096
-STRINGS_PER_SHARD = 1 << 22
-STRINGS_PER_BATCH = 1 << 19
+STRINGS_PER_SHARD, PARTS = 1 << 25, 8
+STRINGS_PER_BATCH = 1 << 20
+LONGEST_STRETCH = 255
 FLUSH_BYTES = 1 << 25
 SPANS = "doc_id long, text_hash long, spans array<int>"
 
@@ -95,9 +96,29 @@ def stretches(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, ...]
     stop = np.minimum(np.r_[starts[1:], len(data)], last)
     keep = stop > starts
     starts, stop, document = starts[keep], stop[keep], document[keep]
+    pieces = -(-(stop - starts) // LONGEST_STRETCH)
+    if pieces.max(initial=1) > 1:
+        stop, document = np.repeat(stop, pieces), np.repeat(document, pieces)
+        starts = gathered_steps(starts, pieces)
+        stop = np.minimum(stop, starts + LONGEST_STRETCH)
     return data, document, starts, starts - begins[document], stop - starts, least[starts]
 
 
+def gathered_steps(starts: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Each start, and so many places after it as there are pieces, a longest stretch apart."""
+    within = gathered(np.zeros(len(pieces), np.int64), pieces)
+    return np.repeat(starts, pieces) + LONGEST_STRETCH * within
+
+
+def planes(values: np.ndarray) -> bytes:
+    """32-bit integers as four runs of bytes, which pack better."""
+    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view("<i4").ravel()
+
+
 def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of several runs, one after the other."""
     ends = np.cumsum(sizes)
@@ -110,8 +131,10 @@ def string_prints(data: np.ndarray) -> np.ndarray:
     n = len(data) - LENGTH + 1
     out = np.zeros(max(0, n), np.uint64)
     for at, offset in enumerate([*range(0, LENGTH - 7, 8), LENGTH - 8]):
-        out = (out ^ words[offset:offset + n]) * np.uint64(0x9E3779B97F4A7C15 + 2 * at)
-        out ^= out >> np.uint64(32)
+        out += words[offset:offset + n] * np.uint64(pow(0x9E3779B97F4A7C15, 2 * at + 1, 1 << 64))
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(29)
     return out
 
 
@@ -152,34 +175,38 @@ class Outbox:
         repeated = repeats(key, content, begins, sizes, ids[document])
         spans = span_columns(ids, hashes, document[repeated], place[repeated], (place + sizes)[repeated])
         keep = np.flatnonzero(~repeated)
-        shard = (mixed(least[keep]) % np.uint64(self.shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        keep, shard = keep[order], shard[order]
+        spread = mixed(least[keep])
+        shard = (spread % np.uint64(self.shards)).astype(np.int64)
+        part = (spread // np.uint64(self.shards) % np.uint64(PARTS)).astype(np.int64)
+        order = np.argsort(shard * PARTS + part, kind="stable")
+        keep, shard, part = keep[order], shard[order], part[order]
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else []
         rows, packer = [], zstandard.ZstdCompressor(level=3)
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = keep[a:b]
             docs, index = np.unique(document[own], return_inverse=True)
-            text = content[gathered(begins[own], sizes[own])]
             rows.append((int(shard[a]), packer.compress(b"".join([
-                np.array([len(docs), len(own)], np.int64).tobytes(), ids[docs].tobytes(), hashes[docs].tobytes(),
-                np.diff(index, prepend=0).astype(np.int32).tobytes(),
-                np.diff(place[own], prepend=0).astype(np.int32).tobytes(),
-                strings[own].astype(np.int32).tobytes(), text.tobytes()]))))
+                np.array([len(docs), len(own)], np.int64).tobytes(),
+                np.bincount(part[a:b], minlength=PARTS).astype(np.int64).tobytes(),
+                ids[docs].tobytes(), hashes[docs].tobytes(), planes(np.diff(index, prepend=0)),
+                planes(np.diff(place[own], prepend=0)), strings[own].astype(np.uint8).tobytes(),
+                content[gathered(begins[own], sizes[own])].tobytes()]))))
         return rows, spans
 
 
 def unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
-    """``ids, hashes, document, place, strings, text`` of a packed row."""
+    """``stretches by part, ids, hashes, document, place, strings, text`` of a packed row."""
     raw = zstandard.ZstdDecompressor().decompress(packed)
-    docs, count = np.frombuffer(raw, np.int64, 2)
-    at, out = 16, []
-    for kind, n in ((np.int64, docs), (np.int64, docs), (np.int32, count), (np.int32, count), (np.int32, count)):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    ids, hashes, document, place, strings = out
-    return (ids, hashes, np.cumsum(document, dtype=np.int64), np.cumsum(place, dtype=np.int64),
-            strings.astype(np.int64), np.frombuffer(raw, np.uint8, offset=at))
+    docs, count = np.frombuffer(raw, np.int64, 2).tolist()
+    at = 16 + 8 * PARTS
+    parts = np.frombuffer(raw, np.int64, PARTS, 16)
+    ids, hashes = np.frombuffer(raw, np.int64, docs, at), np.frombuffer(raw, np.int64, docs, at + 8 * docs)
+    at += 16 * docs
+    document, place = from_planes(raw, count, at), from_planes(raw, count, at + 4 * count)
+    at += 8 * count
+    strings = np.frombuffer(raw, np.uint8, count, at).astype(np.int64)
+    return (parts, ids, hashes, np.cumsum(document, dtype=np.int64), np.cumsum(place, dtype=np.int64), strings,
+            np.frombuffer(raw, np.uint8, offset=at + count))
 
 
 def stretch_keys(data: np.ndarray, start: np.ndarray, strings: np.ndarray) -> np.ndarray:
@@ -264,41 +291,53 @@ class Family:
 
 
 def scan_shard(packed: list[bytes]) -> dict:
-    """The spans to remove that one shard finds, from all stretches sent to it."""
-    parts = [unpacked(p) for p in packed]
-    shift = np.cumsum([0] + [len(p[0]) for p in parts])
-    ids, hashes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-    document = np.concatenate([p[2] + s for p, s in zip(parts, shift)])
-    place, strings = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
-    data = np.concatenate([p[5] for p in parts])
-    del parts
+    """The spans to remove that one shard finds, from all stretches sent to it, one part of the shard at a time."""
+    rows = [unpacked(p) for p in packed]
+    shift = np.cumsum([0] + [len(r[1]) for r in rows])
+    ids, hashes = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
+    rank_of = np.unique(ids, return_inverse=True)[1]
+    found = []
+    for part in range(PARTS):
+        document, place, strings, text = [], [], [], []
+        for (counts, _, _, docs, places, sizes, data), first in zip(rows, shift):
+            begin = int(counts[:part].sum())
+            own = slice(begin, begin + int(counts[part]))
+            byte = int(sizes[:begin].sum()) + begin * (LENGTH - 1)
+            text.append(data[byte:byte + int(sizes[own].sum()) + int(counts[part]) * (LENGTH - 1)])
+            document.append(docs[own] + first)
+            place.append(places[own])
+            strings.append(sizes[own])
+        found += scan_part(*(np.concatenate(x) for x in (document, place, strings, text)), rank_of)
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
+    return span_columns(ids, hashes, *columns)
+
+
+def scan_part(document: np.ndarray, place: np.ndarray, strings: np.ndarray, data: np.ndarray,
+              rank_of: np.ndarray) -> list[tuple]:
+    """``document, begin, end`` of the spans to remove, batch by batch in the order of ids."""
     sizes = strings + LENGTH - 1
     begins = np.cumsum(sizes) - sizes
-    rank_of = np.unique(ids, return_inverse=True)[1]
     order = np.lexsort((place, document, rank_of[document]))
     document, place, strings, begins = document[order], place[order], strings[order], begins[order]
     done = np.cumsum(strings)
-    family, found = Family(data), []
-    at = 0
+    family, found, at = Family(data), [], 0
     while at < len(order):
         upto = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + STRINGS_PER_BATCH, "right")))
         own = slice(at, upto)
         size = strings[own] + LENGTH - 1
         local = data[gathered(begins[own], size)]
-        local_begins = np.cumsum(size) - size
-        prints = string_prints(local)[gathered(local_begins, strings[own])]
+        prints = string_prints(local)[gathered(np.cumsum(size) - size, strings[own])]
         places = gathered(begins[own], strings[own])
         stretch = np.repeat(np.arange(at, upto), strings[own])
-        gone = family.scan(places.astype(np.uint32), prints, rank_of[document[stretch]])
-        hit = np.flatnonzero(gone)
+        hit = np.flatnonzero(family.scan(places.astype(np.uint32), prints, rank_of[document[stretch]].astype(np.int32)))
         if len(hit):
-            owner, where = stretch[hit], place[stretch[hit]] + (places[hit] - begins[stretch[hit]])
+            owner = stretch[hit]
+            where = place[owner] + (places[hit] - begins[owner])
             start = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (owner[1:] != owner[:-1])])
             stop = np.r_[start[1:], len(hit)] - 1
             found.append((document[owner[start]], where[start], where[stop] + LENGTH))
         at = upto
-    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-    return span_columns(ids, hashes, *columns)
+    return found
 
 
 def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
