@@ -50,7 +50,8 @@ def first_map(shards: int, slots: int = SLOTS) -> dict[int, int]:
 def rebalance(placed: dict[int, int], sizes: dict[int, int], shards: int) -> dict[int, int]:
     """A new version of the map with shards of near equal bytes, moving slots only out of shards above the mean.
 
-    Shards above the mean give up slots; the largest of those go first, each to the lightest shard. Then the
+    Shards above the mean give up their largest slots, as long as they stay above it, and each of those goes to
+    the lightest shard. Then the
     heaviest and the lightest shard exchange slots as long as that brings them closer.
     """
     mean = sum(sizes.values()) / shards
@@ -60,12 +61,11 @@ def rebalance(placed: dict[int, int], sizes: dict[int, int], shards: int) -> dic
         (held[shard].add(slot) if shard < shards else free.append(slot))
     total = [sum(sizes[s] for s in group) for group in held]
     for shard, group in enumerate(held):
-        for slot in sorted(group, key=lambda s: (sizes[s], s)):
-            if total[shard] <= mean:
-                break
-            group.remove(slot)
-            total[shard] -= sizes[slot]
-            free.append(slot)
+        for slot in sorted(group, key=lambda s: (-sizes[s], s)):
+            if sizes[slot] and total[shard] - sizes[slot] >= mean:
+                group.remove(slot)
+                total[shard] -= sizes[slot]
+                free.append(slot)
     lightest = [(load, shard) for shard, load in enumerate(total)]
     heapq.heapify(lightest)
     for slot in sorted(free, key=lambda s: (-sizes[s], s)):
