@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from linkloom.session import ship_package
 
 MAX_ID = (1 << 63) - 1
+ROW_GROUP = 1 << 25
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,7 +39,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once, and safe from lost executors."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,6 +47,16 @@ def null_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit("")))
 
 
+def hand_back() -> None:
+    """Give freed memory back to the machine: a worker that a later task reuses starts small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, make: Callable, schema: str | T.StructType, max_rows: int = 1024) -> DataFrame:
     """``mapInArrow`` where ``make(batch)`` gives a dict of columns, or nothing, for a slice of at most ``max_rows`` rows."""
     kinds = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -56,6 +69,7 @@ def map_arrow(df: DataFrame, make: Callable, schema: str | T.StructType, max_row
                 if columns is not None:
                     yield pa.RecordBatch.from_arrays(
                         [as_arrow(columns[f.name], f.type) for f in arrow], schema=arrow)
+        hand_back()
 
     return df.mapInArrow(run, kinds)
 

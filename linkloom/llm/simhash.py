@@ -21,14 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import map_arrow, saved
+from linkloom.llm.common import hand_back, map_arrow, saved
 from linkloom.llm.components import roots
 
 BITS = 64
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
-VALUES_PER_GROUP = 1 << 22
+VALUES_PER_GROUP = 1 << 21
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) -> bytes:
@@ -149,7 +149,9 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         apart = np.bitwise_count((signed[a] ^ signed[b]).view(np.uint64))
         if len(apart) and apart.max() > radius:
             raise AssertionError("fingerprints that meet must be within the radius")
-        return pa.Table.from_arrays([pa.array(signed[hung]), pa.array(signed[label[hung]])], schema=schema)
+        out = pa.Table.from_arrays([pa.array(signed[hung]), pa.array(signed[label[hung]])], schema=schema)
+        hand_back()
+        return out
 
     return spread.repartition(1 << max(3, width - 1), "prefix").groupBy("prefix").applyInArrow(
         meet, "a long, b long")

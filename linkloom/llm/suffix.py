@@ -28,16 +28,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import MAX_ID, map_arrow
+from linkloom.llm.common import MAX_ID, hand_back, map_arrow
 
 LENGTH = 50
 GRAM = 8
 ORDER_BITS = 16
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4096
 STRINGS_PER_SHARD, PARTS = 1 << 25, 8
-STRINGS_PER_BATCH = 1 << 20
+STRINGS_PER_BATCH = 1 << 19
 LONGEST_STRETCH = 255
-FLUSH_BYTES = 1 << 25
+FLUSH_BYTES = 3 << 23
 SPANS = "doc_id long, text_hash long, spans array<int>"
 
 
@@ -194,7 +194,7 @@ class Outbox:
         return rows, spans
 
 
-def unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
+def unpacked(packed: bytes | pa.Buffer) -> tuple[np.ndarray, ...]:
     """``stretches by part, ids, hashes, document, place, strings, text`` of a packed row."""
     raw = zstandard.ZstdDecompressor().decompress(packed)
     docs, count = np.frombuffer(raw, np.int64, 2).tolist()
@@ -290,7 +290,7 @@ class Family:
         self.levels.append(new)
 
 
-def scan_shard(packed: list[bytes]) -> dict:
+def scan_shard(packed: list) -> dict:
     """The spans to remove that one shard finds, from all stretches sent to it, one part of the shard at a time."""
     rows = [unpacked(p) for p in packed]
     shift = np.cumsum([0] + [len(r[1]) for r in rows])
@@ -368,6 +368,7 @@ def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
                     yield from batches(box)
         if box.parts:
             yield from batches(box)
+        hand_back()
 
     return docs.select("doc_id", "text_hash", "data").mapInArrow(run, f"shard int, packed binary, {SPANS}")
 
@@ -390,11 +391,12 @@ def removed_spans(docs: DataFrame) -> DataFrame:
 
     def scan(group: pa.Table) -> pa.Table:
         packed = group.column("packed")
-        held = [p.as_py() for p in packed if p.is_valid]
+        held = [p.as_buffer() for p in packed if p.is_valid]
         local = group.filter(pa.compute.is_null(packed)).select(schema.names).cast(schema)
         if not held:
             return local
         found = scan_shard(held)
+        hand_back()
         return pa.concat_tables([local, pa.Table.from_arrays(
             [pa.array(found["doc_id"]), pa.array(found["text_hash"]), found["spans"]], schema=schema)])
 
