@@ -47,6 +47,22 @@ def null_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit("")))
 
 
+#: What workers remember from task to task, by operator.
+CACHES: list[dict] = []
+
+
+def remembered() -> dict:
+    """A table that lasts as long as its worker, or until another operator needs the memory."""
+    CACHES.append({})
+    return CACHES[-1]
+
+
+def forget() -> None:
+    for cache in CACHES:
+        cache.clear()
+    hand_back()
+
+
 def hand_back() -> None:
     """Give freed memory back to the machine: a worker that a later task reuses starts small."""
     gc.collect()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import map_arrow, saved
+from linkloom.llm.common import map_arrow, remembered, saved
 from linkloom.operators.numbering import number_rows
 
 CAPACITY = 2048
@@ -29,7 +29,7 @@ KNOWN_WORDS = 600_000
 LONGEST_KNOWN = 64
 TAIL = ",.;:!?"
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
-_CODECS: dict[str, "Codec"] = {}
+_CODECS: dict[str, "Codec"] = remembered()
 
 
 class Codec:

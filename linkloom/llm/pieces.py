@@ -22,14 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from linkloom.llm.common import map_arrow
+from linkloom.llm.common import map_arrow, remembered
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 KNOWN_WORDS = 600_000
 LONGEST_KNOWN = 64
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
-_MODELS: dict[str, "Pieces"] = {}
+_MODELS: dict[str, "Pieces"] = remembered()
 
 
 class Pieces:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import hand_back, map_arrow, saved
+from linkloom.llm.common import forget, map_arrow, saved
 from linkloom.llm.components import roots
 
 BITS = 64
@@ -142,6 +142,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        forget()
         signed = np.unique(rows.column("fp").to_numpy())
         a, b = met(signed.view(np.uint64), key[0].as_py(), width, reach)
         label = forest(len(signed), a, b)
@@ -150,7 +151,6 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         if len(apart) and apart.max() > radius:
             raise AssertionError("fingerprints that meet must be within the radius")
         out = pa.Table.from_arrays([pa.array(signed[hung]), pa.array(signed[label[hung]])], schema=schema)
-        hand_back()
         return out
 
     return spread.repartition(1 << max(3, width - 1), "prefix").groupBy("prefix").applyInArrow(

@@ -28,13 +28,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import MAX_ID, hand_back, map_arrow
+from linkloom.llm.common import MAX_ID, forget, hand_back, map_arrow
 
 LENGTH = 50
 GRAM = 8
 ORDER_BITS = 16
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4096
-STRINGS_PER_SHARD, PARTS = 1 << 25, 8
+STRINGS_PER_SHARD, PARTS = 1 << 24, 4
 STRINGS_PER_BATCH = 1 << 19
 LONGEST_STRETCH = 255
 FLUSH_BYTES = 3 << 23
@@ -359,6 +359,7 @@ def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
                  pa.array(spans["text_hash"]), spans["spans"]], schema=schema)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         box = Outbox(classes, shards)
         for batch in found:
             for at in range(0, batch.num_rows, 512):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import map_arrow
+from linkloom.llm.common import map_arrow, remembered
 
 WINDOW, STRIDE = 48, 32
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
@@ -30,10 +30,10 @@ HIDDEN, WORD_SIZE, GRAM_SIZE, ATTENTION = 8, 8, 8, 8
 BUCKETS = 1 << 13
 LEAST_DOCS, MOST_WORDS = 3, 20_000
 EPOCHS, BATCH, RATE, DECAY = 10, 64, 0.01, 0.02
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 120_000
 WINDOWS_AT_ONCE = 1024
 WORD = re.compile(r"\w+")
-_TABLES: dict[str, "Table"] = {}
+_TABLES: dict[str, "Table"] = remembered()
 
 
 def words_of(text: str | None) -> list[str]:
@@ -246,23 +246,23 @@ def window_logits(net: Network, gates: np.ndarray, ids: list[np.ndarray]) -> tup
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """A network fitted to labelled texts."""
-    split = [words_of(t) for t in texts]
     label = np.array(labels, np.float32)
-    seen: dict[str, list[int]] = {}
-    for own, toxic in zip(split, labels):
-        for word in set(own):
-            seen.setdefault(word, [0, 0])[int(toxic)] += 1
-    common = sorted((w for w, n in seen.items() if sum(n) >= LEAST_DOCS), key=lambda w: (-sum(seen[w]), w))[:MOST_WORDS]
-    net = Network.fresh(common, seed)
-    vocabulary = list(seen)
-    row_of = {word: i for i, word in enumerate(vocabulary)}
-    ids = [np.fromiter((row_of[w] for w in own), np.int64, len(own)) for own in split]
+    row_of: dict[str, int] = {}
+    ids = []
+    for text in texts:
+        own = words_of(text)
+        ids.append(np.fromiter((row_of.setdefault(w, len(row_of)) for w in own), np.int32, len(own)))
+    vocabulary, seen = list(row_of), np.zeros((len(row_of), 2), np.int64)
+    for own, toxic in zip(ids, labels):
+        seen[np.unique(own), int(toxic)] += 1
+    order = sorted(np.flatnonzero(seen.sum(1) >= LEAST_DOCS).tolist(), key=lambda i: (-seen[i].sum(), vocabulary[i]))
+    net = Network.fresh([vocabulary[i] for i in order[:MOST_WORDS]], seed)
     if not vocabulary or not len(label):
         return net
     clean, toxic = max(1, int((label == 0).sum())), max(1, int(label.sum()))
     # the first choice of windows goes by how much oftener a word is in toxic texts
-    odds = np.array([np.log((b + 0.2) / toxic) - np.log((a + 0.2) / clean) for a, b in seen.values()], np.float32)
-    odds = np.maximum(0, odds - 1) * np.array([min(1, sum(n) / 4) for n in seen.values()], np.float32)
+    odds = np.log((seen[:, 1] + 0.2) / toxic) - np.log((seen[:, 0] + 0.2) / clean)
+    odds = np.maximum(0, odds - 1) * np.minimum(1, seen.sum(1) / 4)
     text, start, size = window_index(ids)
     first = np.array([odds[ids[t][s:s + n]].sum() for t, s, n in zip(text, start, size)], np.float32)
     flat = np.concatenate(ids)
