@@ -9,7 +9,6 @@ from linkloom.functions.scores import frontier_score, inlink_score
 from linkloom.operators.numbering import number_rows
 
 BATCH_STEP = 500
-CAPACITY = 90_000
 SHARES = 8
 
 
@@ -64,8 +63,10 @@ def frontier_shares(scored: DataFrame, shares: int = SHARES) -> DataFrame:
     return numbered.select("link", "score", share.alias("share"))
 
 
-def admit(queue_size: int, found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """New entries ``level, url`` the queue still has room for, first by level and URL."""
+def admit(queue_size: int, found: DataFrame, capacity: int | None = None) -> DataFrame:
+    """New entries ``level, url`` the queue still has room for, first by level and URL; all of them without a limit."""
+    if capacity is None:
+        return found
     return found.orderBy("level", "url").limit(max(capacity - queue_size, 0))
 
 

@@ -10,14 +10,12 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.markup import BOILERPLATE
 from linkloom.functions.urls import canonicalize
-from linkloom.operators.frontier import BATCH_STEP, CAPACITY, SHARES, admit, score_frontier, take_batch
+from linkloom.operators.frontier import BATCH_STEP, SHARES, admit, score_frontier, take_batch
 from linkloom.operators.linkgraph import inlink_count
 from linkloom.operators.pages import is_valid_response, page_anchors, page_links, page_title, parse_pages
 from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
 from linkloom.sources.state import load_state, save_state
 
-REQUIRED_PAGES = 40_100
-
 
 @dataclass
 class CrawlRules:
@@ -30,8 +28,8 @@ class CrawlRules:
     score_terms: dict = field(default_factory=dict)
     ignore: Sequence[str] = ()
     batch_step: int | None = BATCH_STEP  # None hands out the whole frontier
-    capacity: int = CAPACITY
-    required: int = REQUIRED_PAGES
+    capacity: int | None = None  # entries the frontier holds at most
+    required: int | None = None  # pages after which the crawl ends
 
 
 @dataclass
@@ -122,7 +120,8 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
     found = links.join(levels, "src").groupBy(F.col("dst").alias("url")).agg(F.min("level").alias("level"))
     found = checkpoint(found.join(state.seen, "url", "left_anti").select("level", "url"))
     rest = state.frontier.join(batch.select("url"), "url", "left_anti").select("level", "url")
-    frontier = checkpoint(rest.unionByName(admit(waiting - size, found, rules.capacity)))
+    found = checkpoint(admit(waiting - size, found, rules.capacity)) if rules.capacity is not None else found
+    frontier = checkpoint(rest.unionByName(found))
     n_read = read.count()
     share = -(-size // SHARES) if size >= SHARES else size
     row = (state.iteration, size, share, n_read, state.fetched + n_read, frontier.count())
@@ -141,17 +140,17 @@ def crawl(state: CrawlState, pages: DataFrame, rules: CrawlRules | None = None,
           docs_path: str | None = None, state_path: str | None = None) -> CrawlState:
     """Waves until the frontier is empty, enough pages are read, or ``max_waves`` are done.
 
-    ``pages`` come from :func:`captured`. With paths, each wave appends its documents and saves the
-    state, from which :meth:`CrawlState.load` resumes.
+    ``pages`` come from :func:`captured`. With paths, each wave writes its documents to a folder of its own,
+    which a repeated wave overwrites, and saves the state, from which :meth:`CrawlState.load` resumes.
     """
     rules = rules or CrawlRules()
     done = 0
-    while state.fetched <= rules.required and (max_waves is None or done < max_waves):
+    while (rules.required is None or state.fetched <= rules.required) and (max_waves is None or done < max_waves):
         if state.frontier.isEmpty():
             break
         state = crawl_wave(state, pages, rules)
         if docs_path:
-            state.docs.write.mode("append").parquet(docs_path)
+            state.docs.write.mode("overwrite").parquet(f"{docs_path}/iteration={state.iteration}")
         if state_path:
             state = state.save(state_path)
         done += 1

@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_PARTITION = 50_000
+MOST_ROWS_PER_PARTITION = 2_000_000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -67,9 +68,10 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:
-    """Shuffle width for ``rows`` rows: the session's setting, less when the data is small."""
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(limit, math.ceil(rows / ROWS_PER_PARTITION)))
+    """Shuffle width for ``rows`` rows: as many as the rows need, few when the data is small."""
+    setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(rows / ROWS_PER_PARTITION)
+    return max(1, min(wanted, setting), math.ceil(rows / MOST_ROWS_PER_PARTITION))
 
 
 def hub_block_for(links: int, wanted: int) -> int:
