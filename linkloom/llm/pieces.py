@@ -26,7 +26,7 @@ from linkloom.llm.common import map_arrow, remembered
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 1_000_000
 LONGEST_KNOWN = 64
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 _MODELS: dict[str, "Pieces"] = remembered()
