@@ -34,10 +34,11 @@ LENGTH = 50
 GRAM = 8
 ORDER_BITS = 16
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 4096
-STRINGS_PER_SHARD, PARTS = 1 << 25, 8
-STRINGS_PER_BATCH = 1 << 19
+STRINGS_PER_SHARD, PARTS, PARTS_HELD = 1 << 25, 16, 2
+STRINGS_PER_BATCH = 1 << 18
 LONGEST_STRETCH = 255
 FLUSH_BYTES = 1 << 25
+COMPARED_BYTES = 1 << 20
 SPANS = "doc_id long, text_hash long, spans array<int>"
 
 
@@ -122,7 +123,11 @@ def from_planes(raw: bytes, n: int, at: int) -> np.ndarray:
 def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of several runs, one after the other."""
     ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int((starts + sizes).max(initial=0))) < 1 << 31 else np.int64
+    out = np.repeat((starts - (ends - sizes)).astype(kind), sizes)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def string_prints(data: np.ndarray) -> np.ndarray:
@@ -180,9 +185,8 @@ class Outbox:
         part = (spread // np.uint64(self.shards) % np.uint64(PARTS)).astype(np.int64)
         order = np.argsort(shard * PARTS + part, kind="stable")
         keep, shard, part = keep[order], shard[order], part[order]
-        cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else []
         rows, packer = [], zstandard.ZstdCompressor(level=3)
-        for a, b in zip(cuts[:-1], cuts[1:]):
+        for a, b in runs(shard):
             own = keep[a:b]
             docs, index = np.unique(document[own], return_inverse=True)
             rows.append((int(shard[a]), packer.compress(b"".join([
@@ -226,12 +230,20 @@ def repeats(key: np.ndarray, content: np.ndarray, begins: np.ndarray, sizes: np.
     head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     later = (ids[order] > ids[head]) & (sizes[order] == sizes[head])
     own, source = order[later], head[later]
-    if len(own):
-        same = content[gathered(begins[own], sizes[own])] == content[gathered(begins[source], sizes[own])]
-        out[own] = np.logical_and.reduceat(same, np.cumsum(sizes[own]) - sizes[own])
+    block = np.cumsum(sizes[own]) // COMPARED_BYTES
+    for a, b in runs(block):
+        size = sizes[own[a:b]]
+        same = content[gathered(begins[own[a:b]], size)] == content[gathered(begins[source[a:b]], size)]
+        out[own[a:b]] = np.logical_and.reduceat(same, np.cumsum(size) - size)
     return out
 
 
+def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    cuts = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]) if len(values) else np.zeros(0, np.int64)
+    return zip(cuts[:-1].tolist(), cuts[1:].tolist())
+
+
 def span_columns(ids, hashes, document, begin, end) -> dict:
     """Spans by document, as columns of ``SPANS``; the documents come in runs."""
     order = np.argsort(document, kind="stable")
@@ -291,23 +303,30 @@ class Family:
 
 
 def scan_shard(packed: list) -> dict:
-    """The spans to remove that one shard finds, from all stretches sent to it, one part of the shard at a time."""
-    rows = [unpacked(p) for p in packed]
-    shift = np.cumsum([0] + [len(r[1]) for r in rows])
-    ids, hashes = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
-    rank_of = np.unique(ids, return_inverse=True)[1]
+    """The spans to remove that one shard finds, from all stretches sent to it.
+
+    Only the packed rows stay in memory; a few parts of the shard at a time are unpacked and scanned.
+    """
+    heads = [unpacked(p)[1:3] for p in packed]
+    shift = np.cumsum([0] + [len(i) for i, _ in heads])
+    ids, hashes = (np.concatenate([h[k] for h in heads]) for k in (0, 1))
+    del heads
+    rank_of = np.unique(ids, return_inverse=True)[1].astype(np.int32)
     found = []
-    for part in range(PARTS):
-        document, place, strings, text = [], [], [], []
-        for (counts, _, _, docs, places, sizes, data), first in zip(rows, shift):
-            begin = int(counts[:part].sum())
-            own = slice(begin, begin + int(counts[part]))
-            byte = int(sizes[:begin].sum()) + begin * (LENGTH - 1)
-            text.append(data[byte:byte + int(sizes[own].sum()) + int(counts[part]) * (LENGTH - 1)])
-            document.append(docs[own] + first)
-            place.append(places[own])
-            strings.append(sizes[own])
-        found += scan_part(*(np.concatenate(x) for x in (document, place, strings, text)), rank_of)
+    for first_part in range(0, PARTS, PARTS_HELD):
+        held = [[] for _ in range(PARTS_HELD)]
+        for row, first in zip(packed, shift.tolist()):
+            counts, _, _, docs, places, sizes, data = unpacked(row)
+            stretch_ends = np.r_[0, np.cumsum(counts)].tolist()
+            for k in range(PARTS_HELD):
+                own = slice(stretch_ends[first_part + k], stretch_ends[first_part + k + 1])
+                byte = int(sizes[:own.start].sum()) + own.start * (LENGTH - 1)
+                upto = byte + int(sizes[own].sum()) + (own.stop - own.start) * (LENGTH - 1)
+                held[k].append(((docs[own] + first).astype(np.int32), places[own].astype(np.int32),
+                                sizes[own].copy(), data[byte:upto].copy()))
+        for k in range(PARTS_HELD):
+            columns, held[k] = [np.concatenate(x) for x in zip(*held[k])], None
+            found += scan_part(*columns, rank_of)
     columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
     return span_columns(ids, hashes, *columns)
 
