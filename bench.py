@@ -1,7 +1,7 @@
-"""Time every registered query, warm, and the chain-graph PageRank at the published sizes.
+"""Time every registered query and the chain-graph PageRank at the published sizes.
 
 Prints one JSON line. ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores, ``BENCH_RUNS`` how
-many timed runs follow the warm-up (the median counts), ``BENCH_ONLY`` a comma-separated choice.
+often each query runs (the median counts, so that the first, cold run does not), ``BENCH_ONLY`` a comma-separated choice.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from linkloom.session import build_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 ONLY = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
 
 
@@ -42,11 +42,10 @@ def main() -> None:
         if ONLY and name not in ONLY:
             continue
         times = []
-        for run in range(RUNS + 1):
+        for _ in range(RUNS):
             begin = time.perf_counter()
             consume(job())
-            if run:
-                times.append(time.perf_counter() - begin)
+            times.append(time.perf_counter() - begin)
         seconds[name] = round(statistics.median(times), 3)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,

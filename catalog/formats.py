@@ -6,11 +6,11 @@ from catalog import sqlparts as q
 from linkloom.operators import linkgraph
 from linkloom.session import checkpoint
 from linkloom.sources import docfiles, graphfiles
-from linkloom.sources.tables import part_graph, read_table, read_texts
+from linkloom.sources.tables import part_graph, read_table
 
 
 def _titled(spark, folder):
-    docs = read_texts(spark, folder, "documents", "doc_id")
+    docs = read_table(spark, folder, "documents")
     title = F.when(F.col("lang") == "de", F.lit("")).otherwise(F.concat_ws(" ", "source", "lang"))
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), title.alias("title"), "text")
 
@@ -32,11 +32,13 @@ def inlink_adjacency_roundtrip(spark, folder):
 
 
 def rank_line_roundtrip(spark, folder):
-    lists = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder, sparse=True)))
-    line = graphfiles.format_rank_line(F.col("url"), F.col("outlinks"), F.lit(1.0) / (F.size("outlinks") + 1))
+    edges = checkpoint(part_graph(spark, folder, suppliers=True))
+    # a hub has several lines, each with the rank of the whole page
+    lists = linkgraph.link_adjacency(edges).join(linkgraph.degrees(edges, distinct=False).withColumnRenamed("id", "url"), "url")
+    line = graphfiles.format_rank_line(F.col("url"), F.col("outlinks"), F.lit(1.0) / (F.col("out_degree") + 1))
     parsed = graphfiles.parse_rank_lines(lists.select(line.alias("value")))
-    return parsed.select("id", F.array_join(F.col("adjacency").cast("array<string>"), ",").alias("adjacency"),
-                         F.round("rank", 9).alias("rank"))
+    links = parsed.select("id", F.explode("adjacency").alias("dst"))
+    return parsed.select("id", F.round("rank", 9).alias("rank")).distinct().join(links, "id", "left")
 
 
 _TITLE = "case when lang = 'de' then '' else source || ' ' || lang end"
@@ -53,6 +55,6 @@ ENTRIES = {
         inlink_adjacency_roundtrip, f"select src::varchar as src, dst::varchar as dst from ({q.edges()})"),
     "rank_line_roundtrip": (
         rank_line_roundtrip,
-        f"select id, coalesce(string_agg(dst::varchar, ',' order by dst), '') as adjacency, round(1.0::double / (count(dst) + 1), 9) as rank "
-        f"from ({q.vertices(True)}) v left join ({q.edges(True)}) e on e.src = v.id group by id"),
+        f"select id, dst, round(1.0::double / (count(dst) over (partition by id) + 1), 9) as rank "
+        f"from ({q.vertices(True)}) v left join ({q.edges(True)}) e on e.src = v.id"),
 }

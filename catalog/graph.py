@@ -24,7 +24,7 @@ def clean_edges(spark, folder):
 
 
 def graph_vertices(spark, folder):
-    return linkgraph.graph_vertices(part_graph(spark, folder, sparse=True))
+    return linkgraph.graph_vertices(part_graph(spark, folder, suppliers=True))
 
 
 def degrees(spark, folder):
@@ -36,11 +36,11 @@ def inlink_count(spark, folder):
 
 
 def sink_vertices(spark, folder):
-    return linkgraph.sink_vertices(part_graph(spark, folder, sparse=True))
+    return linkgraph.sink_vertices(part_graph(spark, folder, suppliers=True))
 
 
 def sink_mass(spark, folder):
-    edges = checkpoint(part_graph(spark, folder, sparse=True))
+    edges = checkpoint(part_graph(spark, folder, suppliers=True))
     ranks = pagerank.fixed_rounds(pagerank.lay_out(edges, dedupe=False), 2)
     return rounded(linkgraph.sink_mass(ranks, linkgraph.sink_vertices(edges)), "mass")
 
@@ -51,14 +51,14 @@ def _joined(name):
 
 def link_adjacency(spark, folder):
     lists = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder)))
-    return lists.select("url", _joined("inlinks"), _joined("outlinks"))
+    return lists.select("url", "block", _joined("inlinks"), _joined("outlinks"))
 
 
 def new_links(spark, folder):
     from linkloom.operators.frontier import new_links as unseen
 
-    found = part_graph(spark, folder).select(F.col("dst").alias("url"))
-    seen = linkgraph.graph_vertices(part_graph(spark, folder, sparse=True)).select(F.col("id").alias("url"))
+    found = part_graph(spark, folder, suppliers=True).select(F.col("dst").alias("url"))
+    seen = linkgraph.graph_vertices(part_graph(spark, folder)).select(F.col("id").alias("url"))
     return unseen(found, seen)
 
 
@@ -67,49 +67,38 @@ def _redirects(spark, folder, target):
 
 
 def redirect_resolve(spark, folder):
-    return linkgraph.resolve_redirects(part_graph(spark, folder, sparse=True), _redirects(spark, folder, "final_url"))
-
-
-def _lists(spark, folder, sparse):
-    edges = checkpoint(part_graph(spark, folder, sparse))
-    return checkpoint(linkgraph.link_adjacency(edges).select("url", "inlinks", "outlinks"))
+    return linkgraph.resolve_redirects(part_graph(spark, folder, suppliers=True), _redirects(spark, folder, "final_url"))
 
 
 def doc_link_join(spark, folder):
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    linked = index.with_link_info(docs, _lists(spark, folder, True), _redirects(spark, folder, "other_url"))
-    return linked.select("doc_id", F.length("text").alias("n_chars"), _joined("inlinks"), _joined("outlinks"))
+    rows = checkpoint(linkgraph.link_rows(part_graph(spark, folder, suppliers=True)))
+    linked = index.document_links(docs, rows, _redirects(spark, folder, "other_url"))
+    return linked.select("doc_id", "direction", "link")
 
 
 def index_upsert(spark, folder):
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    redirects = spark.range(0).select(F.col("id").alias("url"), F.col("id").alias("other_url"))
-    held = index.with_link_info(docs, _lists(spark, folder, False), redirects).withColumn("author", F.lit("first"))
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", F.lit("first").alias("author"))
     items = read_table(spark, folder, "benchmark").select((F.col("item_id") * 50).alias("doc_id"), "text")
-    links = _lists(spark, folder, True).withColumnRenamed("url", "doc_id")
-    empty = F.array().cast("array<bigint>")
-    fresh = items.join(links, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("inlinks", empty).alias("inlinks"), F.coalesce("outlinks", empty).alias("outlinks"))
-    merged = index.merge_links(held, fresh, author="second")
-    return merged.select("doc_id", F.length("text").alias("n_chars"), _joined("inlinks"), _joined("outlinks"), "author")
+    merged = index.merge_documents(docs, items, author="second")
+    return merged.select("doc_id", F.length("text").alias("n_chars"), "author")
 
 
 def index_upsert_rows(spark, folder):
-    def rows(sparse):
-        links = linkgraph.link_rows(part_graph(spark, folder, sparse))
+    def rows(suppliers):
+        links = linkgraph.link_rows(part_graph(spark, folder, suppliers))
         return links.withColumn("pos", F.col("link"))
 
-    return linkgraph.merge_link_rows(rows(True), rows(False))
+    return linkgraph.merge_link_rows(rows(False), rows(True))
 
 
 def index_graph_scan(spark, folder):
-    docs = _lists(spark, folder, True).select(F.col("url").alias("doc_id"), "inlinks", "outlinks", F.lit("first").alias("author"))
-    scan = tables.index_graph_scan(docs)
-    return scan.select("doc_id", F.size("inlinks").alias("n_in"), F.size("outlinks").alias("n_out"), "author", "is_sink")
+    links = linkgraph.link_adjacency(checkpoint(part_graph(spark, folder, suppliers=True)))
+    return tables.index_graph_scan(links.withColumnRenamed("url", "doc_id").withColumn("author", F.lit("first")))
 
 
 def pagerank_fixed(spark, folder):
-    layout = pagerank.lay_out(part_pairs(spark, folder, sparse=True))
+    layout = pagerank.lay_out(part_pairs(spark, folder, suppliers=True))
     return rounded(pagerank.fixed_rounds(layout, ROUNDS), "rank")
 
 
@@ -119,18 +108,22 @@ def pagerank_top500(spark, folder):
     return rounded(pagerank.rank_report(ranks, edges, 500), "score")
 
 
+def _crawled(spark, folder):
+    return read_table(spark, folder, "lineitem").select(F.col("l_partkey").alias("id")).distinct()
+
+
 def pagerank_crawled(spark, folder):
-    # crawled are the sources of the sparse graph; all other parts are known only as link targets
-    edges = part_pairs(spark, folder)
-    crawled = part_graph(spark, folder, sparse=True).select(F.col("src").alias("id")).distinct()
+    # crawled are the parts; suppliers are known only as link targets
+    edges = part_pairs(spark, folder, suppliers=True)
+    crawled = _crawled(spark, folder)
     layout = pagerank.lay_out(edges, crawled, uncrawled="leak")
     return rounded(pagerank.fixed_rounds(layout, ROUNDS), "rank")
 
 
 def pagerank_converged(spark, folder):
-    layout = pagerank.lay_out(part_pairs(spark, folder, sparse=True))
-    ranks, _ = pagerank.until_converged(layout, stop="tol", tol=1e-8)
-    return ranks.withColumn("rank", F.round("rank", 7))
+    layout = pagerank.lay_out(part_pairs(spark, folder, suppliers=True))
+    ranks, _ = pagerank.until_converged(layout, stop="tol", tol=1e-13)
+    return rounded(ranks, "rank")
 
 
 def _nodes(spark, folder):
@@ -158,45 +151,46 @@ def pagerank_truncated(spark, folder):
     return rounded(pagerank.with_dummy(pagerank.fixed_rounds(layout, 4, mass_precision=1e-6)), "rank")
 
 
-def _sparse_ranks(spark, folder, rounds):
-    return pagerank.fixed_rounds(pagerank.lay_out(part_pairs(spark, folder, sparse=True)), rounds)
+def _ranks(spark, folder, rounds):
+    return pagerank.fixed_rounds(pagerank.lay_out(part_pairs(spark, folder, suppliers=True)), rounds)
 
 
 def rank_histogram(spark, folder):
-    return pagerank.rank_histogram(_sparse_ranks(spark, folder, 3), 9)
+    return pagerank.rank_histogram(_ranks(spark, folder, 3), 9)
 
 
 def rank_perplexity(spark, folder):
-    return rounded(pagerank.perplexity(_sparse_ranks(spark, folder, 3), 9), "perplexity")
+    return rounded(pagerank.perplexity(_ranks(spark, folder, 3), 9), "perplexity")
 
 
 def _base(spark, folder, edges):
     root = linkgraph.graph_vertices(edges).orderBy(F.md5(F.col("id").cast("string")), "id").limit(20)
-    return hits.base_set(edges, root, sample=10, max_rounds=2)
+    return hits.base_set(edges, root, sample=200)
 
 
 def hits_base_set(spark, folder):
-    edges = checkpoint(part_graph(spark, folder, sparse=True))
+    edges = checkpoint(part_graph(spark, folder, suppliers=True))
     return _base(spark, folder, edges)
 
 
 def hits_subgraph(spark, folder):
-    pages = linkgraph.graph_vertices(part_graph(spark, folder, sparse=True))
-    return hits.subgraph(part_graph(spark, folder), pages)
+    return hits.subgraph(part_graph(spark, folder, suppliers=True), _crawled(spark, folder))
 
 
-def _hits(spark, folder, normalize):
-    edges = part_pairs(spark, folder)
-    pages = linkgraph.graph_vertices(part_graph(spark, folder, sparse=True))
-    return hits.hits(edges, pages, rounds=3, normalize=normalize)
+def _hits(spark, folder, normalize, **stop):
+    return hits.hits(part_pairs(spark, folder, suppliers=True), _crawled(spark, folder), normalize=normalize, **stop)
 
 
 def hits_scores(spark, folder):
-    return rounded(_hits(spark, folder, "sumsq"), "hub", "authority")
+    return rounded(_hits(spark, folder, "sumsq", rounds=3), "hub", "authority")
 
 
 def hits_l2(spark, folder):
-    return rounded(_hits(spark, folder, "l2"), "hub", "authority")
+    return rounded(_hits(spark, folder, "l2", rounds=3), "hub", "authority")
+
+
+def hits_converged(spark, folder):
+    return rounded(_hits(spark, folder, "l2", stop="tol", tol=1e-12), "hub", "authority")
 
 
 def hits_top(spark, folder):
@@ -222,24 +216,18 @@ def _text_list(expr: str, name: str) -> str:
     return f"array_to_string({expr}, ',') as {name}"
 
 
-def _merged(name: str) -> str:
-    new = f"list_filter(new.{name}, lambda x: not list_contains(old.{name}, x))"
-    return _text_list(f"case when old.doc_id is null then new.{name} when new.doc_id is null then old.{name} "
-                      f"else list_concat(old.{name}, {new}) end", name)
-
-
 _NODES = "select o_orderkey + 1 as id from orders"
 _CHAIN = f"select * from ({q.chain(CHAIN_ROW)}) where dst > 0"
 _CHAIN_T = f"select * from ({q.chain(CHAIN_ROW_TRUNCATED)}) where dst > 0"
 _CHAIN_RANKS = f"{q.rank_rounds(_CHAIN, _NODES, 10)} select * from (select id, round(r, 9) as rank from r10 union all select 0, 0.0::double)"
 _ROOT = f"select id from ({_VS}) order by md5(id::varchar), id limit 20"
-_PAIRS_IN = f"select src, dst from ({q.pairs()}) where src in ({_VS}) and dst in ({_VS})"
-_CRAWLED = f"select distinct src as id from ({_S})"
+_CRAWLED = "select distinct l_partkey as id from lineitem"
+_PAIRS_IN = f"select src, dst from ({q.pairs(True)}) where src in ({_CRAWLED}) and dst in ({_CRAWLED})"
 
 
 def _crawled_sql() -> str:
     # out-degrees count links to pages outside, which keep what they get
-    rounds = q.rank_rounds(f"select src, dst from ({_E}) where src in ({_CRAWLED})", _CRAWLED, ROUNDS)
+    rounds = q.rank_rounds(f"select src, dst from ({_S}) where src in ({_CRAWLED})", _CRAWLED, ROUNDS)
     return f"{rounds} select id, round(r, 9) as rank from r{ROUNDS}"
 
 
@@ -248,7 +236,7 @@ def _row_merge_sql() -> str:
         return (f"select src as url, 'out' as direction, dst as link, dst as pos from ({edges}) union all "
                 f"select dst, 'in', src, src from ({edges})")
 
-    return (f"with old as materialized ({rows(_S)}), new as materialized ({rows(_E)}), "
+    return (f"with old as materialized ({rows(_E)}), new as materialized ({rows(_S)}), "
             "ends as (select url, direction, max(pos) + 1 as after from old group by url, direction) "
             "select url, direction, pos, link from old union all "
             "select url, direction, pos + coalesce(after, 0), link from new left join ends using (url, direction) "
@@ -268,27 +256,24 @@ ENTRIES = {
         sink_mass, f"{q.rank_rounds(_S, _VS, 2)} select round(sum(r), 9) as mass from r2 where id not in (select src from o)"),
     "link_adjacency": (
         link_adjacency,
-        f"select url, {_text_list('inlinks', 'inlinks')}, {_text_list('outlinks', 'outlinks')} from ({_lists_sql(_E)})"),
-    "new_links": (new_links, f"select dst as url from ({_E}) except select id from ({_VS})"),
+        f"select url, 0 as block, {_text_list('inlinks', 'inlinks')}, {_text_list('outlinks', 'outlinks')} from ({_lists_sql(_E)})"),
+    "new_links": (new_links, f"select dst as url from ({_S}) except select id from ({q.vertices()})"),
     "redirect_resolve": (
         redirect_resolve,
         f"select coalesce(a.o_custkey, src) as src, coalesce(b.o_custkey, dst) as dst from ({_S}) "
         "left join orders a on a.o_orderkey = src left join orders b on b.o_orderkey = dst"),
     "doc_link_join": (
         doc_link_join,
-        f"with l as materialized ({_lists_sql(_S)}) select doc_id, length(text) as n_chars, "
-        f"{_text_list('coalesce(l.inlinks, m.inlinks)', 'inlinks')}, {_text_list('coalesce(l.outlinks, m.outlinks)', 'outlinks')} "
-        "from documents left join l on l.url = doc_id left join orders on o_orderkey = doc_id left join l m on m.url = o_custkey "
-        "where l.url is not null or m.url is not null"),
+        f"with r as materialized (select src as url, 'out' as direction, dst as link from ({_S}) union all select dst, 'in', src from ({_S})), "
+        "known as materialized (select distinct url from r), "
+        "place as (select doc_id, case when k.url is not null then doc_id else o_custkey end as url from documents "
+        "left join known k on k.url = doc_id left join orders on o_orderkey = doc_id) "
+        "select doc_id, direction, link from place join r using (url)"),
     "index_upsert": (
         index_upsert,
-        f"with l as materialized ({_lists_sql(_E)}), s as materialized ({_lists_sql(_S)}), "
-        "old as (select doc_id, text, inlinks, outlinks from documents join l on l.url = doc_id), "
-        "new as (select item_id * 50 as doc_id, text, coalesce(inlinks, []) as inlinks, coalesce(outlinks, []) as outlinks "
-        "from benchmark left join s on s.url = item_id * 50) "
-        f"select coalesce(old.doc_id, new.doc_id) as doc_id, length(coalesce(old.text, new.text)) as n_chars, {_merged('inlinks')}, "
-        f"{_merged('outlinks')}, case when old.doc_id is null then 'second' when new.doc_id is null then 'first' else 'first second' end as author "
-        "from old full outer join new on old.doc_id = new.doc_id"),
+        "select coalesce(o.doc_id, i.item_id * 50) as doc_id, length(coalesce(o.text, i.text)) as n_chars, "
+        "case when o.doc_id is null then 'second' when i.item_id is null then 'first' else 'first second' end as author "
+        "from documents o full outer join benchmark i on o.doc_id = i.item_id * 50"),
     "index_upsert_rows": (index_upsert_rows, _row_merge_sql()),
     "index_graph_scan": (
         index_graph_scan,
@@ -301,7 +286,7 @@ ENTRIES = {
         "(select count(*) from e where src = id) as n_out from top where k <= 500"),
     "pagerank_crawled": (pagerank_crawled, _crawled_sql()),
     "pagerank_converged": (
-        pagerank_converged, f"{q.rank_rounds(_S, _VS, 60)} select id, round(r, 7) as rank from r60"),
+        pagerank_converged, f"{q.rank_rounds(_S, _VS, 60)} select id, round(r, 9) as rank from r60"),
     "chain_graph": (chain_graph, q.chain(CHAIN_ROW)),
     "chain_rank_first20": (chain_rank_first20, f"{_CHAIN_RANKS} order by id limit 20"),
     "chain_rank_sorted": (chain_rank_sorted, f"{_CHAIN_RANKS} order by id"),
@@ -314,14 +299,17 @@ ENTRIES = {
         rank_perplexity,
         f"{q.rank_rounds(_S, _VS, 3)} select round(pow(2, sum(p * log2(p))), 9) as perplexity from "
         "(select count(*)::double / (select count(*) from r3) as p from r3 group by round(r, 9))"),
-    "hits_base_set": (hits_base_set, f"{q.base_rounds(_S, _ROOT, 2, 10)} select id from b2"),
-    "hits_subgraph": (hits_subgraph, f"select src, dst from ({_E}) where src in ({_VS}) and dst in ({_VS})"),
+    "hits_base_set": (hits_base_set, f"{q.base_rounds(_S, _ROOT, 6, 200)} select id from b6"),
+    "hits_subgraph": (hits_subgraph, f"select distinct src, dst from ({_PAIRS_IN})"),
     "hits_scores": (
         hits_scores,
-        f"{q.hits_rounds(_PAIRS_IN, _VS, 3, False)} select id, round(hub, 9) as hub, round(authority, 9) as authority from h3"),
+        f"{q.hits_rounds(_PAIRS_IN, _CRAWLED, 3, False)} select id, round(hub, 9) as hub, round(authority, 9) as authority from h3"),
     "hits_l2": (
         hits_l2,
-        f"{q.hits_rounds(_PAIRS_IN, _VS, 3, True)} select id, round(hub, 9) as hub, round(authority, 9) as authority from h3"),
+        f"{q.hits_rounds(_PAIRS_IN, _CRAWLED, 3, True)} select id, round(hub, 9) as hub, round(authority, 9) as authority from h3"),
+    "hits_converged": (
+        hits_converged,
+        f"{q.hits_rounds(_PAIRS_IN, _CRAWLED, 40, True)} select id, round(hub, 9) as hub, round(authority, 9) as authority from h40"),
     "hits_top": (
         hits_top,
         f"{q.hits_rounds(q.pairs(), q.vertices(), 3, True)} "

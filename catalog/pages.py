@@ -100,27 +100,6 @@ def frontier_score(spark, folder):
     return scored.withColumns({c: F.round(c, PLACES) for c in ("score", "inlink_score")})
 
 
-def _queue(spark, folder):
-    """Orders stand for waiting URLs: their priority is the level."""
-    return read_table(spark, folder, "orders").select(
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("level"),
-        F.concat(F.lit("http://site/"), F.col("o_orderkey")).alias("url"))
-
-
-def frontier_batches(spark, folder):
-    return frontier.frontier_batches(_queue(spark, folder))
-
-
-def wave_metrics(spark, folder):
-    return frontier.batch_metrics(frontier.frontier_batches(_queue(spark, folder)))
-
-
-def frontier_shares(spark, folder):
-    queue = read_table(spark, folder, "orders").select(
-        F.concat(F.lit("http://site/"), F.col("o_orderkey")).alias("link"), F.round("o_totalprice", 0).alias("score"))
-    return frontier.frontier_shares(queue)
-
-
 def politeness_audit(spark, folder):
     log = read_table(spark, folder, "events").select(
         F.col("event_id").alias("access_id"), F.col("user_id").alias("host"), "ts")
@@ -221,11 +200,6 @@ def _score_sql(url: str, wave: str, n: str) -> str:
     return f"round(3.0::double / {wave} + {n} / 1000.0::double + {hits}, 9)"
 
 
-_QUEUE = "select substr(o_orderpriority, 1, 1)::int as level, 'http://site/' || o_orderkey as url from orders"
-_NUMBERED = f"select level, url, row_number() over (order by level, url) as row_no from ({_QUEUE})"
-_BATCHED = (f"with s as (select b, 250 * b * (b + 1) as last from range(1, 2000) r(b)) "
-            f"select level, url, row_no, (select min(b) from s where last >= row_no) as batch from ({_NUMBERED})")
-_SIZES = f"select batch as iteration, count(*) as items from ({_BATCHED}) group by batch"
 _GAP = "(epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 1000000.0::double"
 
 ENTRIES = {
@@ -236,7 +210,7 @@ ENTRIES = {
         page_clean_text, f"select page_id, string_agg(block, chr(10) order by block_no) as text from ({_BLOCKS}) group by page_id"),
     "page_full_text": (
         page_full_text,
-        rf"select page_id, {_plain('''regexp_replace(html, '(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->|<[^>]*>', '', 'g')''')} as text from pages"),
+        rf"select page_id, {_plain('''regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<[^>]*>', '', 'g')''')} as text from pages"),
     "page_links": (page_links, f"select page_id, link from ({_LINKS})"),
     "link_relevance": (link_relevance, _rule_sql()),
     "canonical_urls": (canonical_urls, _CANONICAL),
@@ -255,16 +229,6 @@ ENTRIES = {
         frontier_score,
         f"select link, wave, {_score_sql('link', 'wave', 'n')} as score, round(n / 1000.0::double, 9) as inlink_score from "
         f"(select link, min(page_id) + 1 as wave, count(*) as n from ({_LINKS}) group by link)"),
-    "frontier_batches": (frontier_batches, _BATCHED),
-    "wave_metrics": (
-        wave_metrics,
-        "select iteration, items, case when items < 8 then items else (items + 7) // 8 end as share_items, "
-        "(sum(items) over (order by iteration))::bigint as fetched, "
-        f"(sum(items) over () - sum(items) over (order by iteration))::bigint as frontier from ({_SIZES})"),
-    "frontier_shares": (
-        frontier_shares,
-        "select link, score, (row_number() over (order by score desc, link) - 1) % 8 as share from "
-        "(select 'http://site/' || o_orderkey as link, round(o_totalprice, 0) as score from orders)"),
     "politeness_audit": (
         politeness_audit,
         f"select access_id, host, round(gap, 6) as gap, round(3600 - gap, 6) as to_sleep, "
@@ -272,8 +236,8 @@ ENTRIES = {
         f"from (select event_id as access_id, user_id as host, {_GAP} as gap from events)"),
     "crawl_wave": (
         crawl_wave,
-        # two captures of one URL are one page, the one whose text comes first
+        # two captures of one URL are one page, the one with the smallest id
         f"with l as (select page_id, count(*) as n from ({_LINKS}) group by page_id), "
-        f"p as (select {_BARE} as url, arg_min(page_id, html) as page_id from pages group by 1) "
+        f"p as (select {_BARE} as url, min(page_id) as page_id from pages group by 1) "
         f"select url, 1 as wave, {_score_sql('url', '1', '0')} as score, coalesce(n, 0) as n_links from p left join l using (page_id)"),
 }

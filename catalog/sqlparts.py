@@ -1,6 +1,6 @@
 """Pieces the checking SQL shares: tokens, derived graphs, unrolled rounds."""
 
-TOKEN = r"[\p{L}\p{N}_]+(?:[''’.][\p{L}\p{N}_]+)*"
+TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*(?:[''’.][\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*)*"
 STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 
 
@@ -25,23 +25,23 @@ def terms(table: str = "documents", key: str = "doc_id") -> str:
     return f"select doc_id, pos, {term('token')} as term from ({tokens(table, key)})"
 
 
-def pairs(sparse: bool = False) -> str:
-    rows = "where l_suppkey % 7 = 0 and l_returnflag = 'R'" if sparse else ""
-    return (f"select * from (select l_partkey as src, lead(l_partkey) over (partition by l_orderkey "
-            f"order by l_linenumber, l_partkey) as dst from lineitem {rows}) where dst is not null")
+def pairs(suppliers: bool = False) -> str:
+    more = " union all select l_partkey, -l_suppkey from lineitem" if suppliers else ""
+    return ("select * from (select l_partkey as src, lead(l_partkey) over (partition by l_orderkey "
+            f"order by l_linenumber, l_partkey) as dst from lineitem) where dst is not null{more}")
 
 
-def edges(sparse: bool = False) -> str:
-    return f"select distinct src, dst from ({pairs(sparse)})"
+def edges(suppliers: bool = False) -> str:
+    return f"select distinct src, dst from ({pairs(suppliers)})"
 
 
-def vertices(sparse: bool = False) -> str:
-    return f"select src as id from ({edges(sparse)}) union select dst from ({edges(sparse)})"
+def vertices(suppliers: bool = False) -> str:
+    return f"select src as id from ({edges(suppliers)}) union select dst from ({edges(suppliers)})"
 
 
 def chain(k: int) -> str:
-    return (f"select o_orderkey + 1 as src, case when (o_orderkey + 1) % {k} = 0 then 0 else o_orderkey + 2 end as dst "
-            "from orders")
+    return (f"select o_orderkey + 1 as src, case when (o_orderkey + 1) % {k} = 0 or o_orderkey = (select max(o_orderkey) from orders) "
+            "then 0 else o_orderkey + 2 end as dst from orders")
 
 
 def rank_rounds(edge_sql: str, vertex_sql: str, rounds: int, precision: float | None = None) -> str:
@@ -104,13 +104,17 @@ def bm25(query: list[str]) -> str:
         "from p join f using (term) join d using (doc_id) cross join c group by p.doc_id)")
 
 
-def highlighted(text: str, words: list[str], fragments: int = 5) -> str:
+def highlighted(text: str, words: list[str], fragments: int | None = 5) -> str:
     """Sentences with a marked word. The query's words are plain ASCII, so case is all that varies."""
-    cut = rf"regexp_replace({text}, '({TOKEN})', chr(3) || '\1' || chr(4), 'g')"
+    inner = text
+    for _ in range(2):  # a letter ends one match and cannot begin the next
+        inner = rf"regexp_replace({inner}, '([\p{{L}}\p{{N}}\p{{M}}_])\.([\p{{L}}\p{{N}}_])', '\1' || chr(5) || '\2', 'g')"
+    sentences = rf"regexp_extract_all({inner}, '[^.!?\n]+[.!?]*')"
+    cut = rf"regexp_replace(replace(s, chr(5), '.'), '({TOKEN})', chr(3) || '\1' || chr(4), 'g')"
     hit = rf"regexp_replace({cut}, '(?i)' || chr(3) || '({'|'.join(words)})' || chr(4), chr(1) || '\1' || chr(2), 'g')"
-    clean = f"replace(replace({hit}, chr(3), ''), chr(4), '')"
-    sentences = rf"regexp_extract_all({clean}, '[^.!?\n]+[.!?]*')"
-    chosen = f"list_transform(list_filter({sentences}, lambda s: contains(s, chr(1)))[1:{fragments}], lambda s: trim(s, ' '))"
+    marked = f"list_transform({sentences}, lambda s: replace(replace({hit}, chr(3), ''), chr(4), ''))"
+    some = f"[1:{fragments}]" if fragments else ""
+    chosen = f"list_transform(list_filter({marked}, lambda s: contains(s, chr(1))){some}, lambda s: trim(s, ' '))"
     joined = f"coalesce(array_to_string({chosen}, ' … '), '')"
     for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         joined = f"replace({joined}, '{sign}', '{name}')"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog import sqlparts as q
 from linkloom.operators import index, search
 from linkloom.plans import pagerank
-from linkloom.sources.tables import part_graph, read_table, read_texts
+from linkloom.sources.tables import part_graph, read_table
 
 STOP = ["the", "of", "and", "to", "in", "is", "la", "de", "le", "der"]
 WORDS = ["thing", "thble"]
@@ -15,11 +15,11 @@ PLACES = 9
 
 
 def docs(spark, folder):
-    return read_texts(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
 def search_docs(spark, folder):
-    table = read_texts(spark, folder, "documents", "doc_id")
+    table = read_table(spark, folder, "documents")
     return table.select("doc_id", "text", F.lit("").alias("title"), F.col("source").alias("author"))
 
 
@@ -53,7 +53,7 @@ def term_stats(spark, folder):
 
 
 def top_terms(spark, folder):
-    return search.top_terms(index.term_counts(docs(spark, folder)), 50)
+    return search.top_terms(index.term_stats(docs(spark, folder)), 50)
 
 
 def bm25_search(spark, folder):
@@ -70,7 +70,7 @@ def search_page(spark, folder):
 
 def search_highlight(spark, folder):
     table = docs(spark, folder)
-    return table.select("doc_id", search.highlight(F.col("text"), WORDS).alias("fragments"))
+    return table.select("doc_id", search.highlight(F.col("text"), WORDS, fragments=None).alias("fragments"))
 
 
 def topical_score(spark, folder):
@@ -79,7 +79,7 @@ def topical_score(spark, folder):
 
 def combined_rank(spark, folder):
     texts = docs(spark, folder)
-    ranks = pagerank.fixed_rounds(pagerank.lay_out(part_graph(spark, folder, sparse=True)), 3)
+    ranks = pagerank.fixed_rounds(pagerank.lay_out(part_graph(spark, folder, suppliers=True)), 3)
     parts = [(search.bm25_documents(texts, QUERY), 0.5), (ranks.select(F.col("id").alias("doc_id"), F.col("rank").alias("score")), 0.3),
              (search.topical_score(texts, TOPIC), 0.2)]
     return rounded(search.combine_scores(read_table(spark, folder, "documents"), parts), "score")
@@ -114,7 +114,7 @@ ENTRIES = {
         f"{q.bm25(WORDS)} select rank, doc_id, doc_id::varchar as title, source as author, round(score, 9) as score, "
         f"(select count(*) from scored) as total, {q.highlighted('text', WORDS)} as fragments "
         f"from ({_BEST}) join documents using (doc_id) where rank between 11 and 20"),
-    "search_highlight": (search_highlight, f"select doc_id, {q.highlighted('text', WORDS)} as fragments from documents"),
+    "search_highlight": (search_highlight, f"select doc_id, {q.highlighted('text', WORDS, None)} as fragments from documents"),
     "topical_score": (topical_score, f"with t as ({q.terms()}) select doc_id, round(score, 9) as score from ({_TOPIC})"),
     "combined_rank": (
         combined_rank,

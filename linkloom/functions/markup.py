@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,7 +51,7 @@ class TreeReader(HTMLParser):
         self.open: dict[str, int] = {}
 
     def handle_starttag(self, tag, attrs):
-        element = Element(tag, dict(reversed(attrs)), self.place)
+        element = Element(tag, dict(attrs), self.place)  # of a repeated attribute the last counts
         self.place.children.append(element)
         if tag not in VOID_TAGS:
             self.place = element
@@ -143,6 +144,17 @@ def parse_page(html: str, rules: list[str], nested: str) -> dict:
     return {"blocks": blocks, "links": links, "references": references, "all_links": all_links}
 
 
+def decoded(text: Column) -> Column:
+    """Character references of every kind replaced by what they stand for."""
+
+    @F.arrow_udf("string")
+    def decode(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unescape(t) for t in texts.to_pylist()], pa.string())
+
+    # texts without a reference stay where they are
+    return F.when(F.contains(text, F.lit("&")), decode(text)).otherwise(text)
+
+
 def read_markup(html: Column, rules: list[str] = BOILERPLATE, nested: str = "once") -> Column:
     """Struct ``blocks, links, references, all_links`` of a page.
 

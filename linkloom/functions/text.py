@@ -9,10 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Word runs joined by an inner apostrophe or full stop; an approximation of Unicode word breaks.
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
-WORD_CHAR = r"[\p{L}\p{N}_]"
+# A word may hold combining marks, but not begin with one.
+TOKEN_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*(?:['’.][\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*)*"
+WORD_CHAR = r"[\p{L}\p{N}\p{M}_]"
 # What follows the first apostrophe of a word, up to the word's end.
-APOSTROPHE_TAIL = r"([\p{L}\p{N}_])['’][\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
+APOSTROPHE_TAIL = r"([\p{L}\p{N}\p{M}_])['’][\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*(?:['’.][\p{L}\p{N}_][\p{L}\p{N}\p{M}_]*)*"
 
 # Letters whose ASCII form no Unicode decomposition gives.
 FOLD_TO_MANY = {"ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "þ": "th", "Þ": "TH"}
@@ -61,8 +62,8 @@ def _cut_apostrophes(text: Column) -> Column:
 
 
 def fold_accents(token: Column) -> Column:
-    """Latin letters with accents become their ASCII letters."""
-    token = F.translate(token, ACCENTED, BARE)
+    """Latin letters with accents, composed or not, become their ASCII letters."""
+    token = F.regexp_replace(F.translate(token, ACCENTED, BARE), r"(?<=[A-Za-z])[\u0300-\u036f]+", "")
     for letter, plain in FOLD_TO_MANY.items():
         token = F.replace(token, F.lit(letter), F.lit(plain))
     return token

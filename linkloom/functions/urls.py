@@ -71,11 +71,16 @@ def _upper_escapes(text: Column) -> Column:
 
 
 def _escape_path(path: Column) -> Column:
-    """One escaped form for a path: decoded, then escaped in UTF-8 with upper-case digits."""
-    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
-    out = F.replace(F.url_encode(plain), F.lit("+"), F.lit("%20"))
+    """One escaped form for a path: what may not stand there is escaped in UTF-8, with upper-case digits.
+
+    Escapes already there stay, so that ``%2F`` is not ``/`` and bytes that are no UTF-8 are not lost.
+    """
+    out = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
     for sign in PATH_SIGNS:
         out = F.replace(out, F.lit(f"%{ord(sign):02X}"), F.lit(sign))
+    # the percent sign of an escape was itself escaped
+    out = F.regexp_replace(out, "%25([0-9A-Fa-f]{2})", "%$1")
+    out = _upper_escapes(out)
     return F.when(F.regexp_like(path, F.lit(r"[^A-Za-z0-9._~:/\[\]@!$&'()*+,;=-]")), out).otherwise(path)
 
 

@@ -1,4 +1,4 @@
-"""The crawl frontier as tables: selection, priority, batches, shares, politeness."""
+"""The crawl frontier as tables: selection, priority, batches, politeness."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.scores import frontier_score, inlink_score
-from linkloom.operators.numbering import number_rows
 
 BATCH_STEP = 500
 SHARES = 8
@@ -37,32 +36,6 @@ def take_batch(queue: DataFrame, n: int) -> DataFrame:
     return queue.orderBy("level", "url").limit(n)
 
 
-def frontier_batches(queue: DataFrame, step: int = BATCH_STEP) -> DataFrame:
-    """``level, url, row_no, batch``: in which call a frozen queue would hand out each entry.
-
-    The calls hand out ``step``, ``2 * step``, … entries, so call ``b`` ends at row
-    ``step * b * (b + 1) / 2``.
-    """
-    numbered = number_rows(queue.select("level", "url"), [F.col("level"), F.col("url")])
-    guess = F.floor((F.sqrt(1 + F.lit(8.0) * (F.col("row_no") - 1) / step) - 1) / 2).cast("long")
-
-    def end(b):
-        return F.lit(step) * b * (b + 1) / 2
-
-    # the root may be off by one next to a batch's end
-    batch = F.when(end(guess) >= F.col("row_no"), guess).when(end(guess + 1) >= F.col("row_no"), guess + 1).otherwise(
-        guess + 2)
-    return numbered.withColumn("batch", batch)
-
-
-def frontier_shares(scored: DataFrame, shares: int = SHARES) -> DataFrame:
-    """``link, score, share``: rows dealt out in score order; fewer rows than shares stay together."""
-    numbered = number_rows(scored, [F.desc("score"), F.col("link")])
-    total = numbered.agg(F.count("*")).scalar()
-    share = F.when(total < shares, F.lit(0)).otherwise((F.col("row_no") - 1) % shares)
-    return numbered.select("link", "score", share.alias("share"))
-
-
 def admit(queue_size: int, found: DataFrame, capacity: int | None = None) -> DataFrame:
     """New entries ``level, url`` the queue still has room for, first by level and URL; all of them without a limit."""
     if capacity is None:
@@ -91,17 +64,3 @@ def politeness_audit(log: DataFrame, delay: float = 1.0, patience: float = 5.0,
         F.when(F.col("gap").isNull() | (to_sleep <= 0), "go").when(to_sleep > patience, "skip").otherwise("wait"))
     return rows.withColumn("gap", gap).select("access_id", "host", "gap", to_sleep.alias("to_sleep"),
                                               action.alias("action"))
-
-
-def batch_metrics(batches: DataFrame, shares: int = SHARES) -> DataFrame:
-    """``iteration, items, share_items, fetched, frontier`` per batch: its size, its largest share,
-    what is handed out by then and what still waits.
-
-    The running sum goes over one row per batch, whose number grows with the root of the queue.
-    """
-    sizes = batches.groupBy(F.col("batch").alias("iteration")).agg(F.count("*").alias("items"))
-    share = F.when(F.col("items") < shares, F.col("items")).otherwise(F.ceil(F.col("items") / shares))
-    so_far = Window.orderBy("iteration").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.orderBy("iteration").rowsBetween(1, Window.unboundedFollowing)
-    return sizes.select("iteration", "items", share.alias("share_items"), F.sum("items").over(so_far).alias("fetched"),
-                        F.coalesce(F.sum("items").over(after), F.lit(0)).alias("frontier"))

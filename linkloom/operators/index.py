@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import analyze, is_kept, normalize_token, tokens
+from linkloom.operators.linkgraph import on_every_salt, salted
 from linkloom.session import ship_package
 
 
@@ -106,33 +108,53 @@ def write_index(docs: DataFrame, path: str, buckets: int = 64, writers_per_bucke
 
     ``buckets`` takes the place of index shards. The writers of one bucket share its documents, so
     a term in a third of all documents is written by several tasks. An existing index stays as it
-    is unless ``replace`` is set.
+    is unless ``replace`` is set. All tables go to the folder of a new version, and the row that names
+    the version is added last: a broken run leaves no trace in what readers see.
     """
-    mode = "overwrite" if replace else "ignore"
+    spark = docs.sparkSession
+    before = newest_version(spark, path)
+    if before is not None and not replace:
+        return
+    number, name = (before.number + 1 if before else 1), f"version-{uuid.uuid4().hex}"
+    folder = f"{path}/{name}"
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(writers_per_bucket)).cast("int")
     rows = postings(docs, **analyzer).withColumn("bucket", bucket)
     (
-        rows.repartition("bucket", share)
+        rows.repartition(buckets * writers_per_bucket, "bucket", share)
         .sortWithinPartitions("bucket", "term", "doc_id")
-        .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
+        .write.partitionBy("bucket").parquet(f"{folder}/postings")
     )
-    stored = docs.sparkSession.read.parquet(f"{path}/postings")
+    stored = spark.read.parquet(f"{folder}/postings")
     (
         stored.groupBy("bucket", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-        .write.mode(mode).parquet(f"{path}/terms")
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket", "term")
+        .write.partitionBy("bucket").parquet(f"{folder}/terms")
     )
-    corpus_stats(docs, **analyzer).write.mode(mode).parquet(f"{path}/corpus")
-    docs.sparkSession.createDataFrame([(buckets,)], "buckets int").write.mode(mode).parquet(f"{path}/layout")
+    corpus_stats(docs, **analyzer).write.parquet(f"{folder}/corpus")
+    marker = spark.range(1).select(F.lit(number).alias("number"), F.lit(name).alias("name"), F.lit(buckets).alias("buckets"))
+    marker.write.mode("append").parquet(f"{path}/versions")
+
+
+def newest_version(spark: SparkSession, path: str):
+    """The row ``number, name, buckets`` of the newest complete version, or nothing."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema("number int, name string, buckets int").parquet(f"{path}/versions").orderBy(
+        F.desc("number"), "name").first()
 
 
 class StoredIndex:
     """The tables of one stored index; reading a term touches only its bucket."""
 
     def __init__(self, spark: SparkSession, path: str):
+        version = newest_version(spark, path)
+        if version is None:
+            raise FileNotFoundError(f"no complete index under {path}")
         self.spark = spark
-        self.path = path
-        self.buckets = spark.read.parquet(f"{path}/layout").first().buckets
+        self.path = f"{path}/{version.name}"
+        self.buckets = version.buckets
 
     def _of_terms(self, name: str, terms: list[str]) -> DataFrame:
         wanted = self.spark.range(1).select(
@@ -178,6 +200,34 @@ def merge_links(existing: DataFrame, incoming: DataFrame, author: str, refresh_t
         links("outlinks"), signed.alias("author"))
 
 
+def merge_documents(existing: DataFrame, incoming: DataFrame, author: str) -> DataFrame:
+    """The upsert without links: ``doc_id, text, author``; links go through ``merge_link_rows``.
+
+    A known id keeps its text, and the author is added unless the field already contains it.
+    """
+    old, new = existing.alias("old"), incoming.alias("new")
+    had, got, held = F.col("old.doc_id").isNotNull(), F.col("new.doc_id").isNotNull(), F.col("old.author")
+    signed = (
+        F.when(~had, F.lit(author)).when(~got | F.contains(held, F.lit(author)), held)
+        .otherwise(F.concat_ws(" ", held, F.lit(author))))
+    return old.join(new, F.col("old.doc_id") == F.col("new.doc_id"), "full_outer").select(
+        F.coalesce("old.doc_id", "new.doc_id").alias("doc_id"),
+        F.when(had, F.col("old.text")).otherwise(F.col("new.text")).alias("text"), signed.alias("author"))
+
+
+def document_links(docs: DataFrame, rows: DataFrame, redirects: DataFrame) -> DataFrame:
+    """``doc_id, direction, link``: the links of a document's own URL or, where it has none, of its redirect partner.
+
+    ``rows`` are ``url, direction, link`` as :func:`link_rows` makes them, so a hub is many rows and never one list.
+    """
+    known = rows.select(F.col("url").alias("doc_id")).distinct().withColumn("known", F.lit(True))
+    partner = redirects.select(F.col("url").alias("doc_id"), "other_url")
+    placed = docs.select("doc_id").join(known, "doc_id", "left").join(partner, "doc_id", "left")
+    url = F.when(F.col("known"), F.col("doc_id")).otherwise(F.col("other_url"))
+    places = on_every_salt(placed.select("doc_id", url.alias("url")).distinct())
+    return salted(rows, "link").join(places, ["url", "salt"]).select("doc_id", "direction", "link")
+
+
 def with_link_info(docs: DataFrame, links: DataFrame, redirects: DataFrame) -> DataFrame:
     """Documents with ``inlinks, outlinks`` of their own URL or, failing that, of its redirect partner.
 

@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
+from linkloom.session import checkpoint
 
 LIST_BLOCK = 100_000
+SALTS = 16
+
+
+def salted(df: DataFrame, column: str) -> DataFrame:
+    """Rows with a ``salt`` drawn from another column, which spreads a hot join key."""
+    return df.withColumn("salt", F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int"))
+
+
+def on_every_salt(df: DataFrame) -> DataFrame:
+    """The other side of such a join: each row once for every salt."""
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def clean_edges(edges: DataFrame) -> DataFrame:
@@ -66,17 +77,12 @@ def link_adjacency(edges: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
 
     A URL with more than ``block`` links has several rows, each with the links that hash to it, so
     no task and no row ever holds all the links of a hub. All others have the one row of block 0.
+    The key is (``url``, ``block``); what needs all links of a URL sums over its blocks or takes :func:`link_rows`.
     """
     rows = link_rows(edges)
     hubs = rows.groupBy("url").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks")).filter("blocks > 1")
-    hubs = checkpoint(hubs)
-    n_hubs = hubs.count()
-    if n_hubs == 0:
-        rows = rows.withColumn("block", F.lit(0))
-    else:
-        hubs = F.broadcast(hubs) if n_hubs <= MAX_BROADCAST_ROWS else hubs
-        number = F.coalesce(F.pmod(F.xxhash64("link"), F.col("blocks")), F.lit(0)).cast("int")
-        rows = rows.join(hubs, "url", "left").withColumn("block", number)
+    number = F.coalesce(F.pmod(F.xxhash64("link"), F.col("blocks")), F.lit(0)).cast("int")
+    rows = salted(rows, "link").join(on_every_salt(checkpoint(hubs)), ["url", "salt"], "left").withColumn("block", number)
     return rows.groupBy("url", "block").agg(
         F.sort_array(F.collect_list(F.when(F.col("direction") == "in", F.col("link")))).alias("inlinks"),
         F.sort_array(F.collect_list(F.when(F.col("direction") == "out", F.col("link")))).alias("outlinks"))
@@ -91,13 +97,13 @@ def merge_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """The list upsert on rows ``url, direction, pos, link``, for link lists too long for one row.
 
     Rows known before stay. A new link follows once, at the place of its first occurrence behind
-    the highest known position of its list. All keys include the link, so a hub is spread.
+    the highest known position of its list. A list that meets its end is spread over ``SALTS`` keys.
     """
     fresh = incoming.join(existing.select("url", "direction", "link").distinct(), ["url", "direction", "link"],
                           "left_anti")
     fresh = fresh.groupBy("url", "direction", "link").agg(F.min("pos").alias("pos"))
     ends = existing.groupBy("url", "direction").agg((F.max("pos") + 1).alias("after"))
-    moved = fresh.join(ends, ["url", "direction"], "left")
+    moved = salted(fresh, "link").join(on_every_salt(ends), ["url", "direction", "salt"], "left")
     columns = ["url", "direction", "pos", "link"]
     return existing.select(columns).unionByName(
         moved.withColumn("pos", F.col("pos") + F.coalesce("after", F.lit(0))).select(columns))
@@ -105,11 +111,12 @@ def merge_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def resolve_redirects(edges: DataFrame, redirects: DataFrame) -> DataFrame:
     """Edges whose ends are the final URLs; ``redirects`` has ``url, final_url``, one row per URL."""
-    def rename(df: DataFrame, end: str) -> DataFrame:
-        names = redirects.select(F.col("url").alias(end), F.col("final_url").alias("final"))
-        return df.join(names, end, "left").withColumn(end, F.coalesce("final", end)).drop("final")
+    def rename(df: DataFrame, end: str, other: str) -> DataFrame:
+        names = on_every_salt(redirects.select(F.col("url").alias(end), F.col("final_url").alias("final")))
+        named = salted(df, other).join(names, [end, "salt"], "left")
+        return named.withColumn(end, F.coalesce("final", end)).drop("final", "salt")
 
-    return rename(rename(edges, "src"), "dst").select("src", "dst")
+    return rename(rename(edges, "src", "dst"), "dst", "src").select("src", "dst")
 
 
 def write_back_scores(vertices: DataFrame, scores: DataFrame, redirects: DataFrame) -> DataFrame:

@@ -7,29 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.markup import BOILERPLATE, read_markup
+from linkloom.functions.markup import BOILERPLATE, decoded, read_markup
 from linkloom.functions.scores import link_relevant
 from linkloom.functions.urls import canonicalize
 from linkloom.session import ship_package
 
-# The character names a title is likely to hold, the ampersand last.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-
 
 def page_title(html: Column) -> Column:
     """The title, or ``""``."""
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    for name, sign in ENTITIES.items():
-        title = F.replace(title, F.lit(name), F.lit(sign))
-    return title
+    return decoded(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
 def full_text(html: Column) -> Column:
     """All text of a page: scripts, styles, comments and tags taken out."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->|<[^>]*>", "")
-    for name, sign in ENTITIES.items():
-        bare = F.replace(bare, F.lit(name), F.lit(sign))
-    return bare
+    return decoded(F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1>|<!--.*?-->|<[^>]*>", ""))
 
 
 def is_valid_response(status: Column, headers: Column) -> Column:

@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import TOKEN_PATTERN, WORD_CHAR, analyze
-from linkloom.operators.index import StoredIndex, positioned_terms
-from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, ship_package
+from linkloom.operators.index import StoredIndex
+from linkloom.session import checkpoint, ship_package
 
 K1, B = 1.2, 0.75
-MARK_OPEN, MARK_CLOSE = "\u0001", "\u0002"
-LOOKUP_LIMIT = 1000
+MARK_OPEN, MARK_CLOSE, INNER_STOP = "\u0001", "\u0002", "\u0003"
 
 
 def query_terms(spark: SparkSession, query: str, **analyzer) -> Counter:
@@ -94,10 +93,10 @@ def root_set(docs: DataFrame, query: str, n: int = 1000, **analyzer) -> DataFram
     return best(bm25_documents(docs, query, **analyzer), n).select(F.col("doc_id").alias("id"))
 
 
-def highlight(text: Column, terms: list[str], fragments: int = 5, escape: bool = True, stem: bool = False) -> Column:
-    """Sentences with a query term, the term wrapped in ``<em>``, joined by an ellipsis.
+def highlight(text: Column, terms: list[str], fragments: int | None = 5, escape: bool = True, stem: bool = False) -> Column:
+    """Sentences with a query term, the term wrapped in ``<em>``, joined by an ellipsis; the first ``fragments`` or all.
 
-    A word is marked when the analyzer makes a query term of it, whatever its case or accents.
+    Sentences are cut before words are marked, and a full stop inside a word ends none. A word is marked when the analyzer makes a query term of it, whatever its case or accents.
     """
     words = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
     pairs = F.arrays_zip(words.alias("word"), analyze(text, stem=stem).alias("term"))
@@ -106,9 +105,13 @@ def highlight(text: Column, terms: list[str], fragments: int = 5, escape: bool =
     pattern = F.concat(
         F.lit(f"(?<!{WORD_CHAR})(?<!{WORD_CHAR}['’.])("), F.array_join(quoted, "|"),
         F.lit(f")(?!{WORD_CHAR}|['’.]{WORD_CHAR})"))
-    marked = F.regexp_replace(text, pattern, F.lit(f"{MARK_OPEN}$1{MARK_CLOSE}"))
-    sentences = F.regexp_extract_all(marked, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
-    chosen = F.slice(F.filter(sentences, lambda s: F.contains(s, F.lit(MARK_OPEN))), 1, fragments)
+    whole = F.regexp_replace(text, rf"(?<={WORD_CHAR})\.(?={WORD_CHAR})", INNER_STOP)
+    sentences = F.regexp_extract_all(whole, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
+    # the pattern is made once for a text, not once for a sentence
+    marked = F.element_at(F.transform(F.array(pattern), lambda p: F.transform(sentences, lambda s: F.regexp_replace(
+        F.replace(s, F.lit(INNER_STOP), F.lit(".")), p, F.lit(f"{MARK_OPEN}$1{MARK_CLOSE}")))), 1)
+    chosen = F.filter(marked, lambda s: F.contains(s, F.lit(MARK_OPEN)))
+    chosen = chosen if fragments is None else F.slice(chosen, 1, fragments)
     shown_text = F.array_join(F.transform(chosen, lambda s: F.trim(s)), " … ")
     if escape:
         for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
@@ -131,14 +134,8 @@ def search_page(docs: DataFrame, query: str, page: int = 1, size: int = 10, lega
         scored = bm25_documents(docs, query, **analyzer)
     scored = checkpoint(scored)
     offset = page - 1 if legacy_offset else (page - 1) * size
-    hits = best(scored, size, offset=offset).withColumn("total", scored.agg(F.count("*")).scalar())
-    if size <= LOOKUP_LIMIT:
-        # no more than `size` rows: fetch them, so that the text scan can skip row groups by id
-        found = hits.collect()
-        hits = spark.createDataFrame(found, hits.schema)
-        docs = docs.filter(F.col("doc_id").isin([r.doc_id for r in found]))
-    elif size <= MAX_BROADCAST_ROWS:
-        hits = F.broadcast(hits)
+    # written first: its size is then known, and the optimizer chooses how to bring the page to the texts
+    hits = checkpoint(best(scored, size, offset=offset).withColumn("total", scored.agg(F.count("*")).scalar()))
     terms = list(query_terms(spark, query, **analyzer))
     return hits.join(docs, "doc_id").select(
         "rank", "doc_id",
@@ -147,17 +144,18 @@ def search_page(docs: DataFrame, query: str, page: int = 1, size: int = 10, lega
         highlight(F.col("text"), terms, fragments, stem=analyzer.get("stem", False)).alias("fragments"))
 
 
-def top_terms(postings: DataFrame, n: int = 20) -> DataFrame:
-    """``term, df, cf`` of the terms found in most documents."""
-    counted = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    return counted.orderBy(F.desc("df"), "term").limit(n)
+def top_terms(stats: DataFrame, n: int = 20) -> DataFrame:
+    """``term, df, cf`` of the terms found in most documents, from term statistics."""
+    return stats.select("term", "df", "cf").orderBy(F.desc("df"), "term").limit(n)
 
 
 def topical_score(docs: DataFrame, term_weights: dict[str, float], **analyzer) -> DataFrame:
     """``doc_id, score``: summed weights of the topical terms a document contains, per occurrence."""
-    terms = positioned_terms(docs, **analyzer).filter(F.col("term").isin(list(term_weights)))
-    weight = F.element_at(F.create_map(*[F.lit(x) for kv in term_weights.items() for x in kv]), F.col("term"))
-    return terms.groupBy("doc_id").agg(F.sum(weight).alias("score"))
+    found = docs.select("doc_id", F.filter(
+        analyze(F.col("text"), **analyzer), lambda t: t.isin(list(term_weights))).alias("terms"))
+    counts = [F.size("terms") - F.size(F.array_remove("terms", F.lit(t))) for t in term_weights]
+    score = reduce(add, [F.lit(float(w)) * c for w, c in zip(term_weights.values(), counts)])
+    return found.filter(F.size("terms") > 0).select("doc_id", score.alias("score"))
 
 
 def combine_scores(ids: DataFrame, parts: list[tuple[DataFrame, float]]) -> DataFrame:

@@ -91,10 +91,14 @@ def start(seeds: DataFrame, rules: CrawlRules | None = None) -> CrawlState:
 
 
 def captured(pages: DataFrame) -> DataFrame:
-    """Captured pages under their canonical URL; responses that are no HTML pages are left out."""
+    """Captured pages under their canonical URL; responses that are no HTML pages are left out.
+
+    ``capture`` orders several captures of one URL, of which the first is read: the page's id where there is one.
+    """
     if {"status", "headers"} <= set(pages.columns):
         pages = pages.filter(is_valid_response(F.col("status"), F.col("headers")))
-    return pages.select(canonicalize(F.col("url"), F.col("url")).alias("url"), "html")
+    capture = F.col("page_id") if "page_id" in pages.columns else F.sha2("html", 256)
+    return pages.select(canonicalize(F.col("url"), F.col("url")).alias("url"), capture.alias("capture"), "html")
 
 
 def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlState:
@@ -109,7 +113,9 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
     wanted = checkpoint(scored.withColumnRenamed("link", "url").join(state.visited, "url", "left_anti"))
     # a batch of bounded size goes to the pages, so that only the pages it names are moved
     wanted = F.broadcast(wanted) if size <= MAX_BROADCAST_ROWS else wanted
-    page = wanted.join(pages, "url").groupBy("url", "wave", "score", "inlink_score").agg(F.min("html").alias("html"))
+    found = wanted.join(pages, "url")
+    first = found.groupBy("url").agg(F.min("capture").alias("capture"))
+    page = found.join(first, ["url", "capture"]).dropDuplicates(["url"])
     read = checkpoint(
         parse_pages(page, rules.boilerplate, rules.nested)
         .select("url", "wave", "score", "inlink_score", page_title(F.col("html")).alias("title"), "markup"))

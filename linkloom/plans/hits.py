@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +19,12 @@ def _reach(edges: DataFrame, pages: DataFrame, n_pages: int, near: str, far: str
     return edges.join(side, near, "left_semi").select(F.col(far).alias("id")).distinct()
 
 
-def base_set(edges: DataFrame, root: DataFrame, vertices: DataFrame | None = None, target: int = 9000,
-             sample: int = 200, seed: str = "", max_rounds: int | None = None) -> DataFrame:
-    """``id``: the root set grown until it has ``target`` pages, or nothing is left to add.
+def base_set(edges: DataFrame, root: DataFrame, vertices: DataFrame | None = None, target: int | None = None,
+             sample: int | None = None, seed: str = "", max_rounds: int | None = None) -> DataFrame:
+    """``id``: the root set grown until nothing is left to add, or it has ``target`` pages.
 
     A round adds every crawled page the set points to, then the crawled pages that point to the
-    set: all of them when there are at most ``sample``, otherwise that many, drawn by the hash of
-    id and seed. ``vertices`` names the crawled pages; without it every id of an edge counts.
+    set: all of them, or at most ``sample``, drawn by the hash of id and seed. ``vertices`` names the crawled pages; without it every id of an edge counts.
     """
     edges = edges.select("src", "dst")
     if vertices is not None:
@@ -31,12 +33,13 @@ def base_set(edges: DataFrame, root: DataFrame, vertices: DataFrame | None = Non
         edges = edges.join(known.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
     pages = checkpoint(root.select("id").distinct())
     size, rounds = pages.count(), 0
-    while size < target and (max_rounds is None or rounds < max_rounds):
+    while (target is None or size < target) and (max_rounds is None or rounds < max_rounds):
         pages = checkpoint(pages.union(_reach(edges, pages, size, "src", "dst")).distinct())
         wider = pages.count()
         pointing = _reach(edges, pages, wider, "dst", "src").join(pages, "id", "left_anti")
-        drawn = pointing.orderBy(F.md5(F.concat(F.lit(seed), F.col("id").cast("string"))), "id").limit(sample)
-        pages = checkpoint(pages.union(drawn))
+        if sample is not None:
+            pointing = pointing.orderBy(F.md5(F.concat(F.lit(seed), F.col("id").cast("string"))), "id").limit(sample)
+        pages = checkpoint(pages.union(pointing))
         before, size, rounds = size, pages.count(), rounds + 1
         if size == before:
             break
@@ -65,14 +68,15 @@ def _normalized(raw: DataFrame, normalize: str) -> DataFrame:
                       F.coalesce(F.col("authority") / authority, F.lit(0.0)).alias("authority"))
 
 
-def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int = 100, normalize: str = "l2",
+def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int | None = None, normalize: str = "l2",
          stop: str = "rounds", tol: float = 1e-9, hub_block: int = HUB_BLOCK) -> DataFrame:
-    """``id, hub, authority`` after at most ``rounds`` simultaneous updates.
+    """``id, hub, authority`` after ``rounds`` simultaneous updates, or when ``stop`` is met.
 
     Both scores start at 1 and come from the values of the round before; repeated links count each
     time. ``normalize`` divides by the root of the sum of squares (``l2``) or by that sum itself
     (``sumsq``). ``stop`` is ``rounds``, ``tol`` (summed change) or ``histogram`` (both score
-    histograms keep the same perplexity four times).
+    histograms keep the same perplexity four times). ``rounds`` is 100 where nothing else stops; with another
+    stop there is no limit unless ``rounds`` gives one, and reaching it first is warned of.
 
     Every link is stored under both of its ends, so that a round is one join without a shuffle and
     one summed shuffle. Pages with many links are split into blocks of keys, as in PageRank.
@@ -107,7 +111,8 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int = 100, no
 
         scores = nodes.select("id", "blocks", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority"))
         seen: dict[str, list[float]] = {"hub": [], "authority": []}
-        for _ in range(rounds):
+        limit = 100 if rounds is None and stop == "rounds" else rounds
+        for _ in count() if limit is None else range(limit):
             if stop == "histogram":
                 for name, history in seen.items():
                     history.append(round(perplexity(scores, value=name).first().perplexity, 6))
@@ -127,6 +132,9 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int = 100, no
                 moved = F.abs(F.col("hub") - F.col("h")) + F.abs(F.col("authority") - F.col("a"))
                 if (scores.join(old, "id").agg(F.sum(moved)).first()[0] or 0.0) < tol:
                     break
+        else:
+            if stop != "rounds":
+                warnings.warn(f"HITS did not meet its stop {stop!r} in {limit} rounds", stacklevel=2)
         return checkpoint(scores.select("id", "hub", "authority"))
 
 

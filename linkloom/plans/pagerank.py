@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,13 +90,13 @@ def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str
 
 
 def lay_out_chain(nodes: DataFrame, k: int) -> Layout:
-    """The chain graph without an edge table: ``i`` points to ``i + 1``, every ``k``-th id to nothing.
+    """The chain graph without an edge table: ``i`` points to ``i + 1``, every ``k``-th id and the last to nothing.
 
     The next id is a projection, so a round costs the one shuffle of its sum.
     """
     spark = nodes.sparkSession
-    end = F.col("id") % F.lit(k) == 0
-    n = nodes.count()
+    n, last = nodes.agg(F.count("*"), F.max("id")).first()
+    end = (F.col("id") % F.lit(k) == 0) | (F.col("id") == F.lit(last))
     width = partitions_for(spark, n)
     with steady_plans(spark, width):
         rows = nodes.select("id", F.when(end, 0).otherwise(1).alias("out_degree"), F.lit(1).alias("blocks"))
@@ -156,23 +158,24 @@ def is_stable(history: list[float]) -> bool:
     return len(tail) == STABLE_ROUNDS and len(set(tail)) == 1
 
 
-def until_converged(layout: Layout, stop: str = "tol", tol: float = 1e-9, max_rounds: int = 200,
+def until_converged(layout: Layout, stop: str = "tol", tol: float = 1e-9, max_rounds: int | None = None,
                     damping: float = DAMPING, check_every: int = 5) -> tuple[DataFrame, int]:
     """``id, rank`` and the number of updates made.
 
     ``tol`` stops when the summed change of all ranks in one update, looked at every ``check_every``
     updates, is below ``tol``; ``histogram`` stops when the perplexity of the score histogram was the
-    same four times. Only that scalar reaches the driver.
+    same four times. Only that scalar reaches the driver. Reaching ``max_rounds`` first is warned of.
     """
     ranks = start_ranks(layout)
     history: list[float] = []
     with steady_plans(layout.vertices.sparkSession, layout.width):
-        for done in range(max_rounds + 1):
+        for done in count():
             if stop == "histogram":
                 history.append(round(perplexity(ranks).first().perplexity, 6))
                 if is_stable(history):
                     break
             if done == max_rounds:
+                warnings.warn(f"PageRank did not meet its stop {stop!r} in {done} rounds", stacklevel=2)
                 break
             after = next_ranks(layout, ranks, damping)
             if stop != "tol" or (done + 1) % check_every:
@@ -213,8 +216,9 @@ def chain_nodes(spark, k: int) -> DataFrame:
 
 
 def chain_edges(nodes: DataFrame, k: int) -> DataFrame:
-    """``src, dst`` of the chain; the end of each row of ``k`` points to the dummy node 0."""
-    return nodes.select(F.col("id").alias("src"), F.when(F.col("id") % k == 0, 0).otherwise(F.col("id") + 1).alias("dst"))
+    """``src, dst`` of the chain; the end of each row of ``k``, and the last node, point to the dummy node 0."""
+    last = nodes.agg(F.max("id")).scalar()
+    return nodes.select(F.col("id").alias("src"), F.when((F.col("id") % k == 0) | (F.col("id") == last), 0).otherwise(F.col("id") + 1).alias("dst"))
 
 
 def chain_table(nodes: DataFrame, k: int) -> DataFrame:

@@ -10,41 +10,36 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A table whose rows are long texts.
-
-    Such rows cost far more to process than to move. When the files give fewer splits than there
-    are cores, the rows are dealt out by ``key`` first; a table of many splits is read in place.
-    """
-    table = read_table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
-
-
 def scan_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Captured pages ``page_id, url, html``."""
-    return read_texts(spark, folder, "pages", "page_id").select("page_id", "url", "html")
+    return read_table(spark, folder, "pages").select("page_id", "url", "html")
 
 
 def index_graph_scan(index: DataFrame) -> DataFrame:
-    """The link fields of index documents, without their text, and whether a page is a sink."""
-    return index.select("doc_id", "inlinks", "outlinks", "author", (F.size("outlinks") == 0).alias("is_sink"))
+    """``doc_id, n_in, n_out, author, is_sink`` of index documents, without their text.
+
+    The lists of a hub come in several rows, so their sizes are summed: a page is a sink only if no row has outlinks.
+    """
+    sizes = index.select("doc_id", "author", F.size("inlinks").alias("n_in"), F.size("outlinks").alias("n_out"))
+    summed = sizes.groupBy("doc_id", "author").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"))
+    return summed.withColumn("is_sink", F.col("n_out") == 0)
 
 
-def part_pairs(spark: SparkSession, folder: str, sparse: bool = False) -> DataFrame:
-    """A link for every two parts that follow each other in an order; ``sparse`` keeps one line in many.
+def part_pairs(spark: SparkSession, folder: str, suppliers: bool = False) -> DataFrame:
+    """A link for every two parts that follow each other in an order.
 
-    An order has no more than a handful of lines, so its window is small.
+    ``suppliers`` adds a link from each part to its supplier, under the supplier's negative key. Suppliers link
+    to nothing, so they are sinks. An order has no more than a handful of lines, so its window is small.
     """
-    lines = read_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
-    if sparse:
-        lines = lines.filter("l_suppkey % 7 = 0 and l_returnflag = 'R'")
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
     pairs = lines.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(in_order).alias("dst"))
-    return pairs.filter("dst is not null")
+    pairs = pairs.filter("dst is not null")
+    if suppliers:
+        pairs = pairs.unionByName(lines.select(F.col("l_partkey").alias("src"), (-F.col("l_suppkey")).alias("dst")))
+    return pairs
 
 
-def part_graph(spark: SparkSession, folder: str, sparse: bool = False) -> DataFrame:
+def part_graph(spark: SparkSession, folder: str, suppliers: bool = False) -> DataFrame:
     """The distinct links of :func:`part_pairs`."""
-    return part_pairs(spark, folder, sparse).distinct()
+    return part_pairs(spark, folder, suppliers).distinct()

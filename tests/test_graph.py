@@ -212,3 +212,40 @@ def test_skewed_hits_against_brute_force(spark):
         authority = {i: x / math.sqrt(sum(y * y for y in a.values())) for i, x in a.items()}
     got = hits.hits(spark.createDataFrame(links, "src long, dst long"), rounds=3, hub_block=7)
     assert values(got, "hub", "authority") == {i: (round(hub[i], 10), round(authority[i], 10)) for i in hub}
+
+
+def test_split_hubs_change_nothing(spark):
+    from linkloom.sources import tables
+
+    edges = spark.createDataFrame(skewed_links(), "src long, dst long")
+    scans = []
+    for block in (2, 10 ** 6):
+        lists = linkgraph.link_adjacency(edges, block=block).withColumnRenamed("url", "doc_id").withColumn("author", F.lit("a"))
+        scans.append(sorted(tables.index_graph_scan(lists).collect()))
+    assert scans[0] == scans[1]
+
+
+def test_document_links_of_a_hub(spark):
+    edges = spark.createDataFrame(skewed_links(), "src long, dst long")
+    docs = spark.createDataFrame([(0,), (1000,), (2000,)], "doc_id long")
+    redirects = spark.createDataFrame([(1000, 0), (0, 5)], "url long, other_url long")
+    rows = linkgraph.link_rows(edges)
+    want = sorted((r.direction, r.link) for r in rows.filter("url = 0").collect())
+    got = index.document_links(docs, rows, redirects).collect()
+    assert {r.doc_id for r in got} == {0, 1000}
+    for doc in (0, 1000):
+        assert sorted((r.direction, r.link) for r in got if r.doc_id == doc) == want
+
+
+def test_skewed_redirects_against_brute_force(spark):
+    links = skewed_links()
+    names = {0: 7, 1: 8, 5: 1}
+    got = linkgraph.resolve_redirects(spark.createDataFrame(links, "src long, dst long"),
+                                      spark.createDataFrame(list(names.items()), "url long, final_url long"))
+    assert sorted(map(tuple, got.collect())) == sorted((names.get(a, a), names.get(b, b)) for a, b in links)
+
+
+def test_the_last_node_of_a_broken_chain_keeps_the_mass(spark):
+    nodes = spark.range(1, 16)
+    ranks = pagerank.fixed_rounds(pagerank.lay_out_chain(nodes, 11), 4)
+    assert round(sum(values(ranks, "rank").values()), 8) == 1

@@ -131,17 +131,6 @@ def test_row_numbers_are_global(spark):
     assert [r.row_no for r in rows.orderBy("row_no").collect()] == list(range(1, 5001))
 
 
-def test_batches_grow(spark):
-    queue = spark.range(3000).select(F.lit(1).alias("level"), F.format_string("u%06d", "id").alias("url"))
-    sizes = {r.batch: r["count"] for r in frontier.frontier_batches(queue, step=100).groupBy("batch").count().collect()}
-    assert sizes == {1: 100, 2: 200, 3: 300, 4: 400, 5: 500, 6: 600, 7: 700, 8: 200}
-
-
-def test_few_urls_are_one_share(spark):
-    scored = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "link string, score double")
-    assert [r.share for r in frontier.frontier_shares(scored).collect()] == [0, 0]
-
-
 def test_full_queue_drops_the_last(spark):
     found = spark.createDataFrame([(2, "b"), (1, "c"), (1, "a")], "level int, url string")
     assert [r.url for r in frontier.admit(8, found, capacity=10).collect()] == ["a", "c"]
@@ -191,3 +180,18 @@ def test_crawl_obeys_ignore_list_and_limit(spark):
     ignoring = crawl.CrawlRules(relevance=None, ignore=["http://s.org/a"])
     assert crawl.crawl(crawl.start(seeds), site(spark), ignoring).fetched == 2
     assert crawl.crawl(crawl.start(seeds), site(spark), crawl.CrawlRules(relevance=None, required=0)).fetched == 1
+
+
+def test_character_references_and_ends_of_scripts(spark):
+    html = "<title>A &mdash; B&#8217;s &eacute;</title><script>x</style>y</script>z"
+    row = spark.range(1).select(pages.page_title(F.lit(html)).alias("t"), pages.full_text(F.lit(html)).alias("x")).first()
+    assert row.t == "A — B’s é" and row.x == "A — B’s éz"
+
+
+def test_escapes_keep_pages_apart(spark):
+    from linkloom.functions.urls import canonicalize
+
+    links = ["http://h/%e9", "http://h/%FF", "http://h/a%2fb", "http://h/%7eu%41", "http://h/a b%", "http://h/%2541"]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in links], "u string").select(
+        canonicalize(F.col("u"), F.col("u"))).collect()]
+    assert got == ["http://h/%E9", "http://h/%FF", "http://h/a%2Fb", "http://h/%7Eu%41", "http://h/a%20b%25", "http://h/%2541"]

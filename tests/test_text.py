@@ -96,12 +96,37 @@ def test_pages_do_not_overlap_but_legacy_pages_do(spark, folder):
     assert legacy == first[1:] + second[:1]
 
 
-def test_page_beyond_the_lookup_limit(spark, folder, monkeypatch):
+def test_a_page_is_the_head_of_a_larger_one(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select(
         "doc_id", "text", F.lit("T").alias("title"), F.col("source").alias("author"))
-    looked_up = search.search_page(docs, "thing thble", size=5).collect()
-    monkeypatch.setattr(search, "LOOKUP_LIMIT", 0)
-    assert sorted(search.search_page(docs, "thing thble", size=5).collect()) == sorted(looked_up)
+    small, large = (search.search_page(docs, "thing thble", size=n).orderBy("rank").collect() for n in (5, 2000))
+    assert small == large[:5]
+
+
+def test_stops_inside_words_end_no_sentence(spark):
+    shown = one(spark, search.highlight(F.lit("The u.s. one. See 3.5 and u.s here. None."), ["u.s", "3.5"], fragments=None))
+    assert shown == "The <em>u.s</em>. … See <em>3.5</em> and <em>u.s</em> here."
+
+
+def test_combining_marks_belong_to_their_word(spark):
+    from linkloom.functions import text
+
+    assert one(spark, text.analyze(F.lit("re\u0301sume\u0301 x"))) == ["resume", "x"]
+
+
+def test_a_new_index_version_takes_the_place_of_the_old(spark, tmp_path):
+    from linkloom.operators import index
+
+    path = str(tmp_path / "index")
+    first = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    second = spark.createDataFrame([(2, "b c c")], "doc_id long, text string")
+    index.write_index(first, path, buckets=4)
+    index.write_index(second, path, buckets=4)
+    assert [r.doc_id for r in index.StoredIndex(spark, path).postings(["b"]).collect()] == [1]
+    index.write_index(second, path, buckets=2, replace=True)
+    stored = index.StoredIndex(spark, path)
+    assert [(r.df, r.cf) for r in stored.term_stats(["c"]).collect()] == [(1, 2)]
+    assert [r.doc_id for r in stored.postings(["b"]).collect()] == [2]
 
 
 def test_highlight_follows_the_analyzer(spark):
