@@ -158,7 +158,7 @@ _TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
 
 
 def _plain(expr: str) -> str:
-    for name, sign in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&nbsp;": " ", "&amp;": "&"}.items():
+    for name, sign in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&middot;": "·", "&copy;": "©", "&amp;": "&"}.items():
         expr = f"replace({expr}, '{name}', '{sign}')"
     return expr
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from linkloom.functions.text import strip
 URL_PATTERN = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 # Signs that may stand unescaped in a path.
 PATH_SIGNS = "~:/[]@!$&'()*+,;="
+UNRESERVED = string.ascii_letters + string.digits + "-._~"
 DEFAULT_PORTS = {"http": "80", "https": "443"}
 DEFAULT_SCHEME = "https"
 
@@ -73,7 +76,8 @@ def _upper_escapes(text: Column) -> Column:
 def _escape_path(path: Column) -> Column:
     """One escaped form for a path: what may not stand there is escaped in UTF-8, with upper-case digits.
 
-    Escapes already there stay, so that ``%2F`` is not ``/`` and bytes that are no UTF-8 are not lost.
+    Escapes already there stay, so that ``%2F`` is not ``/`` and bytes that are no UTF-8 are not lost; only
+    those of letters, digits and the four other unreserved signs are taken back.
     """
     out = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
     for sign in PATH_SIGNS:
@@ -81,6 +85,8 @@ def _escape_path(path: Column) -> Column:
     # the percent sign of an escape was itself escaped
     out = F.regexp_replace(out, "%25([0-9A-Fa-f]{2})", "%$1")
     out = _upper_escapes(out)
+    for sign in UNRESERVED:
+        out = F.replace(out, F.lit(f"%{ord(sign):02X}"), F.lit(sign))
     return F.when(F.regexp_like(path, F.lit(r"[^A-Za-z0-9._~:/\[\]@!$&'()*+,;=-]")), out).otherwise(path)
 
 
