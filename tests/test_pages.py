@@ -17,7 +17,7 @@ URLS = [
     ("http://h.com", "http://h.com/"), ("mailto:X@y.z", "mailto:X@y.z"), ("..", "http://site.org/a/"),
     ("http://h.com:8080/../../x/..", "http://h.com:8080/"), ("  /sp ace ", "http://site.org/sp%20ace"),
     ("http://h.com/%C3%A9", "http://h.com/%C3%A9"), ("HTTP://h.com:80/a?B=c&utm_source=d", "http://h.com/a?B=c&utm_source=d"),
-    ("http://h.com/a+b%2fc", "http://h.com/a+b/c"),
+    ("http://h.com/a+b%2fc", "http://h.com/a+b%2Fc"),
 ]
 
 
