@@ -10,7 +10,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from linkloom.llm import catalog, chat, extract, packing, pieces, rules, simhash, sketch, slots, suffix, toxicity
+import corpus_pipeline
+from linkloom.llm import catalog, chat, extract, packing, pieces, rules, similar, simhash, sketch, slots, suffix, toxicity
 from linkloom.llm.common import table
 from linkloom.llm.components import roots
 
@@ -477,3 +478,50 @@ def test_toxicity_scores_by_held_out_labels(spark, docs, none):
     assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores)
     assert toxicity.scored(none, net).collect() == []
     assert toxicity.fit(none, df.filter("false")).run is not None
+
+
+def brute_similar(texts):
+    """The smallest id of each text's group, over five-word Jaccard similarity of 0.8 or more."""
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+    sets = {i: shingles(t) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    changed = True
+    while changed:
+        changed = False
+        for i, j in product(sets, sets):
+            both = len(sets[i] & sets[j])
+            if (sets[i] == sets[j] or 5 * both >= 4 * len(sets[i] | sets[j])) and group[j] > group[i]:
+                group[j], changed = group[i], True
+    return group
+
+
+def near_copies(n=70, seed=3):
+    """Copies of a few texts with some words changed, some within 0.8 of the first, some over a chain, some not at all."""
+    r, out = np.random.default_rng(seed), {}
+    passage = text_of(99, 40)
+    for i in range(n):
+        words = (text_of(i % 5, 160) + " " + passage).split()
+        for _ in range(i // 5 % 6):
+            words[r.integers(0, 150)] = f"x{r.integers(0, 9)}"
+        out[i + 1] = " ".join(words)
+    return {**out, n + 1: None, n + 2: "  ", n + 3: "one two", n + 4: "One  two", n + 5: text_of(50, 200) + passage}
+
+
+@pytest.mark.parametrize("pairs_per_row", [0, 4, 1000])
+def test_similar_against_brute_force(spark, docs, monkeypatch, pairs_per_row):
+    monkeypatch.setattr(similar, "PAIRS_PER_ROW", pairs_per_row)
+    monkeypatch.setattr(similar, "STAR_ROUNDS", 2)
+    texts = near_copies()
+    made = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in similar.near_duplicates(made).collect()}
+    assert got == brute_similar(texts)
+
+
+def test_pipeline_keeps_one_of_each_similar_group(spark, docs):
+    texts = near_copies()
+    made = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, made, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(brute_similar(texts).values()))
