@@ -26,6 +26,9 @@ from linkloom.llm.common import map_arrow
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "object"}
+RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
+#: Start tags that may stand in head; any other one, or text, closes it.
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span "
              "strike strong sub sup time tt u var wbr".split())
@@ -77,7 +80,6 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
     stack: list[tuple[str, tuple]] = []
     parts: list[str] = []
     linked, links, at = 0, 0, 0
-    low = None
 
     def leave() -> None:
         nonlocal linked
@@ -96,6 +98,8 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
         match = TOKEN.search(html, at)
         text = html[at:match.start() if match else len(html)]
         if text:
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                stack.pop()
             parts.append(text)
             if links:
                 linked += len(text)
@@ -105,6 +109,11 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
         if match[2] is None:
             continue
         tag = match[2].lower()
+        if not match[1] and stack and (tag == "body" or stack[-1][0] == "head" and tag not in IN_HEAD):
+            k = next((k for k, e in enumerate(stack) if e[0] == "head"), None)
+            if k is not None:
+                leave()
+                close(k)
         if tag in INLINE and tag != "br":
             if match[1]:
                 for k in range(len(stack) - 1, -1, -1):
@@ -129,9 +138,8 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
                     break
             continue
         if tag in RAW:
-            low = html.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            at = len(html) if end < 0 else end
+            end = RAW_END[tag].search(html, at)
+            at = end.start() if end else len(html)
             stack.append((tag, ()))
             continue
         closes = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())

@@ -59,6 +59,22 @@ def test_extract_decodes_and_joins(spark):
     assert got == {(1, want, len(want)): 2, (2, "", 0): 1, (3, "", 0): 1}
 
 
+@pytest.mark.parametrize("start", [
+    "<head><title>t</title><meta charset=u><body>", "<head><title>t</title>", "<head><title>t<body>",
+    "<head><title>t</title><script>var a='İ<p>';</script></head><body>",
+    "<head><title>İİİ</title><style>p { }</STYLE></head><body><script>1</script>"])
+def test_extract_blocks_without_head_end_and_with_growing_letters(start):
+    page = extract.blocks(f"<html>{start}<div class=main><p>One İ.</p><script>x</script><p>Two.</p></div></body></html>")
+    assert [text for text, *_ in page] == ["One İ.", "Two."]
+    assert [[tag for tag, _ in ancestors][-2:] for _, ancestors, _ in page] == [["div", "p"]] * 2
+
+
+def test_extract_text_and_inline_tags_close_head():
+    for start in ("Hi ", "<b>Hi</b> "):
+        page = extract.blocks(f"<html><head><link href=x><title>t</title> {start}there.<p>Two.</p>")
+        assert [text for text, *_ in page] == ["Hi there.", "Two."]
+
+
 def test_extract_field_learns_held_out_layouts():
     field, wrong, total = extract.trained(), 0, 0
     for page, labels in extract.labelled_pages(60, seed=5):
