@@ -455,9 +455,13 @@ def whole_characters(data: bytes, spans: np.ndarray) -> np.ndarray:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_data`` and ``_spans``, the list of span lists found for the row (null: none)."""
-    spans = removed_spans(docs).groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.flatten("_spans").alias("_spans"))
+    """``docs`` with ``_data`` and ``_spans``, the spans found for the row, each once (null: none)."""
+    each = removed_spans(docs).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans",
+        F.explode(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2))).alias("at"))
+    each = each.select("_id", "_hash", F.expr("spans[at]").alias("begin"), F.expr("spans[at + 1]").alias("end"))
+    # rows that repeat have the same spans
+    spans = each.distinct().groupBy("_id", "_hash").agg(F.flatten(F.collect_list(F.array("begin", "end"))).alias("_spans"))
     return keyed(docs).join(spans, ["_id", "_hash"], "left").drop("_id", "_hash")
 
 

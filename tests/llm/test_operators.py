@@ -266,6 +266,18 @@ def test_suffix_against_brute_force(docs, rows, none, monkeypatch):
     assert Counter(r["doc_id"] for r in cut.collect()) == Counter(i for i, _, _ in rows)
 
 
+def test_suffix_spans_of_repeated_rows_come_once(spark, docs):
+    passage = text_of(99, 60)
+    rows = [(1, passage)] + [(2, text_of(1, 40) + passage)] * 50
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [r[0] for r in suffix.with_spans(made).filter("doc_id = 2").select("_spans").collect()]
+    assert len(found) == 50
+    for spans in found:
+        pairs = list(zip(spans[::2], spans[1::2]))
+        assert pairs and len(pairs) == len(set(pairs))
+    assert Counter(tuple(r) for r in suffix.removals(made).collect()) == brute_suffix([(i, t, None) for i, t in rows])
+
+
 def test_suffix_equal_fingerprints_of_different_strings(rows, monkeypatch):
     """With a fingerprint of three bits everything collides, and the bytes decide."""
     real = suffix.string_prints
