@@ -28,6 +28,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 KNOWN_WORDS = 1_000_000
 LONGEST_KNOWN = 64
+CHUNK = 256
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 _MODELS: dict[str, "Pieces"] = remembered()
 
@@ -119,7 +120,7 @@ class Pieces:
         return [i for part in reversed(parts) for i in part]
 
     def encode_word(self, word: str) -> bytes:
-        ids = [i for part in self.stream((word,)) for i in part]
+        ids = [i for part in self.stream(word[k:k + CHUNK] for k in range(0, len(word), CHUNK)) for i in part]
         return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:

@@ -131,6 +131,17 @@ def test_pieces_match_the_library_and_stream(unigram, rows):
                 i for part in model.stream(["".join(chunks)]) for i in part]
 
 
+def test_pieces_hold_a_window_of_a_long_run(monkeypatch):
+    model = pieces.Pieces(catalog.vocabulary("piece_bpe_32k.model"))
+    run = "".join(WORDS[k % 7] + str(k % 11) for k in range(6000))
+    want = [i for part in model.stream((pieces.MARK + run[:900],)) for i in part]
+    collect, held = model.collect, []
+    monkeypatch.setattr(model, "collect", lambda text, *rest: held.append(len(text)) or collect(text, *rest))
+    assert model.decode(model.encode(run)) == run
+    assert max(held) <= 4 * pieces.CHUNK < len(run)
+    assert np.frombuffer(model.encode(run[:900]), "<u4").tolist() == want
+
+
 def test_pieces_round_trip(docs, none):
     path = catalog.vocabulary("piece_bpe_32k.model")
     assert all(r["round_trip"] for r in pieces.summary(docs, path).collect())
