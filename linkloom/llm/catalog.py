@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat, extract, packing, pieces, rules, simhash, sketch, slots, suffix, toxicity
+from linkloom.llm import (
+    chat, extract, lines, packing, phrases, pieces, repair, rules, simhash, sketch, slots, suffix, toxicity)
 from linkloom.llm.common import saved, shared_folder, table
 
 SHARDS = 16
@@ -138,6 +139,71 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                       (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = F.sha2(lines.kept_text(F.col("text"), F.col("keep.runs")), 256)
+    return lines.with_bitmaps(docs, "keep").select("doc_id", "keep.n_lines", "keep.n_dropped", kept.alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+with texts as (select row_number() over () as row_id, doc_id, coalesce(text, '') as text from documents),
+lines as (
+  select row_id, doc_id, unnest(string_split(text, chr(10))) as line,
+    unnest(generate_series(1, len(string_split(text, chr(10))))) as pos from texts),
+keys as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+marked as (select *, length(key) >= 10 and min(doc_id) over (partition by key) < doc_id as dropped from keys)
+select any_value(doc_id) as doc_id, count(*) as n_lines, cast(sum(cast(dropped as int)) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
+from marked group by row_id
+"""
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repair.repair(repair.damaged(table(spark, folder, "conversations")), copies="copies")
+    said = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return rows.withColumn("repaired_sha256", F.sha2(F.array_join(said, "\n"), 256)).drop("repaired")
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+with pieces as (
+  select row_number() over () as piece_id, lang, piece from (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) as piece from documents)),
+split as (select lang, regexp_extract_all(piece, '[^ 	]+') as words from pieces),
+grams as (
+  select lang, unnest(flatten([[words[i:i + k - 1] for i in generate_series(1, len(words) - k + 1)]
+    for k in generate_series(1, 4)])) as gram from split),
+counts as materialized (select lang, gram, len(gram) as k, count(*) as f from grams group by lang, gram),
+totals as (select lang, cast(sum(f) as bigint) as n from counts where k = 1 group by lang),
+candidates as materialized (select lang, gram, k, f as a from counts where k >= 2 and f >= 30),
+inside as (
+  select lang, unnest(flatten([[gram[i:i + w - 1] for i in generate_series(1, k - w + 1)]
+    for w in generate_series(2, k - 1)])) as gram, a as longer from candidates where k >= 3),
+covered as (select lang, gram, max(longer) as most from inside group by lang, gram),
+kept as (
+  select c.lang, c.gram, c.k, c.a from candidates c left join covered v on v.lang = c.lang and v.gram = c.gram
+  where v.most is null or cast(100 as hugeint) * v.most < cast(80 as hugeint) * c.a),
+cuts as (select *, unnest(generate_series(1, k - 1)) as cut from kept),
+rated as (
+  select t.lang, t.gram, t.a, t.cut, x.f as l, y.f as r,
+    cast(cast(2000000 as hugeint) * t.a // (x.f + y.f) as bigint) as score
+  from cuts t join counts x on x.lang = t.lang and x.gram = t.gram[1:t.cut]
+  join counts y on y.lang = t.lang and y.gram = t.gram[t.cut + 1:t.k]),
+lowest as (select * from rated qualify row_number() over (partition by lang, gram order by score, cut) = 1),
+ranked as (
+  select lang, array_to_string(gram, ' ') as phrase, a, l, r, score, row_number() over (
+    partition by lang order by score desc, a desc, array_to_string(gram, ' ')) as rank from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
 ENTRIES = {
     "op1_extract": (op1_extract, None),
     "op2_pieces": (op2_pieces, None),
@@ -149,6 +215,9 @@ ENTRIES = {
     "op8_rules": (op8_rules, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_lines": (op11_lines, OP11_SQL),
+    "op12_repair": (op12_repair, None),
+    "op13_phrases": (op13_phrases, OP13_SQL),
 }
 QUERIES = {name: query for name, (query, _) in ENTRIES.items()}
 ORACLES = {name: sql for name, (_, sql) in ENTRIES.items() if sql}

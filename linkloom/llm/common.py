@@ -43,6 +43,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with as many underscores before it as make it differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def null_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit("")))
 
