@@ -22,7 +22,7 @@ from linkloom.llm.common import MAX_ID, saved, unused
 
 WHITE = " \t\n\x0b\f\r"
 LEAST = 10
-RUN_ROWS = 1 << 16  # a hash with more lines is hot, and more with the table
+RUN_ROWS = 1 << 10  # a hash with more lines is hot; the number grows with the table
 MOST_HOT = 1 << 16
 ROWS_PER_RANGE = 1 << 20
 
