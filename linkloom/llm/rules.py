@@ -5,7 +5,8 @@ Policies are versioned masks over the bits, applied later without touching a tex
 are bitwise aggregates of the ledger. Only column expressions are used.
 
 A null or empty text has no words and fails the first rule. Rows are judged one by one, so repeated rows and
-texts of any length are treated alike; every other column of the table is kept.
+texts of any length are treated alike. A ledger has the columns of its table and the measurements, which take the place
+of columns with their names; :func:`accepted` gives the rows of a table back with all columns as they are.
 """
 
 from __future__ import annotations
@@ -40,12 +41,17 @@ def mask(rules: tuple[str, ...]) -> int:
     return sum(1 << names.index(rule) for rule in rules)
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_upper", "n_repeat_words", "failed", "kept")
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with the measurements. The helper columns are referred to often enough that Spark keeps them apart."""
-    own = docs.columns
+    taken = [c for c in docs.columns if c.lower() in MEASURES]
+    own = F.struct("*").dropFields(*taken) if taken else F.struct("*")
     text = F.coalesce(F.col("text"), F.lit(""))
     body = F.btrim(text, F.lit(WHITE))
-    df = docs.withColumn("_body", body)
+    # the table's own columns travel as one, so that no name meets a helper's
+    df = docs.select(own.alias("_row"), "text").withColumn("_body", body)
     df = df.withColumn("_words", F.when(F.col("_body") == "", F.array().cast("array<string>"))
                        .otherwise(F.split("_body", GAP)))
     df = df.withColumn("_lines", F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != ""))
@@ -57,7 +63,7 @@ def measured(docs: DataFrame) -> DataFrame:
     df = df.withColumn("_windows", windows)
     joined = F.array_join("_words", "")
     df = df.select(
-        *own, F.size("_words").cast("long").alias("n_words"), F.char_length(joined).cast("long").alias("word_chars"),
+        "_row", F.size("_words").cast("long").alias("n_words"), F.char_length(joined).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"),
@@ -66,8 +72,8 @@ def measured(docs: DataFrame) -> DataFrame:
     found = F.when(F.col("_again"), F.sort_array(F.transform(
         F.col("_windows"), lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     df = df.withColumn("_sorted", found)
-    return df.withColumn("n_repeat_words", F.when(F.col("_again"), covered(F.col("_sorted"))).otherwise(F.lit(0))
-                         .cast("long")).drop("_windows", "_again", "_sorted")
+    repeated = F.when(F.col("_again"), covered(F.col("_sorted"))).otherwise(F.lit(0)).cast("long")
+    return df.select("_row.*", *MEASURES[:6], repeated.alias("n_repeat_words"))
 
 
 def covered(found: Column) -> Column:
@@ -99,6 +105,12 @@ def apply_policy(ledger_rows: DataFrame, version: int = LATEST) -> DataFrame:
     return ledger_rows.withColumn("kept", F.col("failed").bitwiseAND(F.lit(mask(POLICIES[version]))) == 0)
 
 
+def accepted(docs: DataFrame, version: int = LATEST) -> DataFrame:
+    """The rows of ``docs`` that one version of the policy keeps, with all their columns."""
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return apply_policy(ledger(rows), version).filter("kept").select("row.*")
+
+
 def ablation(ledger_rows: DataFrame, version: int = LATEST) -> DataFrame:
     """For each rule of a policy: documents that fail it, that fail only it, and that would stay without it.
 

@@ -13,7 +13,8 @@ byte. Stretches that are equal within a map task are sent once, so a passage of
 arrives as a few rows a task.
 
 Null texts are empty. A null id counts as larger than all others. Documents with equal ids are not each other's
-source. Rows equal in id and text get the same result. Texts of any length are cut whole.
+source. Rows equal in id and text get the same result. Texts of any length are cut whole. Other columns stay as they
+are, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.llm.common import MAX_ID, forget, hand_back, map_arrow
 
@@ -394,15 +396,17 @@ def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with what tells rows apart: the id as a long, never null, and a hash of the text, beside its bytes."""
+    """``_row, _id, _data, _hash``: all columns but the text as one, so that no name meets another; what tells rows
+    apart, the id as a long, never null, and a hash of the text; and the text's bytes."""
+    own = F.struct("*").dropFields("text")
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))).withColumn(
-        "_data", data).withColumn("_hash", F.xxhash64("_data"))
+    return docs.select(own.alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID)).alias("_id"),
+                       data.alias("_data")).withColumn("_hash", F.xxhash64("_data"))
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, spans`` of the rows that lose bytes; the spans may touch or overlap."""
-    rows = keyed(docs).select(F.col("_id").alias("doc_id"), F.col("_hash").alias("text_hash"), F.col("_data").alias("data"))
+    rows = keyed(docs.select("doc_id", "text")).select(F.col("_id").alias("doc_id"), F.col("_hash").alias("text_hash"), F.col("_data").alias("data"))
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     sample = [r[0] for r in rows.select(F.substring("data", 1, SAMPLE_CHARS)).limit(SAMPLE_ROWS).collect()]
     shards = max(16, math.ceil(total / STRINGS_PER_SHARD))
@@ -455,7 +459,7 @@ def whole_characters(data: bytes, spans: np.ndarray) -> np.ndarray:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_data`` and ``_spans``, the spans found for the row, each once (null: none)."""
+    """``_row, _data, _spans`` of each row, as in :func:`keyed`, with the spans found for it, each once (null: none)."""
     each = removed_spans(docs).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans",
         F.explode(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2))).alias("at"))
@@ -479,13 +483,12 @@ def removals(docs: DataFrame) -> DataFrame:
         return {"doc_id": batch.column(0), **dict(zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), columns))}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(with_spans(docs.select("doc_id", "text")).select("doc_id", "_data", "_spans"), make,
+    return map_arrow(with_spans(docs.select("doc_id", "text")).select("_row.doc_id", "_data", "_spans"), make,
                      f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text``; characters covered only in part stay."""
-    names = docs.columns
 
     def make(batch: pa.RecordBatch) -> dict:
         texts = []
@@ -493,6 +496,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             if found.is_valid:
                 data = cut(data, whole_characters(data, merged(found.values.to_numpy().reshape(-1, 2))))
             texts.append(data.decode("utf-8", "replace"))
-        return {**{c: batch.column(c) for c in names}, "text": texts}
+        return {"_row": batch.column("_row"), "text": texts}
 
-    return map_arrow(with_spans(docs), make, docs.schema)
+    rows = with_spans(docs)
+    out = map_arrow(rows, make, T.StructType([rows.schema["_row"], T.StructField("text", T.StringType())]))
+    return out.select("_row.*", "text").select(*[f"`{c}`" for c in docs.columns])

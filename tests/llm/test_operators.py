@@ -281,7 +281,7 @@ def test_suffix_spans_of_repeated_rows_come_once(spark, docs):
     passage = text_of(99, 60)
     rows = [(1, passage)] + [(2, text_of(1, 40) + passage)] * 50
     made = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = [r[0] for r in suffix.with_spans(made).filter("doc_id = 2").select("_spans").collect()]
+    found = [r[0] for r in suffix.with_spans(made).filter("_row.doc_id = 2").select("_spans").collect()]
     assert len(found) == 50
     for spans in found:
         pairs = list(zip(spans[::2], spans[1::2]))
