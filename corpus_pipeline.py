@@ -5,29 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import packing, rules, similar, suffix, toxicity
+from linkloom.llm import packing, rules, simhash, suffix, toxicity
 from linkloom.llm.catalog import vocabulary
-from linkloom.llm.common import saved, table
+from linkloom.llm.common import MAX_ID, saved, table, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold; the network learns from the tables in ``sf_dir``."""
     net = toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, net, "_toxicity").filter(F.col("_toxicity") < toxicity.THRESHOLD).select(docs.columns)
+    (score,) = unused(docs, "toxicity")
+    return toxicity.scored(docs, net, score).filter(F.col(score) < toxicity.THRESHOLD).select(
+        *[f"`{c}`" for c in docs.columns])
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the latest policy over the rule ledger keeps."""
-    return rules.apply_policy(rules.ledger(docs)).filter("kept").select(docs.columns)
+    return rules.accepted(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 0.8 of their five-word shingles: the one with the smallest id,
-    of equal ids any one."""
-    keyed = docs.withColumn("_row", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
-    groups = similar.near_duplicates(keyed.select("_row", "text"), key="_row")
-    first = groups.groupBy("component_id").agg(F.count("*").alias("n")).select(F.col("component_id").alias("_row"))
-    return keyed.join(first, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
+    """One document of each group of linked fingerprints: the one with the smallest id, null ids last; of rows equal in
+    id and text one stays."""
+    (key,) = unused(docs, "key")
+    keyed = docs.select("*", F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID)).alias("id"),
+                                      F.xxhash64("text").alias("hash")).alias(key))
+    groups = simhash.near_duplicates(keyed.select(key, "text"), key=key)
+    first = groups.groupBy("component_id").agg(F.count("*").alias("n")).select(F.col("component_id").alias(key))
+    return keyed.join(first, key, "left_semi").dropDuplicates([key]).select(*[f"`{c}`" for c in docs.columns])
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
