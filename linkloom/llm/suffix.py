@@ -113,13 +113,13 @@ def gathered_steps(starts: np.ndarray, pieces: np.ndarray) -> np.ndarray:
     return np.repeat(starts, pieces) + LONGEST_STRETCH * within
 
 
-def planes(values: np.ndarray) -> bytes:
-    """32-bit integers as four runs of bytes, which pack better."""
-    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def planes(values: np.ndarray, width: int = 4) -> bytes:
+    """Integers of so many bytes as as many runs of bytes, which pack better."""
+    return values.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T.tobytes()
 
 
-def from_planes(raw: bytes, n: int, at: int) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view("<i4").ravel()
+def from_planes(raw: bytes, n: int, at: int, width: int = 4) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, width * n, at).reshape(width, n).T.copy().view(f"<i{width}").ravel()
 
 
 def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -161,8 +161,17 @@ class Outbox:
 
     def clear(self) -> None:
         self.parts, self.ids, self.hashes, self.size, self.docs = [], [], [], 0, 0
+        self.seen: set[tuple[int, int]] = set()
 
     def add(self, ids: np.ndarray, hashes: np.ndarray, texts: list[bytes]) -> None:
+        """Rows equal in id and text are sent once, as they have the same spans."""
+        fresh = []
+        for at, key in enumerate(zip(ids.tolist(), hashes.tolist())):
+            if key not in self.seen:
+                self.seen.add(key)
+                fresh.append(at)
+        if len(fresh) < len(texts):
+            ids, hashes, texts = ids[fresh], hashes[fresh], [texts[at] for at in fresh]
         data, document, start, place, strings, least = stretches(texts, self.classes)
         content = data[gathered(start, strings + LENGTH - 1)]
         self.parts.append((document + self.docs, place, strings, least, stretch_keys(data, start, strings), content))
@@ -172,7 +181,8 @@ class Outbox:
         self.size += len(content)
 
     def flush(self) -> tuple[list[tuple], dict]:
-        """Rows ``shard, packed`` to send, and the spans of stretches that an earlier document here has too."""
+        """Rows ``shard, packed`` to send, and the spans of stretches that an earlier document here has too, which go to
+        the shards of their stretches."""
         document, place, strings, least, key, content = (np.concatenate(x) for x in zip(*self.parts))
         ids, hashes = np.concatenate(self.ids), np.concatenate(self.hashes)
         self.clear()
@@ -180,10 +190,14 @@ class Outbox:
         ends = np.cumsum(sizes)
         begins = ends - sizes
         repeated = repeats(key, content, begins, sizes, ids[document])
-        spans = span_columns(ids, hashes, document[repeated], place[repeated], (place + sizes)[repeated])
-        keep = np.flatnonzero(~repeated)
-        spread = mixed(least[keep])
+        spread = mixed(least)
         shard = (spread % np.uint64(self.shards)).astype(np.int64)
+        known = np.unique(shard[repeated] * len(ids) + document[repeated])  # a row for each shard and document
+        row = np.searchsorted(known, shard[repeated] * len(ids) + document[repeated])
+        spans = span_columns(ids[known % len(ids)], hashes[known % len(ids)], row, place[repeated], (place + sizes)[repeated])
+        spans["shard"] = (known // len(ids)).astype(np.int32)
+        keep = np.flatnonzero(~repeated)
+        spread, shard = spread[keep], shard[keep]
         part = (spread // np.uint64(self.shards) % np.uint64(PARTS)).astype(np.int64)
         order = np.argsort(shard * PARTS + part, kind="stable")
         keep, shard, part = keep[order], shard[order], part[order]
@@ -194,7 +208,7 @@ class Outbox:
             rows.append((int(shard[a]), packer.compress(b"".join([
                 np.array([len(docs), len(own)], np.int64).tobytes(),
                 np.bincount(part[a:b], minlength=PARTS).astype(np.int64).tobytes(),
-                ids[docs].tobytes(), hashes[docs].tobytes(), planes(np.diff(index, prepend=0)),
+                planes(np.diff(ids[docs], prepend=0), 8), hashes[docs].tobytes(), planes(np.diff(index, prepend=0)),
                 planes(np.diff(place[own], prepend=0)), strings[own].astype(np.uint8).tobytes(),
                 content[gathered(begins[own], sizes[own])].tobytes()]))))
         return rows, spans
@@ -206,7 +220,7 @@ def unpacked(packed: bytes | pa.Buffer) -> tuple[np.ndarray, ...]:
     docs, count = np.frombuffer(raw, np.int64, 2).tolist()
     at = 16 + 8 * PARTS
     parts = np.frombuffer(raw, np.int64, PARTS, 16)
-    ids, hashes = np.frombuffer(raw, np.int64, docs, at), np.frombuffer(raw, np.int64, docs, at + 8 * docs)
+    ids, hashes = np.cumsum(from_planes(raw, docs, at, 8)), np.frombuffer(raw, np.int64, docs, at + 8 * docs)
     at += 16 * docs
     document, place = from_planes(raw, count, at), from_planes(raw, count, at + 4 * count)
     at += 8 * count
@@ -246,17 +260,34 @@ def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(cuts[:-1].tolist(), cuts[1:].tolist())
 
 
-def span_columns(ids, hashes, document, begin, end) -> dict:
-    """Spans by document, as columns of ``SPANS``; the documents come in runs."""
+def span_columns(ids, hashes, document, begin, end, in_rows: bool = False) -> dict:
+    """Spans by document, as columns of ``SPANS``; the documents come in runs.
+
+    ``ids`` and ``hashes`` are those of each document, or of each span if ``in_rows``.
+    """
     order = np.argsort(document, kind="stable")
     document, pairs = document[order], np.stack([begin, end], 1)[order]
     first = np.flatnonzero(np.r_[True, document[1:] != document[:-1]]) if len(document) else np.zeros(0, np.int64)
     offsets = np.r_[first, len(document)].astype(np.int32) * 2
     values = pa.array(pairs.astype(np.int32).ravel())
-    return {"doc_id": ids[document[first]], "text_hash": hashes[document[first]],
+    owner = order[first] if in_rows else document[first]
+    return {"doc_id": ids[owner], "text_hash": hashes[owner],
             "spans": pa.ListArray.from_arrays(pa.array(offsets), values)}
 
 
+def merged_columns(ids: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> dict:
+    """Columns of ``SPANS`` with one row for each id and hash and each of its spans once; ``sizes`` are spans a row."""
+    pairs = values.reshape(-1, 2).astype(np.int32)
+    ids, hashes = np.repeat(ids, sizes), np.repeat(hashes, sizes)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0], hashes, ids))
+    ids, hashes, pairs = ids[order], hashes[order], pairs[order]
+    apart = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+    keep = np.flatnonzero(np.r_[True, apart | (pairs[1:] != pairs[:-1]).any(axis=1)][:len(ids)])
+    ids, hashes, pairs = ids[keep], hashes[keep], pairs[keep]
+    row = np.cumsum(np.r_[0, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])])[:len(ids)]
+    return span_columns(ids, hashes, row, pairs[:, 0], pairs[:, 1], in_rows=True)
+
+
 class Family:
     """Suffix arrays of one shard, in levels whose sizes grow geometrically."""
 
@@ -362,7 +393,7 @@ def scan_part(document: np.ndarray, place: np.ndarray, strings: np.ndarray, data
 
 
 def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
-    """``shard, packed`` rows of stretches, and rows of spans found on the way (with a null shard)."""
+    """``shard, packed`` rows of stretches, and rows of spans found on the way (with a null ``packed``)."""
     schema = pa.schema([("shard", pa.int32()), ("packed", pa.binary()), ("doc_id", pa.int64()),
                         ("text_hash", pa.int64()), ("spans", pa.list_(pa.int32()))])
 
@@ -376,7 +407,7 @@ def route(docs: DataFrame, classes: np.ndarray, shards: int) -> DataFrame:
                  *(pa.nulls(len(part), f.type) for f in list(schema)[2:])], schema=schema)
         if m:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.array(spans["doc_id"]),
+                [pa.array(spans["shard"]), pa.nulls(m, pa.binary()), pa.array(spans["doc_id"]),
                  pa.array(spans["text_hash"]), spans["spans"]], schema=schema)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,7 +436,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, spans`` of the rows that lose bytes; the spans may touch or overlap."""
+    """``doc_id, text_hash, spans`` of the documents that lose bytes, one row a shard; spans may touch or overlap."""
     rows = keyed(docs.select("doc_id", "text")).select(F.col("_id").alias("doc_id"), F.col("_hash").alias("text_hash"), F.col("_data").alias("data"))
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     sample = [r[0] for r in rows.select(F.substring("data", 1, SAMPLE_CHARS)).limit(SAMPLE_ROWS).collect()]
@@ -416,17 +447,19 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     def scan(group: pa.Table) -> pa.Table:
         packed = group.column("packed")
         held = [p.as_buffer() for p in packed if p.is_valid]
-        local = group.filter(pa.compute.is_null(packed)).select(schema.names).cast(schema)
-        if not held:
-            return local
-        found = scan_shard(held)
+        parts = group.filter(pa.compute.is_null(packed)).select(schema.names).cast(schema).to_batches()
+        if held:
+            found = scan_shard(held)
+            parts.append(pa.RecordBatch.from_arrays(
+                [pa.array(found["doc_id"]), pa.array(found["text_hash"]), found["spans"]], schema=schema))
+        ids, hashes = (np.concatenate([p.column(k).to_numpy() for p in parts]) for k in (0, 1))
+        sizes = np.concatenate([p.column(2).value_lengths().to_numpy() // 2 for p in parts])
+        out = merged_columns(ids, hashes, sizes, np.concatenate([p.column(2).flatten().to_numpy() for p in parts]))
         hand_back()
-        return pa.concat_tables([local, pa.Table.from_arrays(
-            [pa.array(found["doc_id"]), pa.array(found["text_hash"]), found["spans"]], schema=schema)])
+        return pa.Table.from_arrays([pa.array(out["doc_id"]), pa.array(out["text_hash"]), out["spans"]], schema=schema)
 
-    # spans found on the way are dealt out too, so that the map runs once
-    to = F.coalesce(F.col("shard"), F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(shards)).cast("int"))
-    return routed.withColumn("shard_to", to).repartition(shards, "shard_to").groupBy("shard_to").applyInArrow(scan, SPANS)
+    # a shard is a partition; it also gets the spans found on the way, and gives each span once
+    return routed.repartitionById(shards, F.col("shard")).groupBy("shard").applyInArrow(scan, SPANS)
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -460,12 +493,9 @@ def whole_characters(data: bytes, spans: np.ndarray) -> np.ndarray:
 
 def with_spans(docs: DataFrame) -> DataFrame:
     """``_row, _data, _spans`` of each row, as in :func:`keyed`, with the spans found for it, each once (null: none)."""
-    each = removed_spans(docs).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans",
-        F.explode(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2))).alias("at"))
-    each = each.select("_id", "_hash", F.expr("spans[at]").alias("begin"), F.expr("spans[at + 1]").alias("end"))
-    # rows that repeat have the same spans
-    spans = each.distinct().groupBy("_id", "_hash").agg(F.flatten(F.collect_list(F.array("begin", "end"))).alias("_spans"))
+    # a shard gives a document's spans once, however often the document repeats
+    found = removed_spans(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
+    spans = found.groupBy("_id", "_hash").agg(F.flatten(F.collect_list("spans")).alias("_spans"))
     return keyed(docs).join(spans, ["_id", "_hash"], "left").drop("_id", "_hash")
 
 
