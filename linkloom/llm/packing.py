@@ -12,6 +12,7 @@ A null text is one piece that holds only the end id. Repeated rows are packed ea
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from functools import partial
 
@@ -27,7 +28,10 @@ CAPACITY = 2048
 END_ID = 0
 KNOWN_WORDS = 600_000
 LONGEST_KNOWN = 64
-TAIL = ",.;:!?"
+TEXTS_AT_ONCE = 512
+#: Signs that are never in one token with a letter beside them; an apostrophe may be, with the letter after it.
+TAIL = string.punctuation
+HEAD = TAIL.replace("'", "")
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _CODECS: dict[str, "Codec"] = remembered()
 
@@ -45,46 +49,65 @@ class Codec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode_all = partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
-        stop = self.encode_all(["."])[0].ids
-        self.stop_id = stop[0] if len(stop) == 1 else None
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = None  # whether an id ends a word, where the model marks that
+        if suffix:
+            ids = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(ids.values()) + 1, bool)
+            self.ends[[i for token, i in ids.items() if token.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {"": b""}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
+        get = self.known.get
         split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        gaps = [[i for i, ids in enumerate(parts) if ids is None] if None in parts else () for parts in found]
-        new = self.encoded({words[i] for words, at in zip(split, gaps) for i in at})
-        for words, parts, at in zip(split, found, gaps):
-            for i in at:
-                parts[i] = new[words[i]]
-        self.known.update({word: ids for word, ids in new.items() if len(word) <= LONGEST_KNOWN})
-        return list(map(b"".join, found))
-
-    def encoded(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of each word; marks after letters are tokens of their own, so ``word,`` is ``word`` and ``,``."""
-        parts = {}
+        found = [list(map(get, words)) for words in split]
+        new = {word for words, parts in zip(split, found) if None in parts for word, ids in zip(words, parts) if ids is None}
+        long = self.learn(new)
+        ids_of = self.known.__getitem__
+        out = [b"".join([ids_of(word) if ids is None else ids for word, ids in zip(words, parts)]) if None in parts
+               else b"".join(parts) for words, parts in zip(split, found)]
+        for word in long:
+            del self.known[word]
+        return out
+
+    def learn(self, words: set[str]) -> list[str]:
+        """Put the ids of words into the table; returns those too long to stay there.
+
+        Signs before and after letters are tokens of their own, so ``(word,`` is ``(`` and ``word`` and ``,``.
+        """
+        known, parts, whole, marked = self.known, set(), [], []
         for word in words:
-            core = word.rstrip(TAIL)
-            parts[word] = (core.lower() if core.isascii() else core, word[len(core):]) if core.isalpha() else ("", word)
-        known = self.known
-        found = self.plain({p for pair in parts.values() for p in pair if p not in known})
-        return {word: known[a] + (known[b] if b in known else found[b]) if a in known
-                else found[a] + (known[b] if b in known else found[b]) for word, (a, b) in parts.items()}
+            right = word.rstrip(TAIL)
+            core = right.lstrip(HEAD)
+            if not core.isalpha():
+                whole.append(word)
+                continue
+            lower = core.lower() if core.isascii() else core
+            if lower == word:
+                parts.add(word)
+                continue
+            head, tail = right[:len(right) - len(core)], word[len(right):]
+            parts.update((head, lower, tail))
+            marked.append((word, head, lower, tail))
+        found = self.plain({*parts.difference(known), *whole})
+        known.update(found)
+        known.update([(word, known[head] + known[core] + known[tail]) for word, head, core, tail in marked])
+        return [word for word in {*words, *found} if len(word) > LONGEST_KNOWN]
 
     def plain(self, words: set[str]) -> dict[str, bytes]:
-        """Words of letters alone are tokenized as one text, with a full stop between them."""
-        letters = [word for word in words if word.isalpha()]
+        """Words of letters alone are tokenized as one text and cut at the ids that end a word."""
+        letters = [word for word in words if word.isalpha()] if self.ends is not None else []
         out = {}
-        for at in range(0, len(letters), 256):
-            part = letters[at:at + 256]
-            ids = np.array(self.encode_all([" . ".join(part)])[0].ids, "<u4")
-            cuts = np.r_[-1, np.flatnonzero(ids == self.stop_id), len(ids)]
-            if self.stop_id is not None and len(cuts) == len(part) + 1:
-                data, begins, ends = ids.tobytes(), (4 * (cuts[:-1] + 1)).tolist(), (4 * cuts[1:]).tolist()
-                out.update(zip(part, [data[b:e] for b, e in zip(begins, ends)]))
+        for at in range(0, len(letters), 1024):
+            part = letters[at:at + 1024]
+            ids = np.array(self.encode_all([" ".join(part)])[0].ids, "<u4")
+            cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(cuts) == len(part):
+                data, stops = ids.tobytes(), cuts.tolist()
+                out.update(zip(part, [data[b:e] for b, e in zip([0, *stops], stops)]))
         left = [word for word in words if word not in out]
         return out | {word: np.array(e.ids, "<u4").tobytes() for word, e in zip(left, self.encode_all(left))}
 
@@ -114,7 +137,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = PIECES.replace("doc_id long", f"doc_id {kind}") + (", ids array<int>" if keep_ids else "")
-    return map_arrow(docs.select("doc_id", "text"), make, schema, 256)
+    return map_arrow(docs.select("doc_id", "text"), make, schema, TEXTS_AT_ONCE)
 
 
 class OpenBins:
