@@ -15,6 +15,7 @@ have no ids. Decoding turns word marks back into blanks; a text that holds the m
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -59,10 +60,14 @@ class Pieces:
 
     def stream(self, chunks: Iterable[str]) -> Iterator[list[int]]:
         """Final ids, as soon as they are, of the text that the chunks make up."""
+        return self.steps(marked_last(chunks))
+
+    def steps(self, chunks: Iterable[tuple[str, bool]]) -> Iterator[list[int]]:
+        """The same of chunks that say whether they are the last."""
         table, root, longest, unknown = self.table, self.root, self.longest, self.unknown_score
         # index 0 of the lists is the last committed boundary, where one state is left
         text, at, reach, best, back, piece = "", 0, 0, [0.0], [0], [0]
-        for chunk, last in marked_last(chunks):
+        for chunk, last in chunks:
             text += chunk
             room = len(text) + 1 - len(best)
             best += [None] * room
@@ -120,8 +125,14 @@ class Pieces:
         return [i for part in reversed(parts) for i in part]
 
     def encode_word(self, word: str) -> bytes:
-        ids = [i for part in self.stream(word[k:k + CHUNK] for k in range(0, len(word), CHUNK)) for i in part]
-        return np.array(ids, "<u4").tobytes()
+        if len(word) <= CHUNK:
+            chunks = ((word, True),)
+        else:
+            chunks = ((word[k:k + CHUNK], k + CHUNK >= len(word)) for k in range(0, len(word), CHUNK))
+        ids = []
+        for part in self.steps(chunks):
+            ids += part
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
