@@ -11,6 +11,7 @@ A null text is one piece that holds only the end id. Repeated rows are packed ea
 
 from __future__ import annotations
 
+import gc
 import os
 import string
 import zlib
@@ -61,17 +62,17 @@ class Codec:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
-        get = self.known.get
         split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        get = self.known.get
         found = [list(map(get, words)) for words in split]
-        new = {word for words, parts in zip(split, found) if None in parts for word, ids in zip(words, parts) if ids is None}
-        long = self.learn(new)
-        ids_of = self.known.__getitem__
-        out = [b"".join([ids_of(word) if ids is None else ids for word, ids in zip(words, parts)]) if None in parts
-               else b"".join(parts) for words, parts in zip(split, found)]
+        gaps = [[at for at, ids in enumerate(parts) if ids is None] if None in parts else () for parts in found]
+        long = self.learn({words[at] for words, missing in zip(split, gaps) for at in missing})
+        for words, parts, missing in zip(split, found, gaps):
+            for at in missing:
+                parts[at] = get(words[at])
         for word in long:
             del self.known[word]
-        return out
+        return list(map(b"".join, found))
 
     def learn(self, words: set[str]) -> list[str]:
         """Put the ids of words into the table; returns those too long to stay there.
@@ -112,6 +113,15 @@ class Codec:
         return out | {word: np.array(e.ids, "<u4").tobytes() for word, e in zip(left, self.encode_all(left))}
 
 
+def without_gc(function, *args):
+    """Call what makes many small objects but no cycles."""
+    gc.disable()
+    try:
+        return function(*args)
+    finally:
+        gc.enable()
+
+
 def codec(path: str) -> Codec:
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
@@ -124,7 +134,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
 
     def make(batch: pa.RecordBatch) -> dict:
         rows, taken = [], []
-        for at, ids in enumerate(codec(path).ids(batch.column(1).to_pylist())):
+        for at, ids in enumerate(without_gc(codec(path).ids, batch.column(1).to_pylist())):
             ids += end
             for piece, begin in enumerate(range(0, len(ids), width)):
                 part = ids[begin:begin + width]
