@@ -92,11 +92,11 @@ def base_rounds(edge_sql: str, root_sql: str, rounds: int, sample: int) -> str:
     return "with " + ", ".join(parts)
 
 
-def bm25(query: list[str]) -> str:
-    """CTEs up to ``scored`` with ``doc_id, score``."""
+def bm25(query: list[str], terms_sql: str | None = None) -> str:
+    """CTEs up to ``scored`` with ``doc_id, score``, over the terms of the texts or those given."""
     words = ", ".join(f"'{w}'" for w in query)
     return (
-        f"with t as materialized ({terms()}), d as materialized (select doc_id, count(*) as len from t group by doc_id), "
+        f"with t as materialized ({terms_sql or terms()}), d as materialized (select doc_id, count(*) as len from t group by doc_id), "
         "c as (select (select count(*) from documents)::double as n, (select count(*) from t)::double / (select count(*) from documents) as avglen), "
         f"p as materialized (select doc_id, term, count(*)::double as tf from t where term in ({words}) group by doc_id, term), "
         "f as materialized (select term, count(*)::double as df from p group by term), "

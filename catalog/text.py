@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from catalog import sqlparts as q
+from linkloom.functions.porter import stem_word
 from linkloom.operators import index, search
+from linkloom.operators.store import IndexStore
 from linkloom.plans import pagerank
-from linkloom.sources.tables import part_graph, read_table
+from linkloom.session import shared_path
+from linkloom.sources.tables import part_graph, read_table, spread
 
 STOP = ["the", "of", "and", "to", "in", "is", "la", "de", "le", "der"]
 WORDS = ["thing", "thble"]
@@ -15,11 +18,11 @@ PLACES = 9
 
 
 def docs(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", "text")
+    return spread(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def search_docs(spark, folder):
-    table = read_table(spark, folder, "documents")
+    table = spread(read_table(spark, folder, "documents").select("doc_id", "text", "source"))
     return table.select("doc_id", "text", F.lit("").alias("title"), F.col("source").alias("author"))
 
 
@@ -85,8 +88,41 @@ def combined_rank(spark, folder):
     return rounded(search.combine_scores(read_table(spark, folder, "documents"), parts), "score")
 
 
+def _store(spark, folder):
+    """A stored index of the documents with the stop list and the stemmer."""
+    return IndexStore(spark, shared_path(spark, "index"), stop_words=STOP, stem=True)
+
+
+def index_search(spark, folder):
+    store = _store(spark, folder).create(docs(spark, folder), "first")
+    return rounded(store.search(QUERY, 100).rows, "score").select("rank", "doc_id", "score")
+
+
+def _page_links(rows):
+    """Links between documents by their ids, in a fixed order, as an index document carries them."""
+    return rows.select(F.col("doc_id").alias("url"), F.lit("out").alias("direction"), F.posexplode(
+        F.array(F.col("doc_id") + 1, F.col("doc_id") + 2)).alias("pos", "link"))
+
+
+def index_upsert_stored(spark, folder):
+    first = docs(spark, folder)
+    items = read_table(spark, folder, "benchmark").select((F.col("item_id") * 50).alias("doc_id"), "text")
+    more = _page_links(items).withColumn("link", F.col("link") + 1)
+    store = _store(spark, folder).create(first, "first", _page_links(first))
+    store = store.upsert(items, "second", more).upsert(items, "second", more).compact()
+    lists = store.links().groupBy(F.col("url").alias("doc_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(
+        F.struct("pos", "link"))), lambda x: x["link"].cast("string")), " ").alias("outlinks"))
+    words = store.postings().groupBy("doc_id").agg(F.sum("tf").alias("n_terms"))
+    return store.documents().join(lists, "doc_id", "left").join(words, "doc_id", "left").select(
+        "doc_id", F.length("text").alias("n_chars"), "author", "outlinks", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+        F.lit(store.number).alias("version"))
+
+
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 _KEPT = f"select doc_id, pos, token from ({q.tokens()}) where token not in ({_STOP_SQL})"
+_KEPT_TERMS = f"select doc_id, pos, {q.term('token')} as term from ({_KEPT})"
+_STEMMED = (f"select k.doc_id, k.pos, s.stem as term from ({_KEPT_TERMS}) k join "
+            f"({q.stems(f'select term, count(*) as cf from ({_KEPT_TERMS}) group by term')}) s using (term)")
 _BEST = "select doc_id, score, row_number() over (order by round(score, 9) desc, doc_id) as rank from scored"
 _WEIGHT = "case term when 'thing' then 2.0 when 'thble' then 1.0 else 1.5 end::double"
 _TOPIC = f"select doc_id, sum({_WEIGHT}) as score from t where term in ('thing', 'thble', 'thtion') group by doc_id"
@@ -114,6 +150,19 @@ ENTRIES = {
         f"{q.bm25(WORDS)} select rank, doc_id, doc_id::varchar as title, source as author, round(score, 9) as score, "
         f"(select count(*) from scored) as total, {q.highlighted('text', WORDS)} as fragments "
         f"from ({_BEST}) join documents using (doc_id) where rank between 11 and 20"),
+    "index_search": (
+        index_search,
+        f"{q.bm25([stem_word(w) for w in WORDS], _STEMMED)} select rank::int as rank, doc_id, round(score, 9) as score from ({_BEST}) where rank <= 100"),
+    "index_upsert_stored": (
+        index_upsert_stored,
+        f"with i as (select item_id * 50 as doc_id, text from benchmark), "
+        f"tokens_of as ({q.tokens()} union all {q.tokens('(select i.* from i anti join documents using (doc_id))')}), "
+        f"n as (select doc_id, count(*) as n_terms from tokens_of where token not in ({_STOP_SQL}) group by doc_id) "
+        "select coalesce(o.doc_id, i.doc_id) as doc_id, length(coalesce(o.text, i.text)) as n_chars, "
+        "case when o.doc_id is null then 'second' when i.doc_id is null then 'first' else 'first second' end as author, "
+        "concat_ws(' ', coalesce(o.doc_id + 1, i.doc_id + 2), coalesce(o.doc_id + 2, i.doc_id + 3), "
+        "case when o.doc_id is not null then i.doc_id + 3 end) as outlinks, coalesce(n.n_terms, 0) as n_terms, 3 as version "
+        "from documents o full outer join i on o.doc_id = i.doc_id left join n on n.doc_id = coalesce(o.doc_id, i.doc_id)"),
     "search_highlight": (search_highlight, f"select doc_id, {q.highlighted('text', WORDS, None)} as fragments from documents"),
     "topical_score": (topical_score, f"with t as ({q.terms()}) select doc_id, round(score, 9) as score from ({_TOPIC})"),
     "combined_rank": (

@@ -46,17 +46,43 @@ def positioned_terms(docs: DataFrame, stop_words: Iterable[str] = (), stop_after
     return rows
 
 
+def term_places(docs: DataFrame, stop_words: Iterable[str] = (), stop_after_lower: bool = False,
+                stem: bool = False) -> DataFrame:
+    """``doc_id, doc_len, places``: the index terms of a document with their positions, sorted by both, in one array."""
+    stop_words = list(stop_words)
+    if stop_words:
+        numbered = F.transform(tokens(F.col("text")), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+        kept = F.filter(numbered, lambda w: is_kept(w.token, stop_words, stop_after_lower))
+        words = docs.select("doc_id", kept.alias("kept"))
+        words = words.select("doc_id", F.transform("kept", lambda w: normalize_token(w.token)).alias("terms"),
+                             F.transform("kept", lambda w: w.pos).alias("at"))
+    else:
+        words = docs.select("doc_id", analyze(F.col("text")).alias("terms"))
+        words = words.withColumn("at", F.transform("terms", lambda t, i: i))
+    if stem:
+        from linkloom.functions.porter import stem_array
+
+        ship_package(docs.sparkSession)
+        words = words.select("doc_id", stem_array("terms").alias("terms"), "at")
+    places = F.arrays_zip(F.col("terms").alias("term"), F.col("at").alias("pos"))
+    return words.select("doc_id", F.size("terms").alias("doc_len"), F.sort_array(places).alias("places"))
+
+
 def postings(docs: DataFrame, **analyzer) -> DataFrame:
     """``term, doc_id, doc_len, tf, positions``.
 
-    A document is one row, so the map side already completes nearly every (term, doc) group and
-    the shuffle carries postings, not occurrences. A frequent term spreads over its documents.
+    A document is one row, so its postings are made in that row, from its sorted terms; nothing is shuffled.
     """
-    return (
-        positioned_terms(docs, **analyzer)
-        .groupBy("term", "doc_id", "doc_len")
-        .agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-    )
+    rows = term_places(docs, **analyzer)
+    first = F.filter(F.sequence(F.lit(0), F.col("doc_len") - 1), lambda i: (i == 0) | (
+        F.get("places", i)["term"] != F.get("places", i - 1)["term"]))
+    rows = rows.withColumn("first", F.when(F.col("doc_len") > 0, first).otherwise(F.array().cast("array<int>")))
+    ends = F.concat(F.slice("first", F.lit(2), F.col("doc_len")), F.array("doc_len"))
+    each = F.filter(F.zip_with("first", ends, lambda s, e: F.struct(
+        F.get("places", s)["term"].alias("term"), (e - s).cast("long").alias("tf"),
+        F.transform(F.slice("places", s + 1, e - s), lambda p: p["pos"]).alias("positions"))), lambda r: r["term"].isNotNull())
+    each = rows.select("doc_id", "doc_len", F.inline_outer(each)).filter("term is not null")
+    return each.select("term", "doc_id", "doc_len", "tf", "positions")
 
 
 def term_counts(docs: DataFrame, **analyzer) -> DataFrame:

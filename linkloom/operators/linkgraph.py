@@ -93,20 +93,24 @@ def adjacency_edges(adjacency: DataFrame) -> DataFrame:
     return adjacency.select(F.col("url").alias("src"), F.explode("outlinks").alias("dst"))
 
 
-def merge_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The list upsert on rows ``url, direction, pos, link``, for link lists too long for one row.
-
-    Rows known before stay. A new link follows once, at the place of its first occurrence behind
-    the highest known position of its list. A list that meets its end is spread over ``SALTS`` keys.
+def new_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The rows ``url, direction, pos, link`` that an upsert adds: each unknown link once, at the place of its first
+    occurrence behind the highest known position of its list. A list that meets its end is spread over ``SALTS`` keys.
     """
     fresh = incoming.join(existing.select("url", "direction", "link").distinct(), ["url", "direction", "link"],
                           "left_anti")
     fresh = fresh.groupBy("url", "direction", "link").agg(F.min("pos").alias("pos"))
     ends = existing.groupBy("url", "direction").agg((F.max("pos") + 1).alias("after"))
     moved = salted(fresh, "link").join(on_every_salt(ends), ["url", "direction", "salt"], "left")
-    columns = ["url", "direction", "pos", "link"]
-    return existing.select(columns).unionByName(
-        moved.withColumn("pos", F.col("pos") + F.coalesce("after", F.lit(0))).select(columns))
+    return moved.select("url", "direction", (F.col("pos") + F.coalesce("after", F.lit(0))).alias("pos"), "link")
+
+
+def merge_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The list upsert on rows ``url, direction, pos, link``, for link lists too long for one row.
+
+    Rows known before stay, and :func:`new_link_rows` follow.
+    """
+    return existing.select("url", "direction", "pos", "link").unionByName(new_link_rows(existing, incoming))
 
 
 def resolve_redirects(edges: DataFrame, redirects: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 import zipfile
 from contextlib import contextmanager
 from pathlib import Path
@@ -53,6 +54,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder of :func:`checkpoint`, for tables that outlive the executors."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="linkloom-shared-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers of a local run this package; a cluster gets it with ``--py-files``."""
     sc = spark.sparkContext

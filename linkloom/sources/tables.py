@@ -10,9 +10,18 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a table stored in fewer pieces than there are cores, dealt over all cores; any other table as it is.
+
+    For texts, whose analysis costs far more than moving them; a table large enough has more pieces than cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scan_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Captured pages ``page_id, url, html``."""
-    return read_table(spark, folder, "pages").select("page_id", "url", "html")
+    return spread(read_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
 def index_graph_scan(index: DataFrame) -> DataFrame:
