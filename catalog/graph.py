@@ -97,6 +97,25 @@ def index_graph_scan(spark, folder):
     return tables.index_graph_scan(links.withColumnRenamed("url", "doc_id").withColumn("author", F.lit("first")))
 
 
+def redirect_closure(spark, folder):
+    """Each part redirects to the next higher part it is ordered with; the topmost, by their links, back or nowhere."""
+    edges = part_graph(spark, folder)
+    up = F.min(F.when(F.col("dst") > F.col("src"), F.col("dst")))
+    steps = edges.groupBy(F.col("src").alias("url")).agg(
+        F.coalesce(up, F.when(F.count("*") % 2 == 0, F.min("dst"))).alias("next_url"))
+    return linkgraph.redirect_closure(steps)
+
+
+_STEPS = (f"select * from (select src as url, coalesce(min(case when dst > src then dst end), case when count(*) % 2 = 0 then min(dst) end) as t "
+          f"from ({q.edges()}) group by src) where t <> url")
+_CLOSURE = (
+    f"with recursive s as materialized ({_STEPS}), w as (select url, t as cur, [url] as path from s union all "
+    "select w.url, s.t, list_append(path, cur) from w join s on s.url = w.cur where not list_contains(path, cur)), "
+    "ends as (select url, arg_max(cur, len(path)) as cur, arg_max(path, len(path)) as path from w group by url) "
+    "select url, case when list_contains(path, cur) then list_min(path[list_position(path, cur):]) else cur end as final_url, "
+    "case when list_contains(path, cur) then null else len(path) end as hops from ends")
+
+
 def pagerank_fixed(spark, folder):
     layout = pagerank.lay_out(part_pairs(spark, folder, suppliers=True))
     return rounded(pagerank.fixed_rounds(layout, ROUNDS), "rank")
@@ -126,6 +145,24 @@ def pagerank_converged(spark, folder):
     return rounded(ranks, "rank")
 
 
+def pagerank_histogram(spark, folder):
+    layout = pagerank.lay_out(part_pairs(spark, folder, suppliers=True))
+    ranks, done = pagerank.until_converged(layout, stop="histogram")
+    return rounded(ranks, "rank").withColumn("updates", F.lit(done))
+
+
+def _histogram_sql(most: int = 10) -> str:
+    """Ranks after the update at which four perplexities in a row were the same."""
+    parts = [q.rank_rounds(q.edges(True), q.vertices(True), most)]
+    parts += [f"p{i} as materialized (select round(pow(2, sum(p * log2(p))), 6) as x from (select count(*)::double / (select count(*) "
+              f"from r{i}) as p from r{i} group by round(r, 12)))" for i in range(most + 1)]
+    same = [" and ".join(f"(select x from p{i}) = (select x from p{i - k})" for k in (1, 2, 3)) for i in range(3, most + 1)]
+    cases = " ".join(f"when {c} then {i}" for i, c in enumerate(same, 3))
+    parts.append(f"stop as materialized (select case {cases} end as i)")
+    return ", ".join(parts) + " " + " union all ".join(
+        f"select id, round(r, 9) as rank, {i} as updates from r{i} where (select i from stop) = {i}" for i in range(3, most + 1))
+
+
 def _nodes(spark, folder):
     return read_table(spark, folder, "orders").select((F.col("o_orderkey") + 1).alias("id"))
 
@@ -278,6 +315,7 @@ ENTRIES = {
     "index_graph_scan": (
         index_graph_scan,
         f"select url as doc_id, len(inlinks) as n_in, len(outlinks) as n_out, 'first' as author, len(outlinks) = 0 as is_sink from ({_lists_sql(_S)})"),
+    "redirect_closure": (redirect_closure, _CLOSURE),
     "pagerank_fixed": (pagerank_fixed, f"{q.rank_rounds(_S, _VS, ROUNDS)} select id, round(r, 9) as rank from r{ROUNDS}"),
     "pagerank_top500": (
         pagerank_top500,
@@ -287,6 +325,7 @@ ENTRIES = {
     "pagerank_crawled": (pagerank_crawled, _crawled_sql()),
     "pagerank_converged": (
         pagerank_converged, f"{q.rank_rounds(_S, _VS, 60)} select id, round(r, 9) as rank from r60"),
+    "pagerank_histogram": (pagerank_histogram, _histogram_sql()),
     "chain_graph": (chain_graph, q.chain(CHAIN_ROW)),
     "chain_rank_first20": (chain_rank_first20, f"{_CHAIN_RANKS} order by id limit 20"),
     "chain_rank_sorted": (chain_rank_sorted, f"{_CHAIN_RANKS} order by id"),

@@ -6,7 +6,8 @@ from catalog import sqlparts as q
 from linkloom.functions import scores, urls
 from linkloom.operators import frontier, linkgraph, pages
 from linkloom.plans import crawl as crawling
-from linkloom.session import checkpoint
+from linkloom.session import checkpoint, shared_path
+from linkloom.sources.pagestore import PageStore
 from linkloom.sources.tables import part_graph, read_table, scan_pages as read_pages
 
 PLACES = 9
@@ -117,6 +118,19 @@ def crawl_wave(spark, folder):
         "url", "wave", F.round("score", PLACES).alias("score"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def crawl_two_waves(spark, folder):
+    """Two waves over a page store: the captured pages, then the links they lead to, of which no page was captured."""
+    table = read_pages(spark, folder)
+    rules = crawling.CrawlRules(boilerplate=[], scope="all", relevance=None, batch_step=None,
+                                score_terms=dict(topical_terms=TOPICAL, path_terms=IN_PATH))
+    store = PageStore.write(crawling.captured(table), shared_path(spark, "pages"), buckets=8)
+    state = crawling.crawl(crawling.start(table.select("url"), rules), store, rules, max_waves=2)
+    counts = state.edges.groupBy(F.col("src").alias("url")).agg(F.count("*").alias("n_links"))
+    read = state.scores.select("url", "wave", F.round("score", PLACES).alias("score"))
+    return state.completed.join(read, "url", "left").join(counts, "url", "left").select(
+        "url", "wave", "score", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
@@ -240,4 +254,11 @@ ENTRIES = {
         f"with l as (select page_id, count(*) as n from ({_LINKS}) group by page_id), "
         f"p as (select {_BARE} as url, min(page_id) as page_id from pages group by 1) "
         f"select url, 1 as wave, {_score_sql('url', '1', '0')} as score, coalesce(n, 0) as n_links from p left join l using (page_id)"),
+    "crawl_two_waves": (
+        crawl_two_waves,
+        f"with k as materialized (select page_id, link from ({_LINKS})), "
+        f"p as materialized (select {_BARE} as url, min(page_id) as page_id from pages group by 1), "
+        "l as (select page_id, count(*) as n from k group by page_id) "
+        f"select url, 1 as wave, {_score_sql('url', '1', '0')} as score, coalesce(n, 0) as n_links from p left join l using (page_id) "
+        "union all select distinct link, null, null, 0 from k join p using (page_id) where link not in (select url from p)"),
 }

@@ -123,6 +123,40 @@ def resolve_redirects(edges: DataFrame, redirects: DataFrame) -> DataFrame:
     return rename(rename(edges, "src", "dst"), "dst", "src").select("src", "dst")
 
 
+def redirect_closure(redirects: DataFrame) -> DataFrame:
+    """``url, final_url, hops`` from single steps ``url, next_url``: where each chain of redirects ends.
+
+    Pointers are doubled: after a round every URL points twice as far, so a chain of n steps takes log n rounds. A chain
+    that runs into a cycle ends at the cycle's smallest URL, and its ``hops`` are null. A URL with several steps takes
+    the smallest; a null step, and one to the URL itself, is none.
+    """
+    steps = redirects.groupBy("url").agg(F.min("next_url").alias("to")).filter("to <> url")
+    now = checkpoint(steps.select("url", "to", F.least("url", "to").alias("least"), F.lit(1).cast("long").alias("hops")))
+    n, reach = now.count(), 1
+    while True:
+        ahead = now.select(F.col("url").alias("to"), F.col("to").alias("then"), F.col("least").alias("then_least"),
+                           F.col("hops").alias("then_hops"))
+        now = checkpoint(salted_lookup(now, ahead, "to", "url").select(
+            "url", F.coalesce("then", "to").alias("to"), F.least("least", F.coalesce("then_least", "least")).alias("least"),
+            (F.col("hops") + F.coalesce("then_hops", F.lit(0))).alias("hops"), F.col("then").isNotNull().alias("open")))
+        reach *= 2
+        ended = now.filter("not open").select("url", F.col("to").alias("final_url"), "hops")
+        if now.filter("open").isEmpty():
+            return ended
+        if reach > 2 * n:
+            break
+        now = now.drop("open")
+    # who still points on points into a cycle, round which the smallest URL was met
+    turning = now.filter("open").select("url", "to")
+    names = now.select(F.col("url").alias("to"), F.col("least").alias("final_url"))
+    return ended.union(salted_lookup(turning, names, "to", "url").select("url", "final_url", F.lit(None).cast("long").alias("hops")))
+
+
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, other: str) -> DataFrame:
+    """A left join by ``key`` in which rows of a hot key are spread by ``other``."""
+    return salted(rows, other).join(on_every_salt(table), [key, "salt"], "left").drop("salt")
+
+
 def write_back_scores(vertices: DataFrame, scores: DataFrame, redirects: DataFrame) -> DataFrame:
     """Put ``wave, score, inlink_score`` of fetched URLs on the graph entry of the URL or its redirect partner.
 

@@ -26,6 +26,8 @@ from linkloom.operators.search import B, K1, best, query_terms, saturation
 from linkloom.session import checkpoint
 
 MANIFEST = "number int, name string, base int, buckets int, parts int, n_docs long, n_words long"
+BLOCKS = ("term string, range long, n int, max_tf int, min_len int, cf long, doc_ids array<{kind}>, tfs array<int>, "
+          "lens array<int>, positions array<array<int>>, bucket int")
 LINKS = "url, direction, pos, link"
 DOCS_PER_RANGE = 128
 LENGTH_STEPS = 4  # classes of length for each doubling
@@ -92,11 +94,15 @@ class IndexStore:
     def number(self) -> int:
         return self.versions[-1].number if self.versions else 0
 
-    def _table(self, name: str) -> DataFrame:
-        tables = [self.spark.read.parquet(f"{self.path}/{v.name}/{name}").withColumn("version", F.lit(v.number))
-                  for v in self.versions]
+    def _table(self, name: str, schema: str | None = None) -> DataFrame:
+        read = self.spark.read.schema(schema) if schema else self.spark.read
+        tables = [read.parquet(f"{self.path}/{v.name}/{name}").withColumn("version", F.lit(v.number)) for v in self.versions]
         return reduce(DataFrame.unionByName, tables)
 
+    def _id_kind(self) -> str:
+        texts = self.spark.read.parquet(f"{self.path}/{self.versions[0].name}/texts")
+        return texts.schema["doc_id"].dataType.simpleString()
+
     def texts(self) -> DataFrame:
         """``doc_id, text`` of all documents."""
         return self._table("texts").drop("version")
@@ -115,12 +121,13 @@ class IndexStore:
 
     def blocks(self, terms: list[str] | None = None) -> DataFrame:
         """Blocks of all terms or of some; for some only their buckets are read."""
+        schema = BLOCKS.format(kind=self._id_kind())  # a delta may have none
         if terms is None:
-            return self._table("blocks")
+            return self._table("blocks", schema)
         buckets = self.versions[0].buckets
         chosen = self.spark.range(1).select(F.array(*[
             F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in terms]).alias("b")).first().b if terms else []
-        return self._table("blocks").filter(F.col("bucket").isin(chosen) & F.col("term").isin(terms))
+        return self._table("blocks", schema).filter(F.col("bucket").isin(chosen) & F.col("term").isin(terms))
 
     def postings(self, terms: list[str] | None = None) -> DataFrame:
         """``term, doc_id, doc_len, tf, positions``."""
@@ -195,8 +202,7 @@ class IndexStore:
         bounds = self.blocks(list(wanted)).select("version", "term", "range", "n", "max_tf", "min_len")
         df = {r.term: r.df for r in bounds.groupBy("term").agg(F.sum("n").alias("df")).collect()}  # one row a term
         if not df:
-            kind = self.spark.read.parquet(f"{self.path}/{self.versions[0].name}/texts").schema["doc_id"].dataType.simpleString()
-            return Found(self.spark.createDataFrame([], f"rank int, doc_id {kind}, score double"))
+            return Found(self.spark.createDataFrame([], f"rank int, doc_id {self._id_kind()}, score double"))
         avg_len = F.lit(n_words / n_docs)
         weights = {t: wanted[t] * math.log(1 + (n_docs - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         weight = F.element_at(F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]), F.col("term"))

@@ -14,6 +14,7 @@ from linkloom.operators.frontier import BATCH_STEP, SHARES, admit, score_frontie
 from linkloom.operators.linkgraph import inlink_count
 from linkloom.operators.pages import is_valid_response, page_anchors, page_links, page_title, parse_pages
 from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
+from linkloom.sources.pagestore import PageStore
 from linkloom.sources.state import load_state, save_state
 
 
@@ -101,8 +102,11 @@ def captured(pages: DataFrame) -> DataFrame:
     return pages.select(canonicalize(F.col("url"), F.col("url")).alias("url"), capture.alias("capture"), "html")
 
 
-def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlState:
-    """Hand out one batch, read its pages, and queue the links they lead to."""
+def crawl_wave(state: CrawlState, pages: DataFrame | PageStore, rules: CrawlRules) -> CrawlState:
+    """Hand out one batch, read its pages, and queue the links they lead to.
+
+    From a :class:`PageStore` a wave reads only the buckets of its batch; a plain table is scanned.
+    """
     waiting = state.frontier.count()
     size = waiting if rules.batch_step is None else min(waiting, state.handed_out)
     batch = checkpoint(state.frontier if size == waiting else take_batch(state.frontier, size))
@@ -111,11 +115,14 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
         todo = todo.filter(~F.col("url").isin(list(rules.ignore)))
     scored = score_frontier(todo, inlink_count(state.edges), **rules.score_terms)
     wanted = checkpoint(scored.withColumnRenamed("link", "url").join(state.visited, "url", "left_anti"))
-    # a batch of bounded size goes to the pages, so that only the pages it names are moved
-    wanted = F.broadcast(wanted) if size <= MAX_BROADCAST_ROWS else wanted
-    found = wanted.join(pages, "url")
-    first = found.groupBy("url").agg(F.min("capture").alias("capture"))
-    page = found.join(first, ["url", "capture"]).dropDuplicates(["url"])
+    if isinstance(pages, PageStore):
+        page = pages.lookup(wanted)
+    else:
+        # a batch of bounded size goes to the pages, so that only the pages it names are moved
+        wanted = F.broadcast(wanted) if size <= MAX_BROADCAST_ROWS else wanted
+        found = wanted.join(pages, "url")
+        first = found.groupBy("url").agg(F.min("capture").alias("capture"))
+        page = found.join(first, ["url", "capture"]).dropDuplicates(["url"])
     read = checkpoint(
         parse_pages(page, rules.boilerplate, rules.nested)
         .select("url", "wave", "score", "inlink_score", page_title(F.col("html")).alias("title"), "markup"))
@@ -142,11 +149,11 @@ def crawl_wave(state: CrawlState, pages: DataFrame, rules: CrawlRules) -> CrawlS
         metrics=state.metrics + (row,))
 
 
-def crawl(state: CrawlState, pages: DataFrame, rules: CrawlRules | None = None, max_waves: int | None = None,
+def crawl(state: CrawlState, pages: DataFrame | PageStore, rules: CrawlRules | None = None, max_waves: int | None = None,
           docs_path: str | None = None, state_path: str | None = None) -> CrawlState:
     """Waves until the frontier is empty, enough pages are read, or ``max_waves`` are done.
 
-    ``pages`` come from :func:`captured`. With paths, each wave writes its documents to a folder of its own,
+    ``pages`` come from :func:`captured`, as they are or in a :class:`PageStore`. With paths, each wave writes its documents to a folder of its own,
     which a repeated wave overwrites, and saves the state, from which :meth:`CrawlState.load` resumes.
     """
     rules = rules or CrawlRules()

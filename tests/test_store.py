@@ -92,6 +92,16 @@ def test_upsert_adds_a_version_and_leaves_readers_alone(spark, tmp_path):
     assert rows_of(IndexStore(spark, path, number=2, **HOW).documents()) == rows_of(new.documents())
 
 
+def test_a_delta_without_new_texts(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "red fox"), (2, None)], "doc_id long, text string")
+    store = IndexStore(spark, str(tmp_path)).create(docs, "X").upsert(docs, "Y")
+    assert store.number == 2 and rows_of(store.authors()) == [(1, "X Y"), (2, "X Y")]
+    assert [r.doc_id for r in store.search("fox", 5).rows.collect()] == [1]
+    assert store.compact().postings().count() == 2
+    none = IndexStore(spark, str(tmp_path / "none")).create(docs.filter("false"), "X")
+    assert none.search("fox", 5).rows.collect() == [] and none.documents().collect() == []
+
+
 def test_a_broken_write_is_not_seen(spark, tmp_path, monkeypatch):
     path = str(tmp_path)
     first = spark.createDataFrame([(1, "red fox")], "doc_id long, text string")
