@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame
 
 from linkloom.llm.common import map_arrow
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A comment, a declaration, or a tag. A quote opens a value only after an equals sign; else the tag ends at the next >.
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|"
+                   r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>", re.S)
+COMMENT = re.compile(r"<!--()()().*", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "object"}
 RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
@@ -78,35 +82,55 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
     """``text, ancestors (tag, topics), signs inside links`` of each leaf block, in page order."""
     out: list = []
     stack: list[tuple[str, tuple]] = []
+    shown: list[tuple[str, tuple]] = []  # the stack without inline elements that speak of nothing
+    opened: Counter = Counter()  # elements of the stack by tag
     parts: list[str] = []
     linked, links, at = 0, 0, 0
+    last = html.rfind(">")
 
     def leave() -> None:
         nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append((text, [e for e in stack if e[0] not in INLINE or e[1]], linked))
+            out.append((text, list(shown), linked))
         parts.clear()
         linked = 0
 
-    def close(upto: int) -> None:
+    def enter(element: tuple[str, tuple]) -> None:
         nonlocal links
-        links -= sum(e[0] == "a" for e in stack[upto:])
-        del stack[upto:]
+        stack.append(element)
+        opened[element[0]] += 1
+        links += element[0] == "a"
+        if shows(element):
+            shown.append(element)
+
+    def shows(element: tuple[str, tuple]) -> bool:
+        return element[0] not in INLINE or bool(element[1])
+
+    def close(begin: int, end: int | None = None) -> None:
+        """Take the elements from ``begin`` to ``end``, or to the top, off the stack."""
+        nonlocal links
+        gone, above = stack[begin:end], sum(map(shows, stack[end:])) if end is not None else 0
+        n = sum(map(shows, gone))
+        del shown[len(shown) - above - n:len(shown) - above]
+        opened.subtract([e[0] for e in gone])
+        links -= sum(e[0] == "a" for e in gone)
+        del stack[begin:end]
 
     while at < len(html):
-        match = TOKEN.search(html, at)
+        # without a > to come, only a comment can begin
+        match = TOKEN.search(html, at) if at <= last else COMMENT.search(html, at)
         text = html[at:match.start() if match else len(html)]
         if text:
             if stack and stack[-1][0] == "head" and not text.isspace():
-                stack.pop()
+                close(len(stack) - 1)
             parts.append(text)
             if links:
                 linked += len(text)
         if not match:
             break
         at = match.end()
-        if match[2] is None:
+        if not match[2]:
             continue
         tag = match[2].lower()
         if not match[1] and stack and (tag == "body" or stack[-1][0] == "head" and tag not in IN_HEAD):
@@ -116,23 +140,21 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
                 close(k)
         if tag in INLINE and tag != "br":
             if match[1]:
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                     if stack[k][0] == tag:
-                        links -= tag == "a"
-                        del stack[k]
+                        close(k, k + 1)
                         break
                     if stack[k][0] not in INLINE:
                         break
             elif tag not in VOID:
-                stack.append((tag, topics_of(tag, match[3])))
-                links += tag == "a"
+                enter((tag, topics_of(tag, match[3])))
             continue
         if tag == "br":
             parts.append(" ")
             continue
         leave()
         if match[1]:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[k][0] == tag:
                     close(k)
                     break
@@ -140,18 +162,18 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, tuple]], int]]:
         if tag in RAW:
             end = RAW_END[tag].search(html, at)
             at = end.start() if end else len(html)
-            stack.append((tag, ()))
+            enter((tag, ()))
             continue
         closes = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
         scope = SCOPES.get(tag, set())
-        for k in range(len(stack) - 1, -1, -1):
+        for k in range(len(stack) - 1, -1, -1) if any(opened[c] for c in closes) else ():
             if stack[k][0] in closes:
                 close(k)
                 break
             if stack[k][0] in scope or stack[k][0] not in INLINE and not scope:
                 break
         if tag not in VOID:
-            stack.append((tag, topics_of(tag, match[3])))
+            enter((tag, topics_of(tag, match[3])))
     leave()
     return [b for b in out if not any(tag in ("head", "title") or tag in RAW for tag, _ in b[1])]
 

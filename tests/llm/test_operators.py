@@ -74,6 +74,22 @@ def test_extract_text_and_inline_tags_close_head():
         assert [text for text, *_ in page] == ["Hi there.", "Two."]
 
 
+@pytest.mark.parametrize("html, texts", [
+    ("<p class=it's>Hello there</p><p>The world's end</p><p>Third", ["Hello there", "The world's end", "Third"]),
+    ("<b title=don't>bold</b> text", ["bold text"]), ("<p>a<!-->b</p><p>c<!--->d</p>", ["ab", "cd"]),
+    ("x <!-- a > b --> y", ["x y"]), ("x <!-- not closed > y", ["x"]), ("x <!-- not closed", ["x"]),
+    ('<p title="a>b">q</p><p title = \'>\'>r</p>', ["q", "r"]), ("a < b and <c d", ["a < b and <c d"]),
+    ('<div class="menu><p>lost</p>', ["lost"])])
+def test_extract_tags_and_comments_as_they_come(html, texts):
+    assert [text for text, *_ in extract.blocks(html)] == texts
+
+
+def test_extract_deep_nesting_is_linear():
+    page = extract.blocks("<b>" * 20_000 + "<p class=x>one <a href=y>two</a></p>" * 20_000)
+    assert len(page) == 20_000 and page[-1] == ("one two", [("p", ())], 3)
+    assert len(extract.blocks("<a href " * 50_000)) == 1
+
+
 def test_extract_field_learns_held_out_layouts():
     field, wrong, total = extract.trained(), 0, 0
     for page, labels in extract.labelled_pages(60, seed=5):
