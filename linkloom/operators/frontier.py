@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.scores import frontier_score, inlink_score
+from linkloom.operators.numbering import place_rows
 
 BATCH_STEP = 500
 SHARES = 8
@@ -43,22 +44,25 @@ def admit(queue_size: int, found: DataFrame, capacity: int | None = None) -> Dat
     return found.orderBy("level", "url").limit(max(capacity - queue_size, 0))
 
 
-def politeness_audit(log: DataFrame, delay: float = 1.0, patience: float = 5.0, bucket_seconds: int = 3600) -> DataFrame:
+def politeness_audit(log: DataFrame, delay: float = 1.0, patience: float = 5.0) -> DataFrame:
     """``access_id, host, gap, to_sleep, action`` for an access log ``access_id, host, ts``.
 
     ``gap`` is the time since the host's last access, ``to_sleep`` what the delay leaves of it; more
-    than ``patience`` skips the URL, anything above 0 waits. The log is cut by host and hour, so a
-    busy host is many small windows; the last access of the hours before is looked up among the
-    hours of the host.
+    than ``patience`` skips the URL, anything above 0 waits. Accesses without a time come first and have no gap;
+    those without a host are one host; equal rows are separate accesses.
+
+    The log is sorted by host and time into ranges of rows, whatever hosts they hold. Inside a range an access
+    looks at the one before it; a range's first access looks at the last one of the range before, one row per range.
     """
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = log.select("access_id", "host", at.alias("at"), F.floor(at / (bucket_seconds * 1_000_000)).alias("bucket"))
-    lasts = rows.groupBy("host", "bucket").agg(F.max("at").alias("last"))
-    hours = Window.partitionBy("host").orderBy("bucket")
-    earlier = lasts.select("host", "bucket", F.lag("last").over(hours).alias("earlier"))
-    inside = Window.partitionBy("host", "bucket").orderBy("at", "access_id")
-    rows = rows.withColumn("previous", F.lag("at").over(inside)).join(earlier, ["host", "bucket"])
-    gap = (F.col("at") - F.coalesce("previous", "earlier")) / F.lit(1_000_000.0)
+    placed = place_rows(log.select("access_id", "host", at.alias("at")), [F.col("host"), F.col("at"), F.col("access_id")])
+    access = F.struct("host", "at")
+    lasts = placed.groupBy("_range").agg(F.max_by(access, "_at").alias("last"))
+    carried = lasts.select("_range", F.lag("last").over(Window.orderBy("_range")).alias("_carried"))
+    inside = Window.partitionBy("_range").orderBy("_at")
+    rows = placed.withColumn("_before", F.lag(access).over(inside)).join(F.broadcast(carried), "_range")
+    previous = F.coalesce("_before", "_carried")
+    gap = F.when(previous["host"].eqNullSafe(F.col("host")), (F.col("at") - previous["at"]) / F.lit(1_000_000.0))
     to_sleep = F.lit(float(delay)) - F.col("gap")
     action = (
         F.when(F.col("gap").isNull() | (to_sleep <= 0), "go").when(to_sleep > patience, "skip").otherwise("wait"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import warnings
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from linkloom.plans.pagerank import HUB_BLOCK, is_stable, perplexity
 from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, hub_block_for, partitions_for, steady_plans
 
+ROUNDS_PER_WRITE = 5
+
 
 def _reach(edges: DataFrame, pages: DataFrame, n_pages: int, near: str, far: str) -> DataFrame:
     """``id``: distinct far ends of the edges whose near end is one of ``pages``."""
@@ -68,18 +69,31 @@ def _normalized(raw: DataFrame, normalize: str) -> DataFrame:
                       F.coalesce(F.col("authority") / authority, F.lit(0.0)).alias("authority"))
 
 
+def _updated(scores: DataFrame, table: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """One round, not yet scaled: each page gets the sums over the other ends of its links."""
+    sent = scores if keys == ["id"] else scores.withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    got = table.hint("merge").join(sent.drop("blocks"), keys).groupBy(F.col("other").alias("id")).agg(
+        F.sum(F.when(~F.col("outward"), F.col("authority"))).alias("new_hub"),
+        F.sum(F.when(F.col("outward"), F.col("hub"))).alias("new_authority"))
+    return nodes.join(got, "id", "left").select(
+        "id", "blocks", F.coalesce("new_hub", F.lit(0.0)).alias("hub"),
+        F.coalesce("new_authority", F.lit(0.0)).alias("authority"))
+
+
 def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int | None = None, normalize: str = "l2",
          stop: str = "rounds", tol: float = 1e-9, hub_block: int = HUB_BLOCK) -> DataFrame:
     """``id, hub, authority`` after ``rounds`` simultaneous updates, or when ``stop`` is met.
 
     Both scores start at 1 and come from the values of the round before; repeated links count each
     time. ``normalize`` divides by the root of the sum of squares (``l2``) or by that sum itself
-    (``sumsq``). ``stop`` is ``rounds``, ``tol`` (summed change) or ``histogram`` (both score
-    histograms keep the same perplexity four times). ``rounds`` is 100 where nothing else stops; with another
-    stop there is no limit unless ``rounds`` gives one, and reaching it first is warned of.
+    (``sumsq``). ``stop`` is ``rounds``, ``tol`` (summed change since the scores were last written) or ``histogram``
+    (both score histograms keep the same perplexity four times). ``rounds`` is 100 where nothing else stops; with
+    another stop there is no limit unless ``rounds`` gives one, and reaching it first is warned of.
 
     Every link is stored under both of its ends, so that a round is one join without a shuffle and
-    one summed shuffle. Pages with many links are split into blocks of keys, as in PageRank.
+    one summed shuffle. Pages with many links are split into blocks of keys, as in PageRank. A round is linear and
+    ``l2`` only scales, so there ``ROUNDS_PER_WRITE`` rounds are one job that scales and writes at its end.
     """
     spark = edges.sparkSession
     edges = edges.select("src", "dst")
@@ -112,20 +126,17 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int | None =
         scores = nodes.select("id", "blocks", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority"))
         seen: dict[str, list[float]] = {"hub": [], "authority": []}
         limit = 100 if rounds is None and stop == "rounds" else rounds
-        for _ in count() if limit is None else range(limit):
+        per_write, done = ROUNDS_PER_WRITE if normalize == "l2" and stop != "histogram" else 1, 0
+        while limit is None or done < limit:
             if stop == "histogram":
                 for name, history in seen.items():
                     history.append(round(perplexity(scores, value=name).first().perplexity, 6))
                 if all(is_stable(h) for h in seen.values()):
                     break
-            sent = scores if not n_hubs else scores.withColumn(
-                "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            got = table.hint("merge").join(sent.drop("blocks"), keys).groupBy(F.col("other").alias("id")).agg(
-                F.sum(F.when(~F.col("outward"), F.col("authority"))).alias("new_hub"),
-                F.sum(F.when(F.col("outward"), F.col("hub"))).alias("new_authority"))
-            raw = checkpoint(nodes.join(got, "id", "left").select(
-                "id", "blocks", F.coalesce("new_hub", F.lit(0.0)).alias("hub"),
-                F.coalesce("new_authority", F.lit(0.0)).alias("authority")))
+            raw, n_rounds = scores, per_write if limit is None else min(per_write, limit - done)
+            for _ in range(n_rounds):
+                raw = _updated(raw, table, nodes, keys)
+            raw, done = checkpoint(raw), done + n_rounds
             before, scores = scores, _normalized(raw, normalize)
             if stop == "tol":
                 old = before.select("id", F.col("hub").alias("h"), F.col("authority").alias("a"))

@@ -144,6 +144,29 @@ def test_politeness(spark):
     assert got == {1: (None, "go"), 2: (4000.0, "go"), 3: (0.0, "skip"), 4: (9.0, "wait"), 5: (None, "go"), 6: (85991.0, "go")}
 
 
+def test_politeness_against_a_loop(spark):
+    """A host with most accesses lies in several ranges, some hosts in one; nulls, ties and repeated rows."""
+    draw = random.Random(3)
+    rows = [(k, "busy" if k % 3 else draw.choice(["a", "b", "zz", None]), draw.randrange(60_000)) for k in range(3000)]
+    rows += [(9001, "busy", None), (9002, "late", None), (9003, "late", 5), (9004, "late", 5)] + [(9004, "late", 5)] * 2
+    log = spark.createDataFrame(rows, "access_id int, host string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    want, last = [], {}
+    for k, host, s in sorted(rows, key=lambda r: (r[1] or "", -1 if r[2] is None else r[2], r[0])):
+        gap = s - last[host] if last.get(host) is not None else None
+        sleep = None if gap is None else 20.0 - gap
+        want.append((k, host or "", -1 if gap is None else gap, "go" if sleep is None or sleep <= 0 else "skip" if sleep > 5 else "wait"))
+        last[host] = s
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps the ranges apart
+    try:
+        audit = frontier.politeness_audit(log, delay=20.0)
+        got = [(r.access_id, r.host or "", -1 if r.gap is None else r.gap, r.action) for r in audit.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sorted(got) == sorted(want) and {r[3] for r in got} == {"go", "skip", "wait"}
+    assert frontier.politeness_audit(log.limit(0)).collect() == []
+
+
 SITE = {
     "http://s.org/": '<title>Home</title><p><a href="/a">core core</a> <a href="/b#x">power power</a> <a href="/">home core core</a></p>',
     "http://s.org/a": '<p>text <a href="/b">core core</a> <a href="http://else.org/c">core core</a></p>',
