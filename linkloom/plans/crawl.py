@@ -14,6 +14,7 @@ from linkloom.operators.frontier import BATCH_STEP, SHARES, admit, score_frontie
 from linkloom.operators.linkgraph import inlink_count
 from linkloom.operators.pages import is_valid_response, page_anchors, page_links, page_title, parse_pages
 from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
+from linkloom.sources.growing import GrowingTable
 from linkloom.sources.pagestore import PageStore
 from linkloom.sources.state import load_state, save_state
 
@@ -33,47 +34,81 @@ class CrawlRules:
     required: int | None = None  # pages after which the crawl ends
 
 
+METRICS = "iteration int, items long, share_items long, pages long, fetched long, frontier long"
+
+
 @dataclass
 class CrawlState:
-    """Tables between two waves. Those that only grow are unions of what each wave wrote."""
+    """Tables between two waves. Those that only grow are kept in ``logs``, in few parts after any number of waves."""
 
     frontier: DataFrame  # level, url
-    completed: DataFrame  # url, handed out
-    seen: DataFrame  # url, ever queued
-    visited: DataFrame  # url, fetched
-    edges: DataFrame  # src, dst
-    scores: DataFrame  # url, wave, score, inlink_score
+    logs: dict[str, GrowingTable]
+    inlinks: GrowingTable  # url, n_inlinks: what each wave added to the counts
     fetched: int = 0
     iteration: int = 0
     handed_out: int = BATCH_STEP  # size of the next batch
     docs: DataFrame | None = None  # doc_id, title, text of the last wave
     metrics: tuple = ()
-    unsaved: dict = field(default_factory=dict)  # rows added to the growing tables since the last save
+    saved: int = -1  # the last wave whose rows are on disk
 
     GROWING = ("completed", "seen", "visited", "edges", "scores")
 
+    @property
+    def completed(self) -> DataFrame:
+        """``url``, handed out."""
+        return self.logs["completed"].rows()
+
+    @property
+    def seen(self) -> DataFrame:
+        """``url``, ever queued."""
+        return self.logs["seen"].rows()
+
+    @property
+    def visited(self) -> DataFrame:
+        """``url``, fetched."""
+        return self.logs["visited"].rows()
+
+    @property
+    def edges(self) -> DataFrame:
+        """``src, dst``"""
+        return self.logs["edges"].rows()
+
+    @property
+    def scores(self) -> DataFrame:
+        """``url, wave, score, inlink_score``"""
+        return self.logs["scores"].rows()
+
     def grown(self, **added: DataFrame) -> dict:
-        """The growing tables with new rows, and the new rows on their own, as fields of the next state."""
-        fields = {name: getattr(self, name).unionByName(rows) for name, rows in added.items()}
-        before = self.unsaved
-        fields["unsaved"] = {n: before[n].unionByName(rows) if n in before else rows for n, rows in added.items()}
-        return fields
+        """The growing tables with the written rows of the next wave, and the in-link counts with those of its links."""
+        wave = self.iteration + 1
+        logs = {name: self.logs[name].add(rows, wave, written=True) for name, rows in added.items()}
+        return {"logs": logs, "inlinks": self.inlinks.add(inlink_count(added["edges"]), wave)}
 
     def save(self, path: str) -> CrawlState:
-        """Write the frontier and the rows not yet saved."""
-        if not self.unsaved:
+        """Write the frontier, the metrics and the rows not yet saved, then the one marker that makes the wave count."""
+        if self.saved == self.iteration:
             return self
-        save_state({"frontier": self.frontier}, {n: self.unsaved[n] for n in self.GROWING}, path, self.iteration,
+        # the folders are named by iteration, so the column needs another name
+        metrics = metrics_table(self.frontier.sparkSession, self).filter(F.col("iteration") >= self.saved)
+        metrics = metrics.withColumnRenamed("iteration", "number")
+        new = {name: self.logs[name].rows(after=self.saved) for name in self.GROWING}
+        save_state({"frontier": self.frontier}, {**new, "metrics": metrics}, path, self.iteration,
                    fetched=self.fetched, handed_out=self.handed_out)
-        return replace(self, unsaved={})
+        return replace(self, saved=self.iteration)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CrawlState | None:
+        """The state as of the last wave with a marker; in-link counts come from its edges, once."""
         saved = load_state(spark, path)
         if saved is None:
             return None
         tables, numbers = saved
-        return cls(**tables, **numbers)
+        wave = numbers["iteration"]
+        # one row per wave
+        metrics = [tuple(row) for row in tables["metrics"].orderBy("number").collect()] if "metrics" in tables else []
+        return cls(frontier=tables["frontier"], logs={n: GrowingTable().add(tables[n], wave, written=True) for n in cls.GROWING},
+                   inlinks=GrowingTable(key="url", total="n_inlinks").add(inlink_count(tables["edges"]), wave),
+                   metrics=tuple(metrics), saved=wave, **numbers)
 
 
 def start(seeds: DataFrame, rules: CrawlRules | None = None) -> CrawlState:
@@ -82,12 +117,14 @@ def start(seeds: DataFrame, rules: CrawlRules | None = None) -> CrawlState:
     urls = checkpoint(seeds.select(canonicalize(F.col("url"), F.col("url")).alias("url")).filter("url != ''").distinct())
     none = spark.range(0)
     text = F.lit("").alias
-    growing = {
+    first = {
         "completed": none.select(text("url")), "seen": urls, "visited": none.select(text("url")),
         "edges": none.select(text("src"), text("dst")),
         "scores": none.select(text("url"), F.lit(1).alias("wave"), F.lit(0.0).alias("score"),
                               F.lit(0.0).alias("inlink_score"))}
-    return CrawlState(frontier=urls.select(F.lit(1).alias("level"), "url"), **growing, unsaved=growing,
+    counts = GrowingTable(key="url", total="n_inlinks").add(inlink_count(first["edges"]), 0)
+    return CrawlState(frontier=urls.select(F.lit(1).alias("level"), "url"), inlinks=counts,
+                      logs={name: GrowingTable().add(rows, 0) for name, rows in first.items()},
                       handed_out=(rules or CrawlRules()).batch_step or 0)
 
 
@@ -113,7 +150,9 @@ def crawl_wave(state: CrawlState, pages: DataFrame | PageStore, rules: CrawlRule
     todo = batch.join(state.completed, "url", "left_anti")
     if rules.ignore:
         todo = todo.filter(~F.col("url").isin(list(rules.ignore)))
-    scored = score_frontier(todo, inlink_count(state.edges), **rules.score_terms)
+    keys = batch.select("url").distinct()
+    keys = F.broadcast(keys) if size <= MAX_BROADCAST_ROWS else keys
+    scored = score_frontier(todo, state.inlinks.sums_of(keys), **rules.score_terms)
     wanted = checkpoint(scored.withColumnRenamed("link", "url").join(state.visited, "url", "left_anti"))
     if isinstance(pages, PageStore):
         page = pages.lookup(wanted)
@@ -161,16 +200,30 @@ def crawl(state: CrawlState, pages: DataFrame | PageStore, rules: CrawlRules | N
     while (rules.required is None or state.fetched <= rules.required) and (max_waves is None or done < max_waves):
         if state.frontier.isEmpty():
             break
-        state = crawl_wave(state, pages, rules)
-        if docs_path:
-            state.docs.write.mode("overwrite").parquet(f"{docs_path}/iteration={state.iteration}")
-        if state_path:
-            state = state.save(state_path)
+        state = write_wave(crawl_wave(state, pages, rules), docs_path, state_path)
         done += 1
     return state
 
 
+def write_wave(state: CrawlState, docs_path: str | None = None, state_path: str | None = None) -> CrawlState:
+    """Write what the last wave made: its documents, then the state with its marker."""
+    if docs_path:
+        state.docs.write.mode("overwrite").parquet(f"{docs_path}/iteration={state.iteration}")
+    return state.save(state_path) if state_path else state
+
+
+def committed_docs(spark: SparkSession, docs_path: str, state_path: str) -> DataFrame | None:
+    """``doc_id, title, text`` of the waves up to the last whose state was saved, or nothing before the first.
+
+    Documents of a wave that was cut short are not read, though its folder may be there.
+    """
+    saved = load_state(spark, state_path)
+    if saved is None:
+        return None
+    docs = spark.read.parquet(docs_path)
+    return docs.filter(F.col("iteration") <= saved[1]["iteration"]).drop("iteration")
+
+
 def metrics_table(spark: SparkSession, state: CrawlState) -> DataFrame:
     """One row per wave: ``iteration, items, share_items, pages, fetched, frontier``."""
-    return spark.createDataFrame(
-        list(state.metrics), "iteration int, items long, share_items long, pages long, fetched long, frontier long")
+    return spark.createDataFrame(list(state.metrics), METRICS)
