@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import analyze, is_kept, normalize_token, tokens
-from linkloom.operators.linkgraph import on_every_salt, salted
+from linkloom.operators.linkgraph import hot_join
 from linkloom.session import ship_package
 
 
@@ -250,8 +250,8 @@ def document_links(docs: DataFrame, rows: DataFrame, redirects: DataFrame) -> Da
     partner = redirects.select(F.col("url").alias("doc_id"), "other_url")
     placed = docs.select("doc_id").join(known, "doc_id", "left").join(partner, "doc_id", "left")
     url = F.when(F.col("known"), F.col("doc_id")).otherwise(F.col("other_url"))
-    places = on_every_salt(placed.select("doc_id", url.alias("url")).distinct())
-    return salted(rows, "link").join(places, ["url", "salt"]).select("doc_id", "direction", "link")
+    places = placed.select("doc_id", url.alias("url")).distinct()
+    return hot_join(rows, places, ["url"], "link", "inner").select("doc_id", "direction", "link")
 
 
 def with_link_info(docs: DataFrame, links: DataFrame, redirects: DataFrame) -> DataFrame:

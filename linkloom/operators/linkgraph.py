@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from linkloom.session import checkpoint
 
 LIST_BLOCK = 100_000
 SALTS = 16
+HOT_ROWS = 100_000  # rows of one join key that a task takes
 
 
 def salted(df: DataFrame, column: str) -> DataFrame:
@@ -95,13 +99,13 @@ def adjacency_edges(adjacency: DataFrame) -> DataFrame:
 
 def new_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """The rows ``url, direction, pos, link`` that an upsert adds: each unknown link once, at the place of its first
-    occurrence behind the highest known position of its list. A list that meets its end is spread over ``SALTS`` keys.
+    occurrence behind the highest known position of its list. A list that meets its end is spread over several keys.
     """
-    fresh = incoming.join(existing.select("url", "direction", "link").distinct(), ["url", "direction", "link"],
-                          "left_anti")
-    fresh = fresh.groupBy("url", "direction", "link").agg(F.min("pos").alias("pos"))
+    known = existing.select("url", "direction", "link").distinct().hint("merge")
+    fresh = incoming.join(known, ["url", "direction", "link"], "left_anti")
+    fresh = checkpoint(fresh.groupBy("url", "direction", "link").agg(F.min("pos").alias("pos")))
     ends = existing.groupBy("url", "direction").agg((F.max("pos") + 1).alias("after"))
-    moved = salted(fresh, "link").join(on_every_salt(ends), ["url", "direction", "salt"], "left")
+    moved = hot_join(fresh, ends, ["url", "direction"], "link")
     return moved.select("url", "direction", (F.col("pos") + F.coalesce("after", F.lit(0))).alias("pos"), "link")
 
 
@@ -115,10 +119,12 @@ def merge_link_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def resolve_redirects(edges: DataFrame, redirects: DataFrame) -> DataFrame:
     """Edges whose ends are the final URLs; ``redirects`` has ``url, final_url``, one row per URL."""
+    edges = checkpoint(edges.select("src", "dst"))
+
     def rename(df: DataFrame, end: str, other: str) -> DataFrame:
-        names = on_every_salt(redirects.select(F.col("url").alias(end), F.col("final_url").alias("final")))
-        named = salted(df, other).join(names, [end, "salt"], "left")
-        return named.withColumn(end, F.coalesce("final", end)).drop("final", "salt")
+        names = redirects.select(F.col("url").alias(end), F.col("final_url").alias("final"))
+        named = hot_join(df, names, [end], other, hot=hot_keys(edges, [end]))
+        return named.withColumn(end, F.coalesce("final", end)).drop("final")
 
     return rename(rename(edges, "src", "dst"), "dst", "src").select("src", "dst")
 
@@ -129,32 +135,69 @@ def redirect_closure(redirects: DataFrame) -> DataFrame:
     Pointers are doubled: after a round every URL points twice as far, so a chain of n steps takes log n rounds. A chain
     that runs into a cycle ends at the cycle's smallest URL, and its ``hops`` are null. A URL with several steps takes
     the smallest; a null step, and one to the URL itself, is none.
+
+    A URL knows the smallest URL on the way to where it points. Met twice, that one lies on a cycle, all round which the
+    way has been. A URL whose end is known is not looked up again, and one that points to it has its end with it.
     """
     steps = redirects.groupBy("url").agg(F.min("next_url").alias("to")).filter("to <> url")
-    now = checkpoint(steps.select("url", "to", F.least("url", "to").alias("least"), F.lit(1).cast("long").alias("hops")))
-    n, reach = now.count(), 1
+    turning = checkpoint(steps.select("url", "to", F.lit(1).cast("long").alias("hops"), F.least("url", "to").alias("least"),
+                                      F.lit(False).alias("twice")))
+    ended = []
+    known, joint = F.col("then_final").isNotNull(), F.col("to")
+    met_twice = F.when(F.col("least") < F.col("then_least"), F.col("twice")).when(
+        F.col("then_least") < F.col("least"), F.col("then_twice")).otherwise(
+        F.col("twice") | F.col("then_twice") | (F.col("least") != joint))
     while True:
-        ahead = now.select(F.col("url").alias("to"), F.col("to").alias("then"), F.col("least").alias("then_least"),
-                           F.col("hops").alias("then_hops"))
-        now = checkpoint(salted_lookup(now, ahead, "to", "url").select(
-            "url", F.coalesce("then", "to").alias("to"), F.least("least", F.coalesce("then_least", "least")).alias("least"),
-            (F.col("hops") + F.coalesce("then_hops", F.lit(0))).alias("hops"), F.col("then").isNotNull().alias("open")))
-        reach *= 2
-        ended = now.filter("not open").select("url", F.col("to").alias("final_url"), "hops")
-        if now.filter("open").isEmpty():
-            return ended
-        if reach > 2 * n:
-            break
-        now = now.drop("open")
-    # who still points on points into a cycle, round which the smallest URL was met
-    turning = now.filter("open").select("url", "to")
-    names = now.select(F.col("url").alias("to"), F.col("least").alias("final_url"))
-    return ended.union(salted_lookup(turning, names, "to", "url").select("url", "final_url", F.lit(None).cast("long").alias("hops")))
-
-
-def salted_lookup(rows: DataFrame, table: DataFrame, key: str, other: str) -> DataFrame:
-    """A left join by ``key`` in which rows of a hot key are spread by ``other``."""
-    return salted(rows, other).join(on_every_salt(table), [key, "salt"], "left").drop("salt")
+        names = ["to", "then", "then_hops", "then_least", "then_twice"]
+        ahead = turning.select("url", "to", "hops", "least", "twice").toDF(*names).withColumn(
+            "then_final", F.lit(None).cast(turning.schema["url"].dataType))
+        for part in ended:
+            ahead = ahead.unionByName(part.select(
+                F.col("url").alias("to"), F.col("hops").alias("then_hops"), F.col("final_url").alias("then_final")),
+                allowMissingColumns=True)
+        met = hot_join(turning, ahead.withColumn("met", F.lit(True)), ["to"], "url").withColumn(
+            "twice", F.coalesce(F.when(F.col("met") & ~known, met_twice), F.lit(False)))
+        least = F.least("least", F.coalesce("then_least", "least"))
+        final = F.when(F.col("met").isNull(), joint).when(known, F.col("then_final")).when(F.col("twice"), least)
+        hops = F.when(F.col("met").isNull(), F.col("hops")).when(~F.col("twice"), F.col("hops") + F.col("then_hops"))
+        now = checkpoint(met.select("url", F.coalesce("then", "to").alias("to"), hops.alias("hops"), least.alias("least"),
+                                    "twice", final.alias("final_url")))
+        ended.append(now.filter("final_url is not null").select("url", "final_url", "hops"))
+        turning = now.filter("final_url is null").drop("final_url")
+        if turning.isEmpty():
+            return reduce(DataFrame.union, ended)
+
+
+def hot_keys(rows: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+    """``keys, pieces``: the keys with more than ``most`` rows, by default ``HOT_ROWS``, and into how many pieces these go; written once.
+
+    There are at most rows / most of them, few enough to broadcast.
+    """
+    counted = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(most or HOT_ROWS)).cast("int").alias("pieces"))
+    return checkpoint(counted.filter("pieces > 1"))
+
+
+def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], other: str, how: str = "left",
+             hot: DataFrame | None = None) -> DataFrame:
+    """A join by ``keys`` in which rows of a hot key are spread by ``other``, and the table's rows of such a key, and no
+    others, are repeated for each piece. The table is never broadcast: Spark would guess its size from that of its file.
+
+    ``rows`` should be cheap to read, for its keys are counted first unless ``hot`` tells them.
+    """
+    hot = hot_keys(rows, keys) if hot is None else hot
+    if hot.isEmpty():
+        return rows.join(table.hint("merge"), keys, how)
+    few = F.broadcast(hot.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("pieces").alias("_pieces")))
+
+    def in_pieces(df: DataFrame) -> DataFrame:
+        return df.join(few, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left").drop(
+            *[f"_{k}" for k in keys])
+
+    piece = F.coalesce(F.pmod(F.xxhash64(other), F.col("_pieces")), F.lit(0)).cast("int")
+    spread = in_pieces(rows).withColumn("_piece", piece).drop("_pieces")
+    pieces = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    repeated = in_pieces(table).withColumn("_piece", F.explode(pieces)).drop("_pieces")
+    return spread.join(repeated.hint("merge"), [*keys, "_piece"], how).drop("_piece")
 
 
 def write_back_scores(vertices: DataFrame, scores: DataFrame, redirects: DataFrame) -> DataFrame:

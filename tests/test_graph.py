@@ -249,3 +249,25 @@ def test_the_last_node_of_a_broken_chain_keeps_the_mass(spark):
     nodes = spark.range(1, 16)
     ranks = pagerank.fixed_rounds(pagerank.lay_out_chain(nodes, 11), 4)
     assert round(sum(values(ranks, "rank").values()), 8) == 1
+
+
+def test_tables_of_redirects_are_not_broadcast_on_a_guess(spark):
+    edges = spark.createDataFrame(skewed_links(), "src long, dst long")
+    names = spark.createDataFrame([(0, 7), (1, 8)], "url long, final_url long")
+    plan = linkgraph.resolve_redirects(edges, names)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "explode" not in plan
+    held = linkgraph.link_rows(edges).withColumn("pos", F.lit(0))
+    plan = linkgraph.new_link_rows(held, held)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "explode" not in plan
+
+
+def test_a_hot_key_is_dealt_in_pieces(spark):
+    rows = spark.createDataFrame([(0, k) for k in range(50)] + [(None, k) for k in range(30)] + [(1, 1), (2, 2)], "k long, x long")
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (3, "c")], "k long, v string")
+    hot = linkgraph.hot_keys(rows, ["k"], 10)
+    assert sorted(((r.k, r.pieces) for r in hot.collect()), key=str) == [(0, 5), (None, 3)]
+    for how in ("left", "inner"):
+        got = linkgraph.hot_join(rows, table, ["k"], "x", how, hot=hot)
+        want = rows.join(table, "k", how)
+        assert sorted(map(tuple, got.select("k", "x", "v").collect()), key=str) == sorted(
+            map(tuple, want.select("k", "x", "v").collect()), key=str)
