@@ -68,3 +68,24 @@ def test_redirect_chains(spark, n, seed):
         want[url] = (path[-1], len(path) - 1) if turn is None else (min(path[path.index(turn):]), None)
     assert got == want
     assert redirect_closure(spark.createDataFrame([], "url string, next_url string")).collect() == []
+
+
+def test_a_cycle_ends_without_going_round_the_whole_table(spark, monkeypatch):
+    rows = [(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1000), (999, 1001), (5000, 2000)]
+    rows += [(2000 + k, 2000 + (k + 1) % 7) for k in range(7)]
+    written = []
+    monkeypatch.setattr("linkloom.operators.linkgraph.checkpoint", lambda df: written.append(df) or df.localCheckpoint())
+    got = {r.url: (r.final_url, r.hops) for r in redirect_closure(spark.createDataFrame(rows[300:], "url long, next_url long")).collect()}
+    want = {1000: (1000, None), 1001: (1000, None), 999: (1000, None), 5000: (2000, None)} | {2000 + k: (2000, None) for k in range(7)}
+    assert got == want
+    # the steps, then in each round the hot keys and the pointers: cycles of 7 are met twice in 16 steps
+    assert len(written) <= 1 + 2 * 5
+    chains = {r.url: (r.final_url, r.hops) for r in redirect_closure(spark.createDataFrame(rows, "url long, next_url long")).collect()}
+    assert chains == want | {k: (300, 300 - k) for k in range(300)}
+
+
+def test_many_redirects_to_one_hub(spark, monkeypatch):
+    monkeypatch.setattr("linkloom.operators.linkgraph.HOT_ROWS", 10)
+    rows = [(k, 1) for k in range(100, 200)] + [(1, 2), (2, 3), (3, 4), (4, 5)]
+    got = {r.url: (r.final_url, r.hops) for r in redirect_closure(spark.createDataFrame(rows, "url long, next_url long")).collect()}
+    assert got == {k: (5, 5) for k in range(100, 200)} | {k: (5, 5 - k) for k in range(1, 5)}
