@@ -113,7 +113,8 @@ def index_upsert_stored(spark, folder):
     lists = store.links().groupBy(F.col("url").alias("doc_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(
         F.struct("pos", "link"))), lambda x: x["link"].cast("string")), " ").alias("outlinks"))
     words = store.postings().groupBy("doc_id").agg(F.sum("tf").alias("n_terms"))
-    return store.documents().join(lists, "doc_id", "left").join(words, "doc_id", "left").select(
+    # both grow with the index, and Spark would guess their sizes from those of files
+    return store.documents().join(lists.hint("merge"), "doc_id", "left").join(words.hint("merge"), "doc_id", "left").select(
         "doc_id", F.length("text").alias("n_chars"), "author", "outlinks", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
         F.lit(store.number).alias("version"))
 
