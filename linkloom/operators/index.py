@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import analyze, is_kept, normalize_token, tokens
@@ -46,9 +46,9 @@ def positioned_terms(docs: DataFrame, stop_words: Iterable[str] = (), stop_after
     return rows
 
 
-def term_places(docs: DataFrame, stop_words: Iterable[str] = (), stop_after_lower: bool = False,
-                stem: bool = False) -> DataFrame:
-    """``doc_id, doc_len, places``: the index terms of a document with their positions, sorted by both, in one array."""
+def _terms_at(docs: DataFrame, stop_words: Iterable[str] = (), stop_after_lower: bool = False,
+              stem: bool = False) -> DataFrame:
+    """``doc_id, terms, at``: the index terms of a document in text order, and their positions."""
     stop_words = list(stop_words)
     if stop_words:
         numbered = F.transform(tokens(F.col("text")), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
@@ -64,8 +64,31 @@ def term_places(docs: DataFrame, stop_words: Iterable[str] = (), stop_after_lowe
 
         ship_package(docs.sparkSession)
         words = words.select("doc_id", stem_array("terms").alias("terms"), "at")
-    places = F.arrays_zip(F.col("terms").alias("term"), F.col("at").alias("pos"))
-    return words.select("doc_id", F.size("terms").alias("doc_len"), F.sort_array(places).alias("places"))
+    return words
+
+
+def _places(terms: Column) -> Column:
+    return F.sort_array(F.arrays_zip(terms.alias("term"), F.col("at").alias("pos"))).alias("places")
+
+
+def term_places(docs: DataFrame, **analyzer) -> DataFrame:
+    """``doc_id, doc_len, places``: the index terms of a document with their positions, sorted by both, in one array."""
+    return _terms_at(docs, **analyzer).select("doc_id", F.size("terms").alias("doc_len"), _places(F.col("terms")))
+
+
+def packed_terms(docs: DataFrame, **analyzer) -> DataFrame:
+    """``doc_id, doc_len, words, at``: the index terms of a document in one text, in which it is moved cheaply.
+
+    No term has a blank in it, so nothing is lost; documents without terms are left out.
+    """
+    words = _terms_at(docs, **analyzer).select(
+        "doc_id", F.size("terms").alias("doc_len"), F.array_join("terms", " ").alias("words"), "at")
+    return words.filter("doc_len > 0")
+
+
+def unpacked_postings(packed: DataFrame, *also: str) -> DataFrame:
+    """:func:`postings` of the rows of :func:`packed_terms`, with further columns these have."""
+    return _postings(packed.select("doc_id", "doc_len", *also, _places(F.split("words", " "))), *also)
 
 
 def postings(docs: DataFrame, **analyzer) -> DataFrame:
@@ -73,7 +96,10 @@ def postings(docs: DataFrame, **analyzer) -> DataFrame:
 
     A document is one row, so its postings are made in that row, from its sorted terms; nothing is shuffled.
     """
-    rows = term_places(docs, **analyzer)
+    return _postings(term_places(docs, **analyzer))
+
+
+def _postings(rows: DataFrame, *also: str) -> DataFrame:
     first = F.filter(F.sequence(F.lit(0), F.col("doc_len") - 1), lambda i: (i == 0) | (
         F.get("places", i)["term"] != F.get("places", i - 1)["term"]))
     rows = rows.withColumn("first", F.when(F.col("doc_len") > 0, first).otherwise(F.array().cast("array<int>")))
@@ -81,8 +107,8 @@ def postings(docs: DataFrame, **analyzer) -> DataFrame:
     each = F.filter(F.zip_with("first", ends, lambda s, e: F.struct(
         F.get("places", s)["term"].alias("term"), (e - s).cast("long").alias("tf"),
         F.transform(F.slice("places", s + 1, e - s), lambda p: p["pos"]).alias("positions"))), lambda r: r["term"].isNotNull())
-    each = rows.select("doc_id", "doc_len", F.inline_outer(each)).filter("term is not null")
-    return each.select("term", "doc_id", "doc_len", "tf", "positions")
+    each = rows.select("doc_id", "doc_len", *also, F.inline_outer(each)).filter("term is not null")
+    return each.select("term", "doc_id", "doc_len", "tf", "positions", *also)
 
 
 def term_counts(docs: DataFrame, **analyzer) -> DataFrame:

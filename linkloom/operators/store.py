@@ -8,6 +8,9 @@ Postings stand in blocks: one row for a term and a range of documents. A range h
 as many as its share of them, so the most a block can add to a score follows from its highest term frequency and its
 shortest document. A search adds these bounds up over its terms for each range, scores the most promising ranges, and
 reads of the others only those whose bound reaches the score it then has: the result is exact.
+
+Documents move to the task of their range as one text of their terms; their postings are made there, so what is moved by
+term are finished blocks.
 """
 
 from __future__ import annotations
@@ -20,10 +23,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.operators.index import postings
+from linkloom.operators.index import packed_terms, unpacked_postings
 from linkloom.operators.linkgraph import new_link_rows
 from linkloom.operators.search import B, K1, best, query_terms, saturation
 from linkloom.session import checkpoint
+from linkloom.sources.tables import spread
 
 MANIFEST = "number int, name string, base int, buckets int, parts int, n_docs long, n_words long"
 BLOCKS = ("term string, range long, n int, max_tf int, min_len int, cf long, doc_ids array<{kind}>, tfs array<int>, "
@@ -32,8 +36,9 @@ LINKS = "url, direction, pos, link"
 DOCS_PER_RANGE = 128
 LENGTH_STEPS = 4  # classes of length for each doubling
 LENGTH_CLASSES = 16 * LENGTH_STEPS  # about as many as there are in use
-WORDS_PER_BUCKET = 50_000_000
-WRITERS = 4
+CHARS_PER_BUCKET = 300_000_000
+CHARS_PER_TASK = 10_000_000  # of texts whose postings one task makes
+WRITERS = 16  # of a bucket at most
 FIRST_RANGES, MORE_RANGES = 8, 4
 
 
@@ -54,18 +59,40 @@ def document_range(parts: int) -> Column:
     return length * parts + F.pmod(F.xxhash64("doc_id"), F.lit(parts))
 
 
-def blocked(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
-    """Blocks of postings. The writers of a bucket share its ranges, so a frequent term is no single task's work."""
-    rows = rows.withColumns({
-        "bucket": F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"), "range": document_range(parts)})
-    rows = rows.withColumn("writer", F.pmod(F.xxhash64("range"), F.lit(WRITERS)).cast("int"))
+def range_blocks(docs: DataFrame, parts: int, tasks: int, **analyzer) -> DataFrame:
+    """Blocks of the postings of ``docs``, made where the documents of a range meet."""
+    packed = packed_terms(docs, **analyzer).withColumn("range", document_range(parts)).repartition(tasks, "range")
+    rows = unpacked_postings(packed, "range")
     entry = F.struct("doc_id", F.col("tf").cast("int").alias("tf"), "doc_len", "positions")
-    # dealt by bucket and writer, which the groups contain: no second shuffle
-    return rows.repartition(buckets * WRITERS, "bucket", "writer").groupBy("bucket", "writer", "term", "range").agg(
+    # dealt by range, which the groups contain: no second shuffle
+    return _columns(rows.groupBy("term", "range").agg(
         F.count("*").cast("int").alias("n"), F.max("tf").cast("int").alias("max_tf"), F.min("doc_len").alias("min_len"),
-        F.sum("tf").alias("cf"), F.sort_array(F.collect_list(entry)).alias("entries")).select(
-        "bucket", "term", "range", "n", "max_tf", "min_len", "cf", F.col("entries.doc_id").alias("doc_ids"),
-        F.col("entries.tf").alias("tfs"), F.col("entries.doc_len").alias("lens"), F.col("entries.positions").alias("positions"))
+        F.sum("tf").alias("cf"), F.sort_array(F.collect_list(entry)).alias("entries")), "doc_len")
+
+
+def joined_blocks(blocks: DataFrame) -> DataFrame:
+    """The blocks of several versions with one block for a term and range."""
+    lists = ("doc_ids", "tfs", "lens", "positions")
+    met = blocks.groupBy("term", "range").agg(
+        F.sum("n").cast("int").alias("n"), F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"),
+        F.sum("cf").alias("cf"), *[F.flatten(F.collect_list(c)).alias(c) for c in lists])
+    names = ("doc_id", "tf", "len", "positions")
+    entries = F.sort_array(F.arrays_zip(*[F.col(c).alias(n) for c, n in zip(lists, names)])).alias("entries")
+    return _columns(met.select("term", "range", "n", "max_tf", "min_len", "cf", entries), "len")
+
+
+def _columns(rows: DataFrame, length: str) -> DataFrame:
+    return rows.select(
+        "term", "range", "n", "max_tf", "min_len", "cf", F.col("entries.doc_id").alias("doc_ids"),
+        F.col("entries.tf").alias("tfs"), F.col(f"entries.{length}").alias("lens"), F.col("entries.positions").alias("positions"))
+
+
+def blocked(rows: DataFrame, buckets: int, writers: int) -> DataFrame:
+    """Blocks dealt to their buckets. The writers of a bucket share its ranges, so a frequent term is no single task's work."""
+    rows = rows.withColumns({
+        "bucket": F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"),
+        "writer": F.pmod(F.xxhash64("range"), F.lit(writers)).cast("int")})
+    return rows.repartition(buckets * writers, "bucket", "writer").drop("writer")
 
 
 class IndexStore:
@@ -117,7 +144,7 @@ class IndexStore:
 
     def documents(self) -> DataFrame:
         """``doc_id, text, author``."""
-        return self.texts().join(self.authors(), "doc_id")
+        return self.texts().join(self.authors().hint("merge"), "doc_id")
 
     def blocks(self, terms: list[str] | None = None) -> DataFrame:
         """Blocks of all terms or of some; for some only their buckets are read."""
@@ -135,32 +162,39 @@ class IndexStore:
                                F.col("positions").alias("positions"))
         return self.blocks(terms).select("term", F.inline(entries))
 
-    def _commit(self, texts: DataFrame, authors: DataFrame, links: DataFrame, rows: DataFrame, lengths, base: bool,
-                buckets: int, parts: int) -> IndexStore:
+    def _commit(self, texts: DataFrame, authors: DataFrame, links: DataFrame, base: bool, layout: tuple[int, int] | None = None,
+                blocks: DataFrame | None = None) -> IndexStore:
+        """The version of these tables. The blocks are made from the texts, once these are written, unless they are given;
+        ``layout`` are the numbers of buckets and of parts where the size of the texts does not tell them."""
         number, name = self.number + 1, f"version-{uuid.uuid4().hex}"
         folder = f"{self.path}/{name}"
         texts.write.parquet(f"{folder}/texts")
         authors.write.parquet(f"{folder}/authors")
         links.write.parquet(f"{folder}/links")
-        blocked(rows, buckets, parts).write.partitionBy("bucket").parquet(f"{folder}/blocks")
-        row = (number, name, number if base else self.versions[0].number, buckets, parts, *lengths)
+        docs = self.spark.read.schema(texts.schema).parquet(f"{folder}/texts")
+        n_docs, n_chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+        buckets, parts = layout or self._layout(n_docs, n_chars)
+        tasks = max(1, -(-n_chars // CHARS_PER_TASK))
+        rows = range_blocks(spread(docs), parts, tasks, **self.analyzer) if blocks is None else blocks
+        blocked(rows, buckets, min(WRITERS, -(-tasks // buckets))).write.partitionBy("bucket").parquet(f"{folder}/blocks")
+        kind = texts.schema["doc_id"].dataType.simpleString()
+        written = self.spark.read.schema(BLOCKS.format(kind=kind)).parquet(f"{folder}/blocks")
+        n_words = written.agg(F.sum("cf")).first()[0] or 0
+        row = (number, name, number if base else self.versions[0].number, buckets, parts, n_docs, n_words)
         self.spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
         return IndexStore(self.spark, self.path, **self.analyzer)
 
-    def _measured(self, docs: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
-        """Postings, written once, and the numbers of documents and words."""
-        rows = checkpoint(postings(docs, **self.analyzer))
-        return rows, (docs.count(), rows.agg(F.sum("tf")).first()[0] or 0)
-
     def create(self, docs: DataFrame, author: str, links: DataFrame | None = None) -> IndexStore:
         """The base: ``docs`` have ``doc_id, text``, ``links`` are rows ``url, direction, pos, link``."""
         if self.versions:
             raise ValueError(f"there is an index under {self.path}")
         docs = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
-        rows, lengths = self._measured(docs)
         links = self._no_links(docs) if links is None else links.selectExpr(*LINKS.split(", "))
-        return self._commit(docs, docs.select("doc_id", F.lit(author).alias("author")), links, rows, lengths, True,
-                            max(1, -(-lengths[1] // WORDS_PER_BUCKET)), self._parts(lengths[0]))
+        return self._commit(docs, docs.select("doc_id", F.lit(author).alias("author")), links, True)
+
+    @classmethod
+    def _layout(cls, n_docs: int, n_chars: int) -> tuple[int, int]:
+        return max(1, -(-n_chars // CHARS_PER_BUCKET)), cls._parts(n_docs)
 
     @staticmethod
     def _parts(n_docs: int) -> int:
@@ -177,7 +211,8 @@ class IndexStore:
         unless the field already contains it.
         """
         docs = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
-        held = self.authors()
+        # never broadcast: Spark would guess the size of what the store holds from that of its files
+        held = self.authors().hint("merge")
         new = checkpoint(docs.join(held.select("doc_id"), "doc_id", "left_anti"))
         signed = docs.select("doc_id").join(held, "doc_id", "left")
         lacks = F.col("author").isNull() | ~F.contains("author", F.lit(author))
@@ -185,15 +220,19 @@ class IndexStore:
         more = checkpoint(self._no_links(docs) if links is None else new_link_rows(self.links(), links))
         if new.isEmpty() and authors.isEmpty() and more.isEmpty():
             return self
-        rows, lengths = self._measured(new)
         base = self.versions[0]
-        return self._commit(new, authors, more, rows, lengths, False, base.buckets, base.parts)
+        return self._commit(new, authors, more, False, (base.buckets, base.parts))
 
     def compact(self) -> IndexStore:
-        """Base and deltas as one new base; readers of the old versions go on with them."""
-        n_docs, n_words = (sum(v[c] for v in self.versions) for c in ("n_docs", "n_words"))
-        return self._commit(self.texts(), self.authors(), self.links(), self.postings(), (n_docs, n_words), True,
-                            max(1, -(-n_words // WORDS_PER_BUCKET)), self._parts(n_docs))
+        """Base and deltas as one new base; readers of the old versions go on with them.
+
+        Blocks of one term and range are joined. Where the documents have become twice as many as their layout
+        is for, or more, they are laid out anew from their texts.
+        """
+        texts, base = self.texts(), self.versions[0]
+        if self._parts(sum(v.n_docs for v in self.versions)) >= 2 * base.parts:
+            return self._commit(texts, self.authors(), self.links(), True)
+        return self._commit(texts, self.authors(), self.links(), True, (base.buckets, base.parts), joined_blocks(self.blocks()))
 
     def search(self, query: str, k: int, k1: float = K1, b: float = B) -> Found:
         """The ``k`` documents with the highest BM25 scores, as :func:`search.best` orders them."""

@@ -115,3 +115,34 @@ def test_a_broken_write_is_not_seen(spark, tmp_path, monkeypatch):
     assert IndexStore(spark, path).upsert(more, "Y").number == 2
     with pytest.raises(ValueError):
         IndexStore(spark, path).create(first, "X")
+
+
+def test_postings_move_as_texts_and_finished_blocks(spark, texts):
+    from linkloom.operators import store as stores
+
+    made = stores.blocked(stores.range_blocks(texts, 2, 3, **HOW), 2, 2)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 3  # the fixture's own, the documents by range, the blocks by bucket
+    entries = F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("lens").alias("doc_len"), F.col("tfs").alias("tf"), "positions")
+    got = made.select("term", F.inline(entries)).withColumn("tf", F.col("tf").cast("long"))
+    assert rows_of(got) == rows_of(index.postings(texts, **HOW))
+    facts = made.filter("n <> size(doc_ids) or max_tf <> array_max(tfs) or min_len <> array_min(lens)")
+    assert made.count() == made.select("term", "range").distinct().count() and facts.isEmpty()
+
+
+def test_compaction_joins_blocks_or_lays_them_out_anew(spark, texts, tmp_path, monkeypatch):
+    half = texts.filter("doc_id % 10 < 7")
+    flat = IndexStore(spark, str(tmp_path), **HOW).create(half, "a").upsert(texts, "b")
+    want = rows_of(index.postings(texts, **HOW))
+    for per_range in (128, 1):
+        monkeypatch.setattr("linkloom.operators.store.DOCS_PER_RANGE", per_range)
+        flat = flat.compact()
+        blocks = flat.blocks()
+        assert blocks.count() == blocks.select("term", "range").distinct().count()
+        got = flat.postings().select("term", "doc_id", "doc_len", F.col("tf").cast("long").alias("tf"), "positions")
+        assert rows_of(got) == want
+        assert (flat.versions[0].n_docs, flat.versions[0].parts) == (texts.count(), 1 if per_range == 128 else 23)
+
+
+def test_what_the_store_holds_is_not_broadcast(store):
+    assert "Broadcast" not in store.documents()._jdf.queryExecution().executedPlan().toString()
