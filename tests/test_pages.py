@@ -218,3 +218,26 @@ def test_escapes_keep_pages_apart(spark):
     got = [r[0] for r in spark.createDataFrame([(u,) for u in links], "u string").select(
         canonicalize(F.col("u"), F.col("u"))).collect()]
     assert got == ["http://h/%E9", "http://h/%FF", "http://h/a%2Fb", "http://h/~uA", "http://h/a%20b%25", "http://h/%2541"]
+
+
+def test_few_pages_are_held_as_objects(monkeypatch):
+    import gc
+    import pyarrow as pa
+
+    from linkloom.functions import markup
+
+    most = []
+    pages = pa.array([f'<nav><b>{k}</b></nav><p>text {k} <a href="/x{k}">a</a></p>' if k % 7 else None for k in range(200)])
+    whole = [None if p is None else markup.parse_page(p, ["nav"], "once") for p in pages.to_pylist()]
+    array = pa.array
+    monkeypatch.setattr(markup.pa, "array", lambda values, *a, **b: most.append(len(values)) or array(values, *a, **b))
+    gc.collect()
+    gc.disable()
+    try:
+        got = markup.parse_batch(pages, ["nav"], "once")
+        assert not [x for x in gc.get_objects() if isinstance(x, markup.Element)]  # trees go at once
+    finally:
+        gc.enable()
+    assert got.to_pylist() == array(whole, markup.PARSED).to_pylist() and got.type == markup.PARSED
+    assert max(most) <= markup.PAGES_AT_ONCE
+    assert markup.parse_batch(array([], pa.string()), [], "once").to_pylist() == []
