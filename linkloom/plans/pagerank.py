@@ -26,7 +26,7 @@ class Layout:
     n: int
     has_sinks: bool
     width: int
-    edges: DataFrame | None = None  # src, dst, and part when hubs are split
+    edges: DataFrame | None = None  # src, dsts, and part when hubs are split
     next_id: Column | None = None  # the one target of an id, when there is no edge table
 
     def send(self, ranks: DataFrame) -> DataFrame:
@@ -35,16 +35,16 @@ class Layout:
         share = (F.col("rank") / F.col("out_degree")).alias("share")
         if self.edges is None:
             return sources.select(self.next_id.alias("dst"), share)
-        keys = [c for c in self.edges.columns if c != "dst"]
+        keys = [c for c in self.edges.columns if c != "dsts"]
         shares = sources.select(F.col("id").alias("src"), share, *(
             [F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part")] if "part" in keys else []))
         # both sides are partitioned and sorted by the keys
-        return self.edges.hint("merge").join(shares, keys).select("dst", "share")
+        return self.edges.hint("merge").join(shares, keys).select(F.explode("dsts").alias("dst"), "share")
 
 
 def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str = "leak",
             dedupe: bool = True, hub_block: int = HUB_BLOCK) -> Layout:
-    """Partition vertices by id and edges by source, once for all rounds.
+    """Partition vertices by id and the lists of links by source, once for all rounds.
 
     ``vertices`` names the crawled pages; links from elsewhere are dropped. Links to elsewhere keep
     their part of the source's rank (``leak``) or are taken out first (``drop``). The links of a
@@ -80,12 +80,15 @@ def lay_out(edges: DataFrame, vertices: DataFrame | None = None, uncrawled: str
         facts = nodes.agg(F.count("*").alias("n"), F.count_if(F.col("out_degree") == 0).alias("sinks"),
                           F.count_if(F.col("blocks") > 1).alias("hubs")).first()
         if facts.hubs == 0:
-            table = checkpoint(edges.repartition(width, "src").sortWithinPartitions("src"))
+            table = edges.repartition(width, "src").groupBy("src")
         else:
             hubs = F.broadcast(nodes.filter("blocks > 1").select(F.col("id").alias("src"), "blocks"))
             part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("blocks")), F.lit(0)).cast("int")
             split = edges.join(hubs, "src", "left").select("src", part.alias("part"), "dst")
-            table = checkpoint(split.repartition(width, "src", "part").sortWithinPartitions("src", "part"))
+            table = split.repartition(width, "src", "part").groupBy("src", "part")
+        # a round reads and joins one row for the links of a source, or of a block of a hub's
+        table = table.agg(F.collect_list("dst").alias("dsts"))
+        table = checkpoint(table.sortWithinPartitions(*[c for c in table.columns if c != "dsts"]))
     return Layout(nodes, facts.n, facts.sinks > 0, width, edges=table)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators import index, linkgraph
 from linkloom.plans import hits, pagerank
+from linkloom.session import steady_plans
 
 
 def values(df, *names, places=10):
@@ -271,3 +272,16 @@ def test_a_hot_key_is_dealt_in_pieces(spark):
         want = rows.join(table, "k", how)
         assert sorted(map(tuple, got.select("k", "x", "v").collect()), key=str) == sorted(
             map(tuple, want.select("k", "x", "v").collect()), key=str)
+
+
+@pytest.mark.parametrize("hub_block", [1_000_000, 7])
+def test_rounds_read_one_row_for_the_links_of_a_source(spark, monkeypatch, hub_block):
+    monkeypatch.setattr("linkloom.session.ROWS_PER_PARTITION", 100)
+    links = skewed_links()
+    layout = pagerank.lay_out(spark.createDataFrame(links, "src long, dst long"), hub_block=hub_block)
+    keys = [c for c in layout.edges.columns if c != "dsts"]
+    assert layout.edges.count() == layout.edges.select(keys).distinct().count() < len(links)
+    assert sorted(map(tuple, layout.edges.select("src", F.explode("dsts")).collect())) == links
+    with steady_plans(spark, layout.width):
+        plan = pagerank.next_ranks(layout, pagerank.start_ranks(layout))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 + ("part" in keys)
