@@ -99,7 +99,7 @@ def index_graph_scan(spark, folder):
 
 def redirect_closure(spark, folder):
     """Each part redirects to the next higher part it is ordered with; the topmost, by their links, back or nowhere."""
-    edges = part_graph(spark, folder)
+    edges = linkgraph.edges_by_source(part_pairs(spark, folder))
     up = F.min(F.when(F.col("dst") > F.col("src"), F.col("dst")))
     steps = edges.groupBy(F.col("src").alias("url")).agg(
         F.coalesce(up, F.when(F.count("*") % 2 == 0, F.min("dst"))).alias("next_url"))

@@ -30,6 +30,15 @@ def clean_edges(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").dropDuplicates()
 
 
+def edges_by_source(edges: DataFrame) -> DataFrame:
+    """Each link once, dealt by ranges of the whole pair: the links of a URL lie together, those of a hub in several ranges.
+
+    What is then grouped by ``src`` moves a row for each URL and range it lies in, however many partitions there are.
+    After :func:`clean_edges` the links of a URL are everywhere, and it moves nearly a row for each link.
+    """
+    return edges.select("src", "dst").repartitionByRange("src", "dst").dropDuplicates()
+
+
 def edge_ends(edges: DataFrame) -> DataFrame:
     """``id, n_out, n_in`` with one row per end of an edge, for one-pass sums over both directions."""
     ends = F.array(

@@ -285,3 +285,40 @@ def test_rounds_read_one_row_for_the_links_of_a_source(spark, monkeypatch, hub_b
     with steady_plans(spark, layout.width):
         plan = pagerank.next_ranks(layout, pagerank.start_ranks(layout))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 + ("part" in keys)
+
+
+def test_links_of_a_source_lie_together_and_those_of_a_hub_in_several_ranges(spark):
+    links = [(k % 300, 7 * k % 1000) for k in range(6000)] + [(1000, k) for k in range(6000)] + [(None, 3), (5, None)]
+    edges = spark.createDataFrame(2 * links, "src long, dst long")
+    with steady_plans(spark, 8):
+        dealt = linkgraph.edges_by_source(edges)
+        assert sorted(map(tuple, dealt.collect()), key=str) == sorted(set(links), key=str)
+        places = Counter(r.src for r in dealt.select("src", F.spark_partition_id().alias("p")).distinct().collect())
+    assert 2 < places.pop(1000) <= 8 and sum(places.values()) <= 301 + 8
+
+
+def test_steps_of_redirects_move_a_row_for_each_url(spark, tmp_path, monkeypatch):
+    from catalog import graph
+
+    r = random.Random(5)
+    lines = [(k // 4, k % 4, r.choice([None, 0, *range(100)]), 1) for k in range(8000)]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(linkgraph, "redirect_closure", lambda steps: steps)
+    with steady_plans(spark, 8):
+        steps = graph.redirect_closure(spark, str(tmp_path))
+        got = {x.url: x.next_url for x in steps.collect()}
+        plan = steps._jdf.queryExecution().executedPlan().toString()
+    # the lines to their orders, the pairs to their ranges, then what the ranges know of each URL
+    dealt = [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange " in line]
+    assert [x.split("(")[0] for x in dealt] == ["hashpartitioning", "rangepartitioning", "hashpartitioning"]
+    links = {}
+    lines.sort(key=lambda x: (x[0], x[1]))
+    for (order, _, src, _), (other, _, dst, _) in zip(lines, lines[1:]):
+        if order == other and dst is not None:
+            links.setdefault(src, set()).add(dst)
+    want = {}
+    for src, dsts in links.items():
+        up = [d for d in dsts if src is not None and d > src]
+        want[src] = min(up) if up else min(dsts) if len(dsts) % 2 == 0 else None
+    assert got == want
