@@ -34,7 +34,8 @@ def edges_by_source(edges: DataFrame) -> DataFrame:
     """Each link once, dealt by ranges of the whole pair: the links of a URL lie together, those of a hub in several ranges.
 
     What is then grouped by ``src`` moves a row for each URL and range it lies in, however many partitions there are.
-    After :func:`clean_edges` the links of a URL are everywhere, and it moves nearly a row for each link.
+    After :func:`clean_edges` the links of a URL are everywhere, and it moves nearly a row for each link. But there a link
+    that comes very often is made one before it moves; here all its rows go to one range, whose task holds it once.
     """
     return edges.select("src", "dst").repartitionByRange("src", "dst").dropDuplicates()
 
