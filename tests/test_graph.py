@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,47 @@ def test_hits_stops(spark, toy):
         assert [r.id for r in hits.hits_top(scores, "authority", 1).collect()] == ["C"]
 
 
+@pytest.mark.parametrize("hub_block", [1_000_000, 3])
+def test_converged_hits_of_nearly_equal_parts_need_few_rounds(spark, monkeypatch, hub_block):
+    # a full 6 x 6 and a full 5 x 7: plain rounds bring them apart by a seventieth each
+    links = [(i, 10 + j) for i in range(6) for j in range(6)] + [(20 + i, 30 + j) for i in range(5) for j in range(7)]
+    rounds, updated = [], hits._updated
+    monkeypatch.setattr(hits, "_updated", lambda *a: rounds.append(1) or updated(*a))
+    edges = spark.createDataFrame(links, "src long, dst long")
+    pages = spark.createDataFrame([(i,) for i in (*range(6), *range(10, 16), *range(20, 25), *range(30, 37), 50)], "id long")
+    got = values(hits.hits(edges, pages, stop="tol", tol=1e-12, hub_block=hub_block), "hub", "authority")
+    part = round(1 / math.sqrt(6), 10)
+    assert got == {i: (part * (i < 6), part * (10 <= i < 16)) for (i,) in pages.collect()}
+    assert len(rounds) < 60
+
+
+def test_converged_hits_are_the_leading_singular_vectors(spark):
+    # plain rounds need some thousands here
+    links = skewed_links()
+    ids = sorted({i for link in links for i in link})
+    counts = np.zeros((len(ids), len(ids)))
+    for src, dst in links:
+        counts[ids.index(src), ids.index(dst)] += 1
+    left, _, right = np.linalg.svd(counts)
+    want = {i: (round(abs(left[k, 0]), 9), round(abs(right[0, k]), 9)) for k, i in enumerate(ids)}
+    got = hits.hits(spark.createDataFrame(links, "src long, dst long"), stop="tol", tol=1e-12, hub_block=7)
+    assert values(got, "hub", "authority", places=9) == want
+
+
+def test_converged_hits_end_where_equal_parts_take_turns(spark):
+    # one page with four links out, one with four links in: the scores of even and odd rounds differ for ever
+    links = [(0, i) for i in range(1, 5)] + [(i, 10) for i in range(11, 15)]
+    got = values(hits.hits(spark.createDataFrame(links, "src long, dst long"), stop="tol", tol=1e-12), "hub", "authority")
+    part = round(1 / math.sqrt(5), 10)
+    assert got == {i: (part * (i == 0 or i > 10), part * (0 < i <= 10)) for i in (*range(5), *range(10, 15))}
+
+
+def test_converged_hits_without_links(spark, toy):
+    pages = spark.createDataFrame([("A",), ("Z",)], "id string")
+    assert values(hits.hits(toy.limit(0), pages, stop="tol"), "hub", "authority") == {"A": (0, 0), "Z": (0, 0)}
+    assert hits.hits(toy.limit(0), stop="tol").collect() == []
+
+
 def test_base_set_grows_and_stops(spark, toy):
     root = spark.createDataFrame([("B",)], "id string")
     ids = lambda **kw: sorted(r.id for r in hits.base_set(toy, root, **kw).collect())
