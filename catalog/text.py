@@ -114,8 +114,9 @@ def index_upsert_stored(spark, folder):
         F.struct("pos", "link"))), lambda x: x["link"].cast("string")), " ").alias("outlinks"))
     words = store.postings().groupBy("doc_id").agg(F.sum("tf").alias("n_terms"))
     # both grow with the index, and Spark would guess their sizes from those of files
-    return store.documents().join(lists.hint("merge"), "doc_id", "left").join(words.hint("merge"), "doc_id", "left").select(
-        "doc_id", F.length("text").alias("n_chars"), "author", "outlinks", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+    docs_of = store.documents(F.length("text").alias("n_chars"))
+    return docs_of.join(lists.hint("merge"), "doc_id", "left").join(words.hint("merge"), "doc_id", "left").select(
+        "doc_id", "n_chars", "author", "outlinks", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
         F.lit(store.number).alias("version"))
 
 

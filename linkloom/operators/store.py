@@ -10,7 +10,8 @@ shortest document. A search adds these bounds up over its terms for each range,
 reads of the others only those whose bound reaches the score it then has: the result is exact.
 
 Documents move to the task of their range as one text of their terms; their postings are made there, so what is moved by
-term are finished blocks.
+term are finished blocks, the numbers of each in one text. Texts are moved only where an id comes twice, and a compaction
+moves only those blocks of the base that it joins with others.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from linkloom.operators.index import packed_terms, unpacked_postings
 from linkloom.operators.linkgraph import new_link_rows
 from linkloom.operators.search import B, K1, best, query_terms, saturation
-from linkloom.session import checkpoint
+from linkloom.session import MAX_BROADCAST_ROWS, checkpoint
 from linkloom.sources.tables import spread
 
 MANIFEST = "number int, name string, base int, buckets int, parts int, n_docs long, n_words long"
@@ -39,6 +40,7 @@ LENGTH_CLASSES = 16 * LENGTH_STEPS  # about as many as there are in use
 CHARS_PER_BUCKET = 300_000_000
 CHARS_PER_TASK = 10_000_000  # of texts whose postings one task makes
 WRITERS = 16  # of a bucket at most
+CODEC = "zstd"  # of all files
 FIRST_RANGES, MORE_RANGES = 8, 4
 
 
@@ -71,28 +73,66 @@ def range_blocks(docs: DataFrame, parts: int, tasks: int, **analyzer) -> DataFra
 
 
 def joined_blocks(blocks: DataFrame) -> DataFrame:
-    """The blocks of several versions with one block for a term and range."""
-    lists = ("doc_ids", "tfs", "lens", "positions")
-    met = blocks.groupBy("term", "range").agg(
+    """The rows of :func:`blocked` with one block for a term and range, made where these meet."""
+    lists, place = ("doc_ids", "tfs", "lens", "positions"), ("bucket", "writer")
+    met = blocks.groupBy(*place, "term", "range").agg(
         F.sum("n").cast("int").alias("n"), F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"),
         F.sum("cf").alias("cf"), *[F.flatten(F.collect_list(c)).alias(c) for c in lists])
     names = ("doc_id", "tf", "len", "positions")
     entries = F.sort_array(F.arrays_zip(*[F.col(c).alias(n) for c, n in zip(lists, names)])).alias("entries")
-    return _columns(met.select("term", "range", "n", "max_tf", "min_len", "cf", entries), "len")
+    return _columns(met.select(*place, "term", "range", "n", "max_tf", "min_len", "cf", entries), "len", *place)
 
 
-def _columns(rows: DataFrame, length: str) -> DataFrame:
+def _columns(rows: DataFrame, length: str, *also: str) -> DataFrame:
     return rows.select(
         "term", "range", "n", "max_tf", "min_len", "cf", F.col("entries.doc_id").alias("doc_ids"),
-        F.col("entries.tf").alias("tfs"), F.col(f"entries.{length}").alias("lens"), F.col("entries.positions").alias("positions"))
+        F.col("entries.tf").alias("tfs"), F.col(f"entries.{length}").alias("lens"), F.col("entries.positions").alias("positions"), *also)
+
+
+def _joined(numbers: Column) -> Column:
+    return F.array_join(numbers.cast("array<string>"), " ", "")
+
+
+def _parted(text: Column, kind: str) -> Column:
+    return F.transform(F.split(text, " "), lambda x: F.nullif(x, F.lit("")).cast(kind))
 
 
 def blocked(rows: DataFrame, buckets: int, writers: int) -> DataFrame:
-    """Blocks dealt to their buckets. The writers of a bucket share its ranges, so a frequent term is no single task's work."""
-    rows = rows.withColumns({
-        "bucket": F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"),
-        "writer": F.pmod(F.xxhash64("range"), F.lit(writers)).cast("int")})
-    return rows.repartition(buckets * writers, "bucket", "writer").drop("writer")
+    """Blocks dealt to their buckets. The writers of a bucket share its ranges, so a frequent term is no single task's work.
+
+    A block moves as its term, its range and one text of its numbers; the other columns follow from these. Ids that are
+    not whole numbers move as they are.
+    """
+    kind = rows.schema["doc_ids"].dataType.elementType.simpleString()
+    whole = kind in ("bigint", "int", "smallint", "tinyint")
+    ids = [] if whole else ["doc_ids"]
+    numbers = [_joined(F.col("doc_ids"))] if whole else []
+    numbers += [_joined(F.col("lens")), F.array_join(F.transform("positions", _joined), ",")]
+    moved = rows.select("term", "range", *ids, F.concat_ws("|", *numbers).alias("numbers"),
+                        F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket"),
+                        F.pmod(F.xxhash64("range"), F.lit(writers)).cast("int").alias("writer"))
+    moved = moved.repartition(buckets * writers, "bucket", "writer").withColumn("numbers", F.split("numbers", "[|]"))
+    part = [F.get("numbers", F.lit(i)) for i in range(len(numbers))]
+    positions = F.transform(F.split(part[-1], ","), lambda p: F.split(p, " ").cast("array<int>"))
+    moved = moved.select("term", "range", "bucket", "writer", (_parted(part[0], kind) if whole else F.col("doc_ids")).alias("doc_ids"),
+                         F.split(part[-2], " ").cast("array<int>").alias("lens"), positions.alias("positions"))
+    moved = moved.withColumn("tfs", F.transform("positions", F.size))
+    return moved.select(
+        "term", "range", F.size("doc_ids").alias("n"), F.array_max("tfs").alias("max_tf"), F.array_min("lens").alias("min_len"),
+        F.aggregate("tfs", F.lit(0).cast("long"), lambda x, y: x + y).alias("cf"), "doc_ids", "tfs", "lens", "positions", "bucket", "writer")
+
+
+def one_a_document(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with one row an id; only the texts of ids that come again are moved."""
+    docs = docs.select("doc_id", "text")
+    again = checkpoint(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("again")))
+    n = again.count()
+    if n == 0:
+        return docs
+    if n > MAX_BROADCAST_ROWS:
+        return docs.dropDuplicates(["doc_id"])
+    few, same = F.broadcast(again), F.col("doc_id").eqNullSafe(F.col("again"))
+    return docs.join(few, same, "left_anti").unionByName(docs.join(few, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 class IndexStore:
@@ -121,9 +161,10 @@ class IndexStore:
     def number(self) -> int:
         return self.versions[-1].number if self.versions else 0
 
-    def _table(self, name: str, schema: str | None = None) -> DataFrame:
+    def _table(self, name: str, schema: str | None = None, versions: list | None = None) -> DataFrame:
         read = self.spark.read.schema(schema) if schema else self.spark.read
-        tables = [read.parquet(f"{self.path}/{v.name}/{name}").withColumn("version", F.lit(v.number)) for v in self.versions]
+        tables = [read.parquet(f"{self.path}/{v.name}/{name}").withColumn("version", F.lit(v.number))
+                  for v in versions or self.versions]
         return reduce(DataFrame.unionByName, tables)
 
     def _id_kind(self) -> str:
@@ -142,9 +183,10 @@ class IndexStore:
         """``url, direction, pos, link`` of all documents."""
         return self._table("links").drop("version")
 
-    def documents(self) -> DataFrame:
-        """``doc_id, text, author``."""
-        return self.texts().join(self.authors().hint("merge"), "doc_id")
+    def documents(self, text: Column | None = None) -> DataFrame:
+        """``doc_id, text, author``; ``text`` is what to take in place of the text, which then is not moved."""
+        texts = self.texts() if text is None else self.texts().select("doc_id", text)
+        return texts.join(self.authors().hint("merge"), "doc_id")
 
     def blocks(self, terms: list[str] | None = None) -> DataFrame:
         """Blocks of all terms or of some; for some only their buckets are read."""
@@ -163,20 +205,27 @@ class IndexStore:
         return self.blocks(terms).select("term", F.inline(entries))
 
     def _commit(self, texts: DataFrame, authors: DataFrame, links: DataFrame, base: bool, layout: tuple[int, int] | None = None,
-                blocks: DataFrame | None = None) -> IndexStore:
-        """The version of these tables. The blocks are made from the texts, once these are written, unless they are given;
-        ``layout`` are the numbers of buckets and of parts where the size of the texts does not tell them."""
+                blocks: tuple[DataFrame, DataFrame] | None = None) -> IndexStore:
+        """The version of these tables. The blocks are made from the texts, once these are written, unless they are given,
+        as those to join and those that stay in their bucket as they are; ``layout`` are the numbers of buckets and of
+        parts where the size of the texts does not tell them."""
         number, name = self.number + 1, f"version-{uuid.uuid4().hex}"
         folder = f"{self.path}/{name}"
-        texts.write.parquet(f"{folder}/texts")
-        authors.write.parquet(f"{folder}/authors")
-        links.write.parquet(f"{folder}/links")
+
+        def write(rows: DataFrame, table: str, *by: str) -> None:
+            rows.write.option("compression", CODEC).partitionBy(*by).parquet(f"{folder}/{table}")
+
+        write(texts, "texts")
+        write(authors, "authors")
+        write(links, "links")
         docs = self.spark.read.schema(texts.schema).parquet(f"{folder}/texts")
         n_docs, n_chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
         buckets, parts = layout or self._layout(n_docs, n_chars)
         tasks = max(1, -(-n_chars // CHARS_PER_TASK))
-        rows = range_blocks(spread(docs), parts, tasks, **self.analyzer) if blocks is None else blocks
-        blocked(rows, buckets, min(WRITERS, -(-tasks // buckets))).write.partitionBy("bucket").parquet(f"{folder}/blocks")
+        made, kept = blocks or (range_blocks(spread(docs), parts, tasks, **self.analyzer), None)
+        dealt = blocked(made, buckets, min(WRITERS, -(-tasks // buckets)))
+        rows = (joined_blocks(dealt) if blocks else dealt).drop("writer")
+        write(rows if kept is None else rows.unionByName(kept), "blocks", "bucket")
         kind = texts.schema["doc_id"].dataType.simpleString()
         written = self.spark.read.schema(BLOCKS.format(kind=kind)).parquet(f"{folder}/blocks")
         n_words = written.agg(F.sum("cf")).first()[0] or 0
@@ -188,7 +237,7 @@ class IndexStore:
         """The base: ``docs`` have ``doc_id, text``, ``links`` are rows ``url, direction, pos, link``."""
         if self.versions:
             raise ValueError(f"there is an index under {self.path}")
-        docs = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+        docs = one_a_document(docs)
         links = self._no_links(docs) if links is None else links.selectExpr(*LINKS.split(", "))
         return self._commit(docs, docs.select("doc_id", F.lit(author).alias("author")), links, True)
 
@@ -226,13 +275,26 @@ class IndexStore:
     def compact(self) -> IndexStore:
         """Base and deltas as one new base; readers of the old versions go on with them.
 
-        Blocks of one term and range are joined. Where the documents have become twice as many as their layout
-        is for, or more, they are laid out anew from their texts.
+        Blocks of one term and range are joined; those of the base that meet none of a delta are copied where they
+        stand. Where the documents have become twice as many as their layout is for, or more, they are laid out anew from
+        their texts.
         """
         texts, base = self.texts(), self.versions[0]
         if self._parts(sum(v.n_docs for v in self.versions)) >= 2 * base.parts:
             return self._commit(texts, self.authors(), self.links(), True)
-        return self._commit(texts, self.authors(), self.links(), True, (base.buckets, base.parts), joined_blocks(self.blocks()))
+        return self._commit(texts, self.authors(), self.links(), True, (base.buckets, base.parts), self._meeting())
+
+    def _meeting(self) -> tuple[DataFrame, DataFrame | None]:
+        """The blocks of the deltas with those of the base that they meet, and the others of the base."""
+        schema, key = BLOCKS.format(kind=self._id_kind()), ["term", "range"]
+        blocks = self._table("blocks", schema).drop("version")
+        if len(self.versions) == 1:
+            return blocks.filter("false"), blocks
+        base, added = (self._table("blocks", schema, v).drop("version") for v in (self.versions[:1], self.versions[1:]))
+        met = checkpoint(added.select(*key).distinct())
+        if met.count() > MAX_BROADCAST_ROWS:
+            return blocks, None
+        return base.join(F.broadcast(met), key, "left_semi").unionByName(added), base.join(F.broadcast(met), key, "left_anti")
 
     def search(self, query: str, k: int, k1: float = K1, b: float = B) -> Found:
         """The ``k`` documents with the highest BM25 scores, as :func:`search.best` orders them."""

@@ -146,3 +146,61 @@ def test_compaction_joins_blocks_or_lays_them_out_anew(spark, texts, tmp_path, m
 
 def test_what_the_store_holds_is_not_broadcast(store):
     assert "Broadcast" not in store.documents()._jdf.queryExecution().executedPlan().toString()
+
+
+def shown(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_of_any_ids_are_the_same_after_their_move(spark):
+    from linkloom.operators import store as stores
+
+    for kind, ids in (("string", ["a b|,c", "", "7", None]), ("long", [-5, 0, 2 ** 62, None])):
+        docs = spark.createDataFrame([(k, "the reactor core core of tower") for k in ids] + [(ids[0], "tower")], f"doc_id {kind}, text string")
+        made = stores.range_blocks(docs, 1, 2, **HOW)
+        moved = stores.blocked(made, 2, 2)
+        rows = lambda df: sorted(map(repr, df.select(*made.columns).collect()))
+        assert rows(moved) == rows(made) and moved.select(*made.columns).dtypes == made.dtypes
+
+
+def test_blocks_move_without_what_follows_from_them(spark, texts):
+    from linkloom.operators import store as stores
+
+    moved = stores.blocked(stores.range_blocks(texts, 2, 3, **HOW), 2, 2)
+    below = shown(moved).split("Exchange hashpartitioning(bucket", 1)[1].split("\n")[1]
+    assert "numbers" in below and not any(f" AS {c}#" in below for c in ("n", "tfs", "lens", "doc_ids", "positions"))
+
+
+def test_only_texts_of_repeated_ids_are_moved(spark):
+    from linkloom.operators.store import one_a_document
+
+    once = spark.createDataFrame([(1, "a"), (2, None), (None, "n")], "doc_id long, text string")
+    assert "Exchange" not in shown(one_a_document(once)) and rows_of(one_a_document(once).fillna(0)) == rows_of(once.fillna(0))
+    rows = [(1, "a"), (1, "a"), (2, "b"), (None, "n"), (None, "n"), (3, None), (3, None)]
+    got = one_a_document(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, once.sparkSession.createDataFrame(sorted(set(rows), key=repr), "doc_id long, text string").collect()))
+
+
+def test_lengths_of_texts_are_made_before_the_join(store):
+    got = store.documents(F.length("text").alias("n_chars"))
+    plan = shown(got)
+    assert plan.index("Exchange") < plan.index("length(text")
+    assert rows_of(got.fillna(-1)) == rows_of(store.documents().select("doc_id", F.length("text").alias("n_chars"), "author").fillna(-1))
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_compaction_moves_only_blocks_that_meet_others(spark, texts, tmp_path, monkeypatch, most):
+    monkeypatch.setattr("linkloom.operators.store.MAX_BROADCAST_ROWS", most)
+    first = texts.filter("doc_id <> 2002")
+    store = IndexStore(spark, str(tmp_path), **HOW).create(first, "a").upsert(texts, "b")
+    met, kept = store._meeting()
+    if most:
+        assert "hashpartitioning" not in shown(kept) and kept.count() + met.count() == store.blocks().count()
+        assert met.count() == 1  # the one long document has a range of its own
+    else:
+        assert kept is None
+    flat = store.compact()
+    got = flat.postings().select("term", "doc_id", "doc_len", F.col("tf").cast("long").alias("tf"), "positions")
+    assert rows_of(got) == rows_of(index.postings(texts, **HOW))
+    again = flat.compact()
+    assert again.number == 4 and rows_of(again.blocks().drop("version")) == rows_of(flat.blocks().drop("version"))
