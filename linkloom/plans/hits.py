@@ -14,6 +14,7 @@ from linkloom.session import MAX_BROADCAST_ROWS, checkpoint, hub_block_for, part
 
 ROUNDS_PER_WRITE = 5
 SPANNING_STEPS = 16  # of two rounds each
+NOISE = 1e-5  # a vector divided by what it was measured as, and then that short, is rounding
 ROUNDING = 4 * np.finfo(float).eps  # of a score in a round
 SCORES = ("hub", "authority")
 
@@ -87,6 +88,10 @@ def _updated(scores: DataFrame, table: DataFrame, nodes: DataFrame, keys: list[s
         F.coalesce("new_authority", F.lit(0.0)).alias("authority"))
 
 
+def _from_zero(score: Column) -> Column:
+    return F.when(score > 0, score).otherwise(0.0)
+
+
 def _weights(gram: np.ndarray, image: np.ndarray) -> tuple[float, np.ndarray]:
     """The largest factor by which two rounds stretch a combination of some vectors, and that combination, at length one.
 
@@ -110,11 +115,14 @@ def _leading(scores: DataFrame, table: DataFrame, nodes: DataFrame, keys: list[s
     Two rounds take hub scores to hub scores, by a symmetric matrix, and the same holds for authority scores. What they make
     of the start again and again spans a space; of all vectors in it, the one they stretch most is nearer to the limit
     than the last round is, and the limit of the rounds from there is the same (Lanczos; all vectors are kept at right
-    angles). A page's row holds its place in each of these vectors, and only their products reach the driver.
+    angles). A page's row holds its place in each of these vectors, and only their products reach the driver. Where a
+    vector is rounding only, the space holds the limit, and the vectors before it tell it.
     """
     held = scores.select("id", "blocks", *[F.col(s).alias(f"{s}_0") for s in SCORES])
     gram, image = ({s: np.zeros((0, 0)) for s in SCORES} for _ in range(2))
     basis, found = [], False
+    weights, errors = {}, {}
+    whole = set()  # scores whose vectors span all that two rounds make of them
     for step in range(SPANNING_STEPS):
         last = held.select("id", "blocks", *[F.col(f"{s}_{step}").alias(s) for s in SCORES])
         basis += [f"{s}_{step}" for s in SCORES]
@@ -125,29 +133,35 @@ def _leading(scores: DataFrame, table: DataFrame, nodes: DataFrame, keys: list[s
         row = held.agg(F.count("*"), *wanted.values()).first()
         sums = {key: value or 0.0 for key, value in zip(wanted, row[1:])}
         close = max(tol / 10 / math.sqrt(max(row[0], 1)), ROUNDING / 4)
-        weights, beyond, errors = {}, {}, []
+        beyond = {s: F.lit(0.0).alias(f"{s}_{step + 1}") for s in SCORES}
         for s in SCORES:
+            if s in whole:
+                continue
             for what, table_of in (("gram", gram), ("image", image)):
                 grown = np.zeros((step + 1, step + 1))
                 grown[:step, :step] = table_of[s]
                 grown[step] = grown[:, step] = [sums[s, what, i] for i in range(step + 1)]
                 table_of[s] = grown
-            length, column = sums[s, "length", 0], image[s][step]
+            length, column, own = sums[s, "length", 0], image[s][step], math.sqrt(gram[s][step, step])
+            if step and own < NOISE:
+                whole.add(s)
+                continue
             if not (0 < length < math.inf and gram[s][0, 0] > 0):
                 return scores, False  # there are no links
             factor, weights[s] = _weights(gram[s], image[s])
             along = np.linalg.pinv(gram[s], rcond=1e-12, hermitian=True) @ column
             # a smaller rest is not told by this difference
             rest = math.sqrt(max(length - along @ column, 1e-16 * length))
-            errors.append(rest * abs(weights[s][step]) / factor)
+            errors[s] = rest * abs(weights[s][step]) / factor
             inside = sum((F.lit(float(x)) * F.col(f"{s}_{i}") for i, x in enumerate(along)), F.lit(0.0))
             beyond[s] = ((F.col(s) - inside) / F.lit(rest)).alias(f"{s}_{step + 1}")
-        found = max(errors) < close
+        found = all(s in whole or errors[s] < close for s in SCORES)
         if found:
             break
         held = held.select("id", "blocks", *basis, *beyond.values())
-    nearest = [F.greatest(sum((F.lit(float(x)) * F.col(f"{s}_{i}") for i, x in enumerate(weights[s])), F.lit(0.0)), F.lit(0.0)).alias(s)
-               for s in SCORES]
+    nearest = {s: sum((F.lit(float(x)) * F.col(f"{s}_{i}") for i, x in enumerate(weights[s])), F.lit(0.0)) for s in SCORES}
+    # cut off at 0 only where what is below is rounding: more would change the shares of parts of equal strength
+    nearest = [(_from_zero(x) if found else x).alias(s) for s, x in nearest.items()]
     return _normalized(checkpoint(held.select("id", "blocks", *nearest)), "l2"), found
 
 
@@ -230,6 +244,8 @@ def hits(edges: DataFrame, pages: DataFrame | None = None, rounds: int | None =
         else:
             if stop != "rounds":
                 warnings.warn(f"HITS did not meet its stop {stop!r} in {limit} rounds", stacklevel=2)
+        if to_the_end:  # the rest of other directions may be less than 0
+            scores = scores.withColumns({s: _from_zero(F.col(s)) for s in SCORES})
         return checkpoint(scores.select("id", "hub", "authority"))
 
 

@@ -151,6 +151,18 @@ def test_converged_hits_end_where_equal_parts_take_turns(spark):
     assert got == {i: (part * (i == 0 or i > 10), part * (0 < i <= 10)) for i in (*range(5), *range(10, 15))}
 
 
+def test_converged_hits_keep_the_shares_of_equal_parts(spark, monkeypatch):
+    # page 0, and page 1 with its 16, are stretched by 20 each, all others by less; two steps do not span that
+    links = [(0, 0)] * 20 + [(1, 1)] * 19 + [(1, i) for i in range(2, 18)] + [(i, 1) for i in range(2, 18)]
+    links += [(i, i) for i in range(2, 18) for _ in range(4)] + [(i, i) for i in range(20, 50) for _ in range(12)]
+    monkeypatch.setattr(hits, "SPANNING_STEPS", 2)
+    got = values(hits.hits(spark.createDataFrame(links, "src long, dst long"), stop="tol", tol=1e-12), "hub", "authority")
+    alone, centre = 1, 2 / (1 + 1 / 16)  # what 1s have along (1), and along 1 and a sixteenth for each of the 16
+    size = math.sqrt(alone ** 2 + centre ** 2 * (1 + 1 / 16))
+    want = {0: alone / size, 1: centre / size} | {i: centre / 16 / size for i in range(2, 18)} | {i: 0 for i in range(20, 50)}
+    assert got == {i: (round(x, 10), round(x, 10)) for i, x in want.items()}
+
+
 def test_converged_hits_without_links(spark, toy):
     pages = spark.createDataFrame([("A",), ("Z",)], "id string")
     assert values(hits.hits(toy.limit(0), pages, stop="tol"), "hub", "authority") == {"A": (0, 0), "Z": (0, 0)}
